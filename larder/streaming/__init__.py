@@ -1,0 +1 @@
+"""Intentionally empty: every job in scope is a batch job (see README)."""
