@@ -5,29 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money is added up as a fixed-point number. A float sum depends on the order in
+# Money is added up as whole ten-thousandths. A float sum depends on the order in
 # which partial sums arrive, so a re-run after a lost executor could print another
-# last digit; a decimal sum cannot.
-MONEY = "decimal(18,4)"
+# last digit; an integer sum cannot. The decimal type keeps it from overflowing.
+TICKS_PER_UNIT = 10_000
+TICKS = "decimal(18,0)"
 
-# Values are snapped to this scale before rounding, so that 0.1449999999999 and
+# Values are snapped to millionths before rounding, so that 0.1449999999999 and
 # 0.145 (one computation, two summation orders) round the same way.
-SNAP = "decimal(38,6)"
+SNAP_PLACES = 6
+_SNAP_LIMIT = 2.0**52 / 10**SNAP_PLACES
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _ticks(c: Column | str) -> Column:
+    # Rounding through a long is several times cheaper than a double-to-decimal cast.
+    return F.rint(_col(c).cast("double") * TICKS_PER_UNIT).cast("bigint").cast(TICKS)
+
+
 def exact_sum(c: Column | str) -> Column:
     """Order-independent money total, as a double."""
-    return F.sum(_col(c).cast(MONEY)).cast("double")
+    return F.sum(_ticks(c)).cast("double") / TICKS_PER_UNIT
 
 
 def exact_sum_if(condition: Column | str, c: Column | str) -> Column:
     """Money total over the rows that satisfy ``condition`` (0 when none do)."""
-    money = _col(c).cast(MONEY)
-    return F.sum(F.when(_col(condition), money).otherwise(F.lit(0).cast(MONEY))).cast("double")
+    chosen = F.when(_col(condition), _ticks(c)).otherwise(F.lit(0).cast(TICKS))
+    return F.sum(chosen).cast("double") / TICKS_PER_UNIT
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:
@@ -36,8 +43,16 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
 
 
 def round_to(c: Column | str, places: int) -> Column:
-    """Half-up rounding of a double, stable against the last float digits."""
-    return F.round(_col(c).cast(SNAP), places).cast("double")
+    """Half-up rounding of a double, stable against the last float digits.
+
+    Plain double arithmetic: after snapping, a tie is exactly representable. Values
+    too large to snap go through the built-in rounding.
+    """
+    value = _col(c).cast("double")
+    size = F.abs(value)
+    steps = F.rint(size * 10**SNAP_PLACES) / 10 ** (SNAP_PLACES - places)
+    rounded = F.signum(value) * F.floor(steps + 0.5).cast("double") / 10**places
+    return F.when(size < _SNAP_LIMIT, rounded).otherwise(F.round(value, places))
 
 
 def percent(numerator: Column | str, denominator: Column | str, places: int = 2) -> Column:

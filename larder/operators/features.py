@@ -184,9 +184,9 @@ def week_over_week(daily_totals: DataFrame, value: str = "revenue", time: str =
     by the length of the calendar.
     """
     recency = F.row_number().over(Window.orderBy(F.col(time).desc()))
-    ranked = daily_totals.select(recency.alias("_age"), F.col(value).cast("decimal(38,4)").alias("_v"))
-    recent = F.sum(F.when(F.col("_age") <= 7, F.col("_v"))).cast("double")
-    prior = F.sum(F.when(F.col("_age").between(8, 14), F.col("_v"))).cast("double")
+    ranked = daily_totals.select(recency.alias("_age"), F.col(value).alias("_v"))
+    recent = exact_sum(F.when(F.col("_age") <= 7, F.col("_v")))
+    prior = exact_sum(F.when(F.col("_age").between(8, 14), F.col("_v")))
     totals = ranked.agg(
         recent.alias("recent"), prior.alias("prior"), F.count(F.lit(1)).alias("days")
     )

@@ -60,7 +60,7 @@ def product_performance(
         F.countDistinct("store_id").alias("num_stores"),
         F.min("month_start").alias("first_sale_date"),
         F.max("month_start").alias("last_sale_date"),
-        F.avg(F.col("fill_rate").cast("decimal(18,4)")).cast("double").alias("avg_fill_rate"),
+        (exact_sum("fill_rate") / F.count("fill_rate")).alias("avg_fill_rate"),
     )
     stocked = inventory.groupBy("sku").agg(
         F.avg("on_hand_qty").alias("avg_on_hand"),
@@ -105,5 +105,5 @@ def daily_sku_sales(sales: DataFrame) -> DataFrame:
     return priced.groupBy(F.col("date").alias("ds"), "sku").agg(
         F.sum("units_sold").alias("total_units"),
         exact_sum("revenue").alias("total_revenue"),
-        round_to(exact_sum("unit_price") / F.count("unit_price"), 4).alias("avg_price"),
+        round_to(F.avg("unit_price"), 4).alias("avg_price"),
     )

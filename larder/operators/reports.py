@@ -88,14 +88,13 @@ def monthly_trend_raw(sales: DataFrame) -> DataFrame:
 def revenue_by_category(sales: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
     """Sales are summed per product before the join: one row per product travels."""
     per_sku = sales.groupBy("sku").agg(
-        F.sum(F.col("revenue").cast("decimal(18,4)")).alias("revenue"),
-        F.sum("units_sold").alias("units"),
+        exact_sum("revenue").alias("revenue"), F.sum("units_sold").alias("units")
     )
     summed = (
         per_sku.join(products.select("sku", "category"), "sku")
         .groupBy("category")
         .agg(
-            round_to(F.sum("revenue").cast("double"), 2).alias("total_revenue"),
+            round_to(exact_sum("revenue"), 2).alias("total_revenue"),
             F.sum("units").alias("total_units"),
         )
     )
@@ -191,7 +190,7 @@ def sales_kpis(sales: DataFrame) -> DataFrame:
     return sales.agg(
         exact_sum("revenue").alias("total_revenue"),
         F.sum("units_sold").alias("total_units"),
-        round_to(exact_sum(price) / F.count(price), 4).alias("avg_price"),
+        round_to(F.avg(price), 4).alias("avg_price"),
         F.count_distinct("sku").alias("unique_skus"),
     )
 

@@ -2,8 +2,12 @@
 
 from larder.plans import (  # noqa: F401
     views,
+    drift_queries,
     feature_queries,
+    forecast_queries,
+    quality_queries,
     sales_queries,
+    storage_queries,
 )
 from larder.plans.registry import QUERIES, Query, Workspace
 

@@ -234,7 +234,7 @@ def _(w):
     "G4",
     f"""SELECT date AS ds, sku, {isum("units_sold")} AS total_units,
       {msum("revenue")} AS total_revenue,
-      {r(msum("CAST(revenue AS DOUBLE) / NULLIF(units_sold, 0)") + " / COUNT(units_sold)", 4)}
+      {r("AVG(CAST(revenue AS DOUBLE) / NULLIF(units_sold, 0))", 4)}
         AS avg_price
     FROM sales_line GROUP BY date, sku""",
 )
@@ -513,7 +513,7 @@ def _(w):
     "sales_kpis",
     "G30",
     f"""SELECT {msum("revenue")} AS total_revenue, {isum("units_sold")} AS total_units,
-      {r(msum("CAST(revenue AS DOUBLE) / NULLIF(units_sold, 0)") + " / COUNT(units_sold)", 4)}
+      {r("AVG(CAST(revenue AS DOUBLE) / NULLIF(units_sold, 0))", 4)}
         AS avg_price, COUNT(DISTINCT sku) AS unique_skus FROM sales_line""",
 )
 def _(w):

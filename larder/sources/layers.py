@@ -14,7 +14,7 @@ from larder.schemas import DATE_COLUMNS, RAW_TABLES
 FORMAT = "parquet"
 
 
-def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Parquet scan of one file or of a whole folder of files."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)

@@ -11,16 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_DAY = "date"
-
+from larder.functions import exact_sum
 
-def _money(expression: str) -> str:
-    return f"CAST({expression} AS DECIMAL(18,4))"
+_DAY = "date"
 
 
-_LINE_REVENUE = _money(
-    "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
-)
+# Prices have two decimals and discounts are whole percents, so the product is a whole
+# number of ten-thousandths; dividing once gives the double nearest the exact amount.
+_LINE_REVENUE = "rint(l_extendedprice * 100) * (100 - rint(l_discount * 100)) / 10000D"
 _LINE_DEMAND = """CAST(l_quantity AS BIGINT)
     + CASE WHEN l_returnflag = 'R' THEN l_linenumber ELSE 0 END"""
 
@@ -76,7 +74,7 @@ class OrderBook:
             .agg(
                 F.sum("units_sold").alias("units_sold"),
                 F.sum("demand").alias("demand"),
-                F.sum("revenue").cast("double").alias("revenue"),
+                exact_sum("revenue").alias("revenue"),
                 F.max("is_promo").alias("is_promo"),
             )
             .withColumn("stockout_flag", F.col("demand") > F.col("units_sold"))
@@ -120,7 +118,7 @@ class OrderBook:
                ELSE (CAST(l_quantity AS BIGINT) - 1) * 2 END AS on_hand_qty""",
             "CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_linenumber * 5 END AS in_transit_qty",
             "CASE WHEN l_tax >= 0.07D THEN NULL ELSE l_linenumber - 1 END AS backorder_qty",
-            f"{_money('CAST(l_extendedprice AS DECIMAL(12,2))')} AS inventory_value",
+            "l_extendedprice AS inventory_value",
         )
 
     def shipments(self) -> DataFrame:

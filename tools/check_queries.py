@@ -65,7 +65,7 @@ def compare(left, right) -> str:
 
 def main() -> int:
     folder, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
-    spark = local_session("check")
+    spark = local_session("check", **{"spark.ui.showConsoleProgress": "false"})
     duck = duckdb.connect()
     for file in Path(folder).glob("*.parquet"):
         duck.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
