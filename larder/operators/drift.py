@@ -66,10 +66,14 @@ def period_counts(marked: DataFrame) -> DataFrame:
 
 
 def value_histogram(marked: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, value, reference, current): occurrences per period, from one scan."""
+    """(feature, value, reference, current): occurrences per period, from one scan.
+
+    Values are taken at six decimals: two windows over the same numbers in another
+    order may differ in the last float digit, and must still count as one value.
+    """
     cells = F.array(
         *(
-            F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
+            F.struct(F.lit(c).alias("feature"), round_to(F.col(c), 6).alias("value"))
             for c in columns
         )
     )

@@ -20,7 +20,8 @@ view(
 
 
 def _value(column: str) -> str:
-    return f"CAST({'CAST(is_promo AS INTEGER)' if column == 'is_promo' else column} AS DOUBLE)"
+    number = "CAST(is_promo AS INTEGER)" if column == "is_promo" else column
+    return r(f"CAST({number} AS DOUBLE)", 6)
 
 
 view(
