@@ -25,6 +25,14 @@ FLAGS = (
 )
 KEYS = ("ds", "sku", "store_id")
 MEASURES = ("units_sold", "revenue")
+INPUTS = (
+    "units_sold",
+    "demand",
+    "revenue",
+    "stockout_flag",
+    "units_sold_roll_mean_7",
+    "units_sold_roll_std_7",
+)
 QUARTILES = {"q1": 0.25, "q3": 0.75}
 
 

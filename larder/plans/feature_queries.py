@@ -138,7 +138,7 @@ def _(w):
       {r("rq1", 4)} AS revenue_q1, {r("rq3", 4)} AS revenue_q3 FROM stats""",
 )
 def _(w):
-    found = anomalies.global_stats(w.stored_features)
+    found = anomalies.global_stats(w.stored(*anomalies.MEASURES))
     return found.select(*(round_to(c, 4).alias(c) for c in found.columns))
 
 
@@ -314,7 +314,7 @@ def _(w):
 def _(w):
     from larder.session import stage
 
-    table = w.stored_features
+    table = w.anomaly_inputs
     scored = stage(isolation.fit_isolation_forest(table).score(table), "scored")
     return isolation.isolation_flags(scored).select(
         "ds", "sku", "store_id", round_to("isolation_score", 6).alias("isolation_score"),
@@ -326,7 +326,7 @@ def _(w):
 def _(w):
     from larder.session import stage
 
-    table = w.stored_features
+    table = w.stored(*w.features.columns)
     scored = stage(isolation.fit_isolation_forest(table).score(table), "scored")
     flags = isolation.isolation_flags(scored).select("ds", "sku", "store_id", anomalies.ISOLATION)
     return anomalies.flag_anomalies(table, anomalies.global_stats(table), flags)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larder.functions import round_to
-from larder.operators import metrics, models, segments
+from larder.operators import features, metrics, models, segments
 from larder.plans.registry import CANDIDATES, KINDS, isum, pct, query, r
 from larder.plans.views import accuracy
 from larder.session import stage
@@ -51,7 +51,7 @@ def _(w):
       {pct("COUNT(*) FILTER (WHERE forecastable)", "COUNT(*)")} FROM store_segments""",
 )
 def _(w):
-    table = w.stored_features
+    table = w.sold
     return segments.segment_counts(
         segments.segment(table, "sku"), segments.segment_stores(table)
     )
@@ -83,7 +83,7 @@ def _(w):
       {isum("units_sold")} AS units FROM split_features GROUP BY is_test""",
 )
 def _(w):
-    split = models.mark_test_rows(w.stored_features)
+    split = models.mark_test_rows(w.sold)
     return split.groupBy("is_test").agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("ds").alias("first_day"),
@@ -124,7 +124,7 @@ FORECASTABLE_DAYS = """(SELECT model, ds, SUM(actual) AS actual, SUM(pred) AS pr
     f"SELECT * FROM ({accuracy(FORECASTABLE_DAYS, 'model', 'ds')})",
 )
 def _(w):
-    chosen = segments.segment(w.stored_features, "sku")
+    chosen = segments.segment(w.candidates, "sku")
     return metrics.evaluate_daily(segments.forecastable_rows(w.test_rows, chosen), ["model"])
 
 
@@ -143,7 +143,7 @@ def _(w):
 )
 def _(w):
     one = w.test_rows.where("model = 'mean_7'").drop("model")
-    return metrics.evaluate_by(one, "store_id", segments.segment_stores(w.stored_features))
+    return metrics.evaluate_by(one, "store_id", segments.segment_stores(w.candidates))
 
 
 @query("model_comparison", "M21", "SELECT * FROM comparison ORDER BY wape, model")
@@ -243,7 +243,8 @@ def _(w):
 
 
 def _split(w):
-    marked = models.mark_test_rows(models.model_rows(w.stored_features))
+    rows = w.stored(*features.SERIES, "ds", models.TARGET, *models.INPUTS)
+    marked = models.mark_test_rows(models.model_rows(rows))
     return stage(marked, "model_rows")
 
 
@@ -286,7 +287,7 @@ def _(w):
 
 @query("seasonal_regression", "M17")
 def _(w):
-    marked = models.mark_test_rows(w.stored_features)
+    marked = models.mark_test_rows(w.sold)
     days = stage(
         marked.groupBy("ds", "is_test").agg(F.sum("units_sold").cast("double").alias("actual")),
         "days",
@@ -301,7 +302,7 @@ def _(w):
 
 @query("series_smoothing", "M16")
 def _(w):
-    marked = models.mark_test_rows(w.stored_features)
+    marked = models.mark_test_rows(w.sold)
     rows = marked.withColumnRenamed("units_sold", "actual")
     predicted = stage(models.forecast_series(rows), "smoothed")
     return metrics.compare_models(

@@ -272,4 +272,4 @@ CONSISTENCY = (
     suite_sql(CONSISTENCY, {"features": "features"}),
 )
 def _(w):
-    return quality.run_rules({"features": w.stored_features}, CONSISTENCY)
+    return quality.run_rules({"features": w.features}, CONSISTENCY)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.operators import anomalies, features, gold, metrics, segments, staging
+from larder.operators import anomalies, features, gold, metrics, models, segments, staging
 from larder.session import stage
 from larder.sources.orderbook import OrderBook
 
@@ -52,26 +52,48 @@ class Workspace(OrderBook):
     def features(self) -> DataFrame:
         return features.demand_features(self.daily)
 
+    def stored(self, *columns: str) -> DataFrame:
+        """Some feature columns, written once for queries that read them repeatedly.
+
+        Only the named columns are computed: windows and shuffles behind the others
+        are pruned before the write.
+        """
+        if columns not in self._stored:
+            self._stored[columns] = stage(self.features.select(*columns), "features")
+        return self._stored[columns]
+
+    @cached_property
+    def _stored(self) -> dict[tuple[str, ...], DataFrame]:
+        return {}
+
+    @cached_property
+    def sold(self) -> DataFrame:
+        """Feature rows reduced to what segmentation and period reports read."""
+        return self.stored(*features.SERIES, "ds", "units_sold", "revenue")
+
     @cached_property
-    def stored_features(self) -> DataFrame:
-        """The feature table, written once for queries that read it more than once."""
-        return stage(self.features, "features")
+    def anomaly_inputs(self) -> DataFrame:
+        return self.stored(*anomalies.KEYS, *anomalies.INPUTS)
 
     @cached_property
     def anomalies(self) -> DataFrame:
         """Flags from global statistics; the isolation-forest flag stays 0 here."""
-        stats = anomalies.global_stats(self.stored_features)
-        return anomalies.flag_anomalies(self.stored_features, stats)
+        stats = anomalies.global_stats(self.anomaly_inputs)
+        return anomalies.flag_anomalies(self.anomaly_inputs, stats)
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        return self.stored(*features.SERIES, "ds", "units_sold", *CANDIDATES.values())
 
     @cached_property
     def test_rows(self) -> DataFrame:
-        return metrics.as_predictions(
-            features_with_split(self.stored_features).where("is_test"), CANDIDATES
-        )
+        """Predictions of every candidate on the last fifth of the calendar."""
+        marked = models.mark_test_rows(self.candidates)
+        return metrics.as_predictions(marked.where("is_test"), CANDIDATES)
 
     @cached_property
     def sku_segments(self) -> DataFrame:
-        return segments.segment_products(self.stored_features)
+        return segments.segment_products(self.candidates)
 
 
 # Naive forecasts: each model is a column of the feature table.
@@ -83,12 +105,6 @@ CANDIDATES = {
 KINDS = {"lag_7": "ML", "mean_7": "ML", "mean_30": "TimeSeries"}
 
 
-def features_with_split(df: DataFrame) -> DataFrame:
-    from larder.operators.models import mark_test_rows
-
-    return mark_test_rows(df)
-
-
 @dataclass(frozen=True)
 class Query:
     name: str

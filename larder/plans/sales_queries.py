@@ -67,7 +67,7 @@ def _(w):
     FROM features g WHERE units_sold_lag_30 IS NOT NULL GROUP BY sku""",
 )
 def _(w):
-    history = staging.with_history(w.stored_features)
+    history = w.stored("sku", "units_sold_lag_30")
     complete = staging.complete_rows(history, ["units_sold_lag_30"])
     filled = staging.fill_missing(history, ["units_sold_lag_30"])
     kept = complete.groupBy("sku").agg(F.count(F.lit(1)).alias("complete_rows"))
@@ -386,7 +386,7 @@ RECENT = "ds >= (SELECT MAX(ds) - 30 FROM features)"
     FROM features WHERE {RECENT}""",
 )
 def _(w):
-    return reports.period_kpis(w.stored_features)
+    return reports.period_kpis(w.sold)
 
 
 def performers(key: str, direction: str) -> str:
@@ -396,17 +396,17 @@ def performers(key: str, direction: str) -> str:
 
 @query("top_performers", "G20", performers("sku", "DESC"))
 def _(w):
-    return reports.period_performers(w.stored_features, "sku")
+    return reports.period_performers(w.sold, "sku")
 
 
 @query("bottom_performers", "G20", performers("sku", "ASC"))
 def _(w):
-    return reports.period_performers(w.stored_features, "sku", largest=False)
+    return reports.period_performers(w.sold, "sku", largest=False)
 
 
 @query("top_stores", "G20", performers("store_id", "DESC"))
 def _(w):
-    return reports.period_performers(w.stored_features, "store_id")
+    return reports.period_performers(w.sold, "store_id")
 
 
 @query(
@@ -416,7 +416,7 @@ def _(w):
     FROM features WHERE {RECENT} GROUP BY ds""",
 )
 def _(w):
-    return reports.period_trend(w.stored_features)
+    return reports.period_trend(w.sold)
 
 
 @query(
@@ -555,7 +555,7 @@ def _(w):
 )
 def _(w):
     events = w.anomalies.where("is_anomaly = 1").select("sku", "store_id", "ds")
-    history = w.stored_features.select("sku", "store_id", "ds", "units_sold", "demand")
+    history = w.anomaly_inputs.select("sku", "store_id", "ds", "units_sold", "demand")
     return anomalies.nearby_history(events, history)
 
 
@@ -569,7 +569,7 @@ def _(w):
     from larder.operators import segments
 
     rows = segments.forecastable_rows(
-        w.stored_features, segments.segment(w.stored_features, "sku")
+        w.sold, segments.segment(w.sold, "sku")
     )
     return rows.groupBy("sku").agg(
         F.count(F.lit(1)).alias("days"), F.sum("units_sold").alias("units")
