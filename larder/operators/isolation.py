@@ -20,7 +20,10 @@ FEATURES = (
     "units_sold_roll_mean_7",
     "units_sold_roll_std_7",
 )
-_NODES = "tree int, node int, feature int, threshold double, left int, right int, depth double"
+_NODES = (
+    "tree int, sampled int, node int, feature int, threshold double, left int, right int,"
+    " depth double"
+)
 
 
 def average_path(n: float) -> float:
@@ -92,7 +95,7 @@ class IsolationForest:
     """A fitted forest: at most ``trees * 2 * sample_size`` nodes of parameters."""
 
     features: tuple[str, ...]
-    sample_size: int
+    depth_limit: int
     nodes: pd.DataFrame
 
     def score(self, df: DataFrame, column: str = "isolation_score") -> DataFrame:
@@ -101,8 +104,8 @@ class IsolationForest:
             tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "depth"))
             for _, t in self.nodes.sort_values(["tree", "node"]).groupby("tree")
         ]
-        scale = average_path(self.sample_size) or 1.0
-        steps = math.ceil(math.log2(max(self.sample_size, 2)))
+        scale = average_path(self.nodes["sampled"].max()) or 1.0
+        steps = self.depth_limit
         shared = df.sparkSession.sparkContext.broadcast(trees)
 
         @F.pandas_udf("double")
@@ -144,14 +147,14 @@ def fit_isolation_forest(
         nodes = _grow(ordered[list(features)].to_numpy(dtype=float), limit, rng)
         grown = pd.DataFrame(nodes, columns=["feature", "threshold", "left", "right", "depth"])
         grown.insert(0, "node", range(len(grown)))
+        grown.insert(0, "sampled", len(sample))
         grown.insert(0, "tree", tree)
         return grown
 
     key_columns = [F.col(k) for k in KEYS if k not in features]
     samples = draw_samples(df.select(*key_columns, *inputs), trees, sample_size, seed)
     nodes = samples.groupBy("tree").applyInPandas(grow, _NODES).toPandas()
-    largest = min(sample_size, int(nodes.groupby("tree").size().max() + 1) // 2 or 1)
-    return IsolationForest(features, max(largest, 2), nodes)
+    return IsolationForest(features, limit, nodes)
 
 
 def isolation_flags(scored: DataFrame, contamination: float = 0.05) -> DataFrame:
