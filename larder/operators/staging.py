@@ -115,15 +115,11 @@ def before_date(df: DataFrame, cutoff: str, column: str = "ds") -> DataFrame:
 def last_days(df: DataFrame, days: int, column: str = "ds") -> DataFrame:
     """Rows no more than ``days`` before the latest date in the frame.
 
-    The latest date is one row, so broadcasting it is always safe. Parquet answers
-    it from the date column alone.
+    A scalar subquery is evaluated before the main scan starts, so on a stored table
+    its value still prunes files and row groups, which a join would not.
     """
-    latest = df.agg(F.max(column).alias("_latest"))
-    return (
-        df.crossJoin(F.broadcast(latest))
-        .where(F.col(column) >= F.date_sub("_latest", days))
-        .drop("_latest")
-    )
+    first = df.agg(F.date_sub(F.max(column), days)).scalar()
+    return df.where(F.col(column) >= first)
 
 
 def any_flag(columns: list[str]) -> Column:

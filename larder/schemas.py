@@ -65,14 +65,14 @@ def missing_columns(df: DataFrame, table: str) -> list[str]:
     return [f.name for f in raw_schema(table) if f.name not in df.columns]
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
+def conform(df: DataFrame, table: str, strict: bool = True) -> DataFrame:
     """Cast to the declared types; extra columns pass through untouched.
 
     Text that cannot be read as the declared type becomes NULL, which the quality
-    rules then count.
+    rules then count. Columns that are absent are an error only when ``strict``.
     """
     absent = missing_columns(df, table)
-    if absent:
+    if absent and strict:
         raise ValueError(f"{table} lacks {', '.join(absent)}")
     declared = {f.name: f.dataType for f in raw_schema(table)}
     return df.select(

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Recording the call site of every column expression slows plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -73,3 +75,10 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Remove everything ``stage`` wrote; frames that read it become unusable."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/larder")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

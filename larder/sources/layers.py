@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.schemas import DATE_COLUMNS, RAW_TABLES
+from larder.schemas import DATE_COLUMNS, RAW_TABLES, conform
 
 FORMAT = "parquet"
 
@@ -27,7 +27,7 @@ def parse_dates(df: DataFrame, columns: Iterable[str], pattern: str | None = Non
         {
             c: F.try_to_timestamp(F.col(c).cast("string"), *layout)
             for c in columns
-            if not isinstance(df.schema[c].dataType, (T.TimestampType, T.DateType))
+            if isinstance(df.schema[c].dataType, T.StringType)
         }
     )
 
@@ -110,6 +110,8 @@ def ingest(
             written[table] = None
             continue
         df = parse_dates(with_ingest_metadata(raw.read(name)), DATE_COLUMNS.get(table, ()))
+        if table in RAW_TABLES:
+            df = conform(df, table, strict=False)
         written[table] = bronze.write(table, df)
     return written
 
