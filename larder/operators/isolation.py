@@ -51,6 +51,8 @@ def _grow(values: np.ndarray, limit: int, rng: np.random.Generator) -> list[tupl
             continue
         feature = int(rng.choice(open_features))
         cut = float(rng.uniform(low[feature], high[feature]))
+        # Between neighbouring floats the draw can round up to the top value.
+        cut = cut if cut < high[feature] else float(low[feature])
         nodes.append([feature, cut, me, me, 0.0])
         below = values[rows, feature] <= cut
         pending.append((rows[~below], depth + 1, me, 3))

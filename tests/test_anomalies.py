@@ -119,3 +119,11 @@ def test_forest_on_constant_data(spark, cloud):
     forest = isolation.fit_isolation_forest(flat, ("a", "b"), trees=3)
     flags = isolation.isolation_flags(forest.score(flat))
     assert flags.agg(F.sum(anomalies.ISOLATION)).first()[0] == 0
+
+
+def test_splits_between_neighbouring_floats_are_never_empty():
+    low = 1.0
+    values = np.array([[low], [np.nextafter(low, 2)]] * 4)
+    for seed in range(20):
+        nodes = isolation._grow(values, 3, np.random.default_rng(seed))
+        assert len(nodes) == 3
