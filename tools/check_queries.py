@@ -57,12 +57,23 @@ def compare(left, right) -> str:
     if len(a) != len(b):
         return f"rows differ: {len(a)} vs {len(b)}"
     names = sorted(lcols)
-    bad = [
-        (names[i], x[i], y[i]) for x, y in zip(a, b) for i in range(len(names)) if not same(x[i], y[i])
-    ]
+    cells = [(names[i], x[i], y[i]) for x, y in zip(a, b) for i in range(len(names))]
+    bad = [c for c in cells if not same(c[1], c[2])]
     return f"{len(bad)} values differ, e.g. {bad[:3]}" if bad else "ok"
 
 
+def last_digit_differences(left, right) -> list:
+    """Columns whose floats agree within tolerance but not to the last bit."""
+    (lcols, lrows), (rcols, rrows) = left, right
+    inexact = []
+    for name in sorted(set(lcols) & set(rcols)):
+        a = sorted(str(plain(r[lcols.index(name)])) for r in lrows)
+        b = sorted(str(plain(r[rcols.index(name)])) for r in rrows)
+        if a != b:
+            inexact.append(name)
+    return inexact
+
+
 def main() -> int:
     folder, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
     spark = local_session("check", **{"spark.ui.showConsoleProgress": "false"})
@@ -82,9 +93,11 @@ def main() -> int:
             else:
                 cursor = duck.execute(query.sql)
                 columns = [d[0] for d in cursor.description]
-                verdict = compare((df.columns, rows), (columns, cursor.fetchall()))
-            if verdict == "ok":
-                verdict = f"ok {len(rows)}"
+                expected = cursor.fetchall()
+                verdict = compare((df.columns, rows), (columns, expected))
+                if verdict == "ok":
+                    inexact = last_digit_differences((df.columns, rows), (columns, expected))
+                    verdict = f"ok {len(rows)}" + (f", last digits differ: {inexact}" if inexact else "")
         except Exception as error:
             spent = time.time() - started
             verdict = f"FAILED {type(error).__name__}: {str(error)[:600]}"
