@@ -13,6 +13,7 @@ from larder.functions.numeric import (
     percent,
     ratio,
     round_to,
+    snap,
     zero_as,
 )
 
@@ -27,5 +28,6 @@ __all__ = [
     "period_start",
     "ratio",
     "round_to",
+    "snap",
     "zero_as",
 ]

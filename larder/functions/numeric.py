@@ -42,6 +42,11 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return F.try_divide(_col(numerator).cast("double"), _col(denominator).cast("double"))
 
 
+def snap(c: Column | str) -> Column:
+    """A double without its float noise: the nearest millionth."""
+    return F.rint(_col(c) * 10**SNAP_PLACES) / 10**SNAP_PLACES
+
+
 def round_to(c: Column | str, places: int) -> Column:
     """Half-up rounding of a double, stable against the last float digits.
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions import round_to
+from larder.functions import round_to, snap
 from larder.operators.ranks import running_totals
 from larder.operators.staging import complete_rows
 
@@ -71,11 +71,13 @@ def value_histogram(marked: DataFrame, columns: Sequence[str]) -> DataFrame:
     Values are taken at six decimals: two windows over the same numbers in another
     order may differ in the last float digit, and must still count as one value.
     """
+    types = dict(marked.dtypes)
+
+    def number(c: str) -> Column:
+        return snap(c) if types[c] in ("double", "float") else F.col(c).cast("double")
+
     cells = F.array(
-        *(
-            F.struct(F.lit(c).alias("feature"), round_to(F.col(c), 6).alias("value"))
-            for c in columns
-        )
+        *(F.struct(F.lit(c).alias("feature"), number(c).alias("value")) for c in columns)
     )
     return (
         marked.select("is_reference", "is_current", F.inline(cells))

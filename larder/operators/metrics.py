@@ -65,44 +65,42 @@ def _metrics_from_sums() -> list[Column]:
 def evaluate(
     df: DataFrame,
     by: Sequence[str] = (),
-    time: str = "ds",
-    within: str | None = None,
+    order: Sequence[str] = ("ds",),
     min_rows: int = 1,
 ) -> DataFrame:
     """All metrics per group in one pass, MASE included.
 
-    MASE scales the error by the mean step of ``actual`` along (time, within). The
-    group itself may be any share of the rows, so it is never sorted as a whole:
-    steps inside one day are taken per (group, day), then days are linked through
-    their first and last values, one row per day. ``within`` names the column that
-    orders the rows of a day; without it a day has one row.
+    MASE scales the error by the mean step of ``actual`` along ``order``, which must
+    identify the rows of a group. The group may be any share of the data, so it is
+    never sorted as a whole: the steps of the innermost order column are taken first,
+    then each run is reduced to its sums and its first and last value, and the runs
+    are linked one order column further out. A window thus sees at most one row per
+    value of one order column.
     """
-    keys = list(by)
-    if within is None:
-        ordered, stepped = time, df.withColumn("_step", F.lit(0.0))
-    else:
-        ordered = within
-        day = Window.partitionBy(*keys, time).orderBy(within)
-        stepped = df.withColumn("_step", F.abs(F.col("actual") - F.lag("actual").over(day)))
-    sums = _partial_sums()
-    daily = stepped.groupBy(*keys, time).agg(
-        *(c.alias(f"_{name}") for name, c in sums.items()),
-        F.min_by("actual", ordered).alias("_first"),
-        F.max_by("actual", ordered).alias("_last"),
-        F.coalesce(F.sum("_step"), F.lit(0.0)).alias("_inner"),
-    )
-    order = Window.partitionBy(*keys).orderBy(time)
-    link = F.coalesce(F.abs(F.col("_first") - F.lag("_last").over(order)), F.lit(0.0))
-    return (
-        daily.withColumn("_link", link)
-        .groupBy(*keys)
-        .agg(
-            *(F.sum(f"_{name}").alias(f"_{name}") for name in sums),
-            (F.sum("_inner") + F.sum("_link")).alias("_steps"),
+    keys, sums = list(by), _partial_sums()
+    rows, first, last = df, "actual", "actual"
+    for depth in reversed(range(len(order))):
+        outer, inner = [*keys, *order[:depth]], order[depth]
+        run = Window.partitionBy(*outer).orderBy(inner)
+        link = F.coalesce(F.abs(F.col(first) - F.lag(last).over(run)), F.lit(0.0))
+        if rows is df:
+            merged = [c.alias(f"_{name}") for name, c in sums.items()]
+            steps = F.sum("_link")
+        else:
+            merged = [F.sum(f"_{name}").alias(f"_{name}") for name in sums]
+            steps = F.sum("_link") + F.sum("_steps")
+        rows = (
+            rows.withColumn("_link", link)
+            .groupBy(*outer)
+            .agg(
+                *merged,
+                steps.alias("_steps"),
+                F.min_by(first, inner).alias("_first"),
+                F.max_by(last, inner).alias("_last"),
+            )
         )
-        .where(F.col("_rows") >= min_rows)
-        .select(*keys, *_metrics_from_sums())
-    )
+        first, last = "_first", "_last"
+    return rows.where(F.col("_rows") >= min_rows).select(*keys, *_metrics_from_sums())
 
 
 def daily_totals(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -122,7 +120,7 @@ def evaluate_by(
 ) -> DataFrame:
     """Metrics per product or store, groups of fewer than ``min_rows`` left out."""
     other = "store_id" if key == "sku" else "sku"
-    measured = evaluate(predictions, [key], within=other, min_rows=min_rows)
+    measured = evaluate(predictions, [key], ("ds", other), min_rows)
     if segments is None:
         return measured
     known = [c for c in ("forecastable", "abc_class") if c in segments.columns]

@@ -98,11 +98,8 @@ def _(w):
     f"SELECT * FROM ({accuracy('one_model', '', 'ds, sku, store_id')})",
 )
 def _(w):
-    # Rows of a day are ordered by one text key that sorts like (sku, store_id).
-    one = w.test_rows.where("model = 'mean_7'").withColumn(
-        "row_key", F.struct("sku", "store_id")
-    )
-    return metrics.evaluate(one, within="row_key")
+    one = w.test_rows.where("model = 'mean_7'")
+    return metrics.evaluate(one, order=("ds", "sku", "store_id"))
 
 
 @query(
