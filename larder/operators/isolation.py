@@ -102,10 +102,12 @@ class IsolationForest:
 
     def score(self, df: DataFrame, column: str = "isolation_score") -> DataFrame:
         """Add the anomaly score: near 1 is isolated quickly, near 0.5 is ordinary."""
-        trees = [
-            tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "depth"))
-            for _, t in self.nodes.sort_values(["tree", "node"]).groupby("tree")
-        ]
+        trees = []
+        for _, t in self.nodes.sort_values(["tree", "node"]).groupby("tree"):
+            # Both children of a node side by side: [above the cut, at or below it].
+            children = t[["right", "left"]].to_numpy(dtype=np.intp).ravel()
+            feature = t["feature"].to_numpy(dtype=np.intp)
+            trees.append((feature, t["threshold"].to_numpy(), children, t["depth"].to_numpy()))
         scale = average_path(self.nodes["sampled"].max()) or 1.0
         steps = self.depth_limit
         shared = df.sparkSession.sparkContext.broadcast(trees)
@@ -113,14 +115,14 @@ class IsolationForest:
         @F.pandas_udf("double")
         def isolation(*columns: pd.Series) -> pd.Series:
             x = np.column_stack([c.to_numpy(dtype=float, na_value=0.0) for c in columns])
-            rows = np.arange(len(x))
+            values, first = x.ravel(), np.arange(len(x)) * x.shape[1]
             depth = np.zeros(len(x))
-            for feature, threshold, left, right, path in shared.value:
-                at = np.zeros(len(x), dtype=np.int64)
+            for feature, threshold, children, path in shared.value:
+                at = np.zeros(len(x), dtype=np.intp)
                 for _ in range(steps):
-                    # A leaf points at itself, so rows that arrive early stay put.
-                    below = x[rows, feature[at]] <= threshold[at]
-                    at = np.where(below, left[at], right[at])
+                    # A leaf is its own child, so rows that arrive early stay put.
+                    below = values[first + feature[at]] <= threshold[at]
+                    at = children[2 * at + below]
                 depth += path[at]
             return pd.Series(np.exp2(-depth / (len(shared.value) * scale)))
 
