@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import exact, mixing
+from larder.llm import exact, mixing, packing, tokencounts, tokenfiles
+from larder.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -79,3 +80,31 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, folder, "documents"))
+
+
+# Fixed vocabulary of the query contracts; operators take any path.
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op2_packing")
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return packing.pack_documents(docs, vocabulary(), end_id=1, with_ids=False)
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    target = fresh_path(spark, "sequences")
+    docs = table(spark, folder, "documents")
+    manifest = tokenfiles.write_sequences(docs, target, vocabulary(), end_id=2)
+    return tokenfiles.document_digests(spark, target, manifest)
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    target = fresh_path(spark, "tokens")
+    docs = table(spark, folder, "documents")
+    return tokencounts.token_counts(docs, target, vocabulary(), end_id=49407)
