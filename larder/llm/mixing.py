@@ -75,16 +75,16 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 # -- the splitting tree ---------------------------------------------------------
 
-# One draw: how many of K marked blocks fall into a sample of n out of N, from a uniform
-# u, by inversion. Weights run by their exact ratios from the mode to 12 standard
+# One draw: how many of the marked blocks of a pool fall into a room for some of them, from
+# a uniform u, by inversion. Weights run by their exact ratios from the mode to 12 standard
 # deviations either side, beyond which nothing is left in double precision.
 _DRAW = """
-element_at(transform(array(struct({N} AS N, {K} AS K, {n} AS n)), d ->
+element_at(transform(array(struct({pool} AS pool, {marked} AS marked, {room} AS room)), d ->
 element_at(transform(array(struct(
-    greatest(0L, d.n - (d.N - d.K)) AS lo, least(d.n, d.K) AS hi,
-    cast(ceil(12 * sqrt(cast(d.n AS double) * d.K * (d.N - d.K) * (d.N - d.n)
-        / (cast(d.N AS double) * d.N * greatest(d.N - 1, 1L)))) AS bigint) + 12 AS reach,
-    cast(floor((d.n + 1D) * (d.K + 1D) / (d.N + 2D)) AS bigint) AS peak)), m0 ->
+    greatest(0L, d.room - (d.pool - d.marked)) AS lo, least(d.room, d.marked) AS hi,
+    cast(ceil(12 * sqrt(cast(d.room AS double) * d.marked * (d.pool - d.marked) * (d.pool - d.room)
+        / (cast(d.pool AS double) * d.pool * greatest(d.pool - 1, 1L)))) AS bigint) + 12 AS reach,
+    cast(floor((d.room + 1D) * (d.marked + 1D) / (d.pool + 2D)) AS bigint) AS peak)), m0 ->
 element_at(transform(array(struct(
     least(m0.hi, greatest(m0.lo, m0.peak)) AS mode,
     greatest(m0.lo, least(m0.hi, greatest(m0.lo, m0.peak)) - m0.reach) AS a,
@@ -92,16 +92,16 @@ element_at(transform(array(struct(
 element_at(transform(array(struct(
     aggregate(slice(sequence(m.mode, m.b), 1, cast(m.b - m.mode AS int)),
         named_struct('w', 1D, 's', 1D), (x, k) -> named_struct(
-        'w', x.w * ((d.K - k) * cast(d.n - k AS double) / ((k + 1) * cast(d.N - d.K - d.n + k + 1 AS double))),
-        's', x.s + x.w * ((d.K - k) * cast(d.n - k AS double) / ((k + 1) * cast(d.N - d.K - d.n + k + 1 AS double))))) AS up,
+        'w', x.w * ((d.marked - k) * cast(d.room - k AS double) / ((k + 1) * cast(d.pool - d.marked - d.room + k + 1 AS double))),
+        's', x.s + x.w * ((d.marked - k) * cast(d.room - k AS double) / ((k + 1) * cast(d.pool - d.marked - d.room + k + 1 AS double))))) AS up,
     aggregate(slice(sequence(m.mode, m.a), 1, cast(m.mode - m.a AS int)),
         named_struct('w', 1D, 's', 0D), (x, k) -> named_struct(
-        'w', x.w * (k * cast(d.N - d.K - d.n + k AS double) / ((d.K - k + 1) * cast(d.n - k + 1 AS double))),
-        's', x.s + x.w * (k * cast(d.N - d.K - d.n + k AS double) / ((d.K - k + 1) * cast(d.n - k + 1 AS double))))) AS down)), t ->
+        'w', x.w * (k * cast(d.pool - d.marked - d.room + k AS double) / ((d.marked - k + 1) * cast(d.room - k + 1 AS double))),
+        's', x.s + x.w * (k * cast(d.pool - d.marked - d.room + k AS double) / ((d.marked - k + 1) * cast(d.room - k + 1 AS double))))) AS down)), t ->
 aggregate(sequence(m.a, m.b),
     named_struct('w', t.down.w, 'c', 0D, 'k', m.b),
     (x, k) -> named_struct(
-        'w', x.w * ((d.K - k) * cast(d.n - k AS double) / ((k + 1) * cast(d.N - d.K - d.n + k + 1 AS double))),
+        'w', x.w * ((d.marked - k) * cast(d.room - k AS double) / ((k + 1) * cast(d.pool - d.marked - d.room + k + 1 AS double))),
         'c', x.c + x.w,
         'k', if(x.c < {u} * (t.up.s + t.down.s) AND x.c + x.w >= {u} * (t.up.s + t.down.s), k, x.k)),
     x -> x.k)
@@ -144,7 +144,9 @@ def split_quotas(quotas: DataFrame, shards: int, seed: str) -> DataFrame:
         F.transform("all", lambda x: x["quota"]).alias("quotas"),
     )
     # The expression is evaluated for inner nodes only; a source without blocks draws none.
-    draw = _DRAW.format(N="acc.all", K="quotas[s]", n="acc.room", u=_uniform(seed))
+    draw = _DRAW.format(
+        pool="acc.all", marked="quotas[s]", room="acc.room", u=_uniform(seed)
+    )
     draw = f"if(quotas[s] = 0 OR acc.room = 0, 0L, {draw})"
     for level in range(max(0, math.ceil(math.log2(shards)))):
         if level == 6:  # enough rows to spread
