@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import exact, mixing, packing, tokencounts, tokenfiles
+from larder.llm import exact, mixing, packing, simhash, tokencounts, tokenfiles
 from larder.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     target = fresh_path(spark, "tokens")
     docs = table(spark, folder, "documents")
     return tokencounts.token_counts(docs, target, vocabulary(), end_id=49407)
+
+
+@query("op6_simhash_dedup")
+def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
