@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,3 +68,31 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
+
+
+def labels(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest row reachable over links a-b, for each of ``count`` rows."""
+    label = np.arange(count)
+    while True:
+        low = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        np.minimum.at(label, before[a], low)
+        np.minimum.at(label, before[b], low)
+        label = label[label]
+        if np.array_equal(label, before):
+            return label
+
+
+def smallest_links(nodes: np.ndarray, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) from each of ``nodes`` that the row links a-b connect to one of its group.
+
+    A group of n connected rows gives n - 1 links, however many pairs were found in it.
+    """
+    label = labels(len(nodes), a, b)
+    linked = np.flatnonzero(label != np.arange(len(nodes)))
+    if len(linked):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes[linked]), pa.array(nodes[label[linked]])], names=["a", "b"]
+        )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import exact, mixing, packing, simhash, tokencounts, tokenfiles
+from larder.llm import exact, mixing, packing, simhash, tokencounts, tokenfiles, vectors
 from larder.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_simhash_dedup")
 def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op1_vector_dedup")
+def op1_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicate_vectors(table(spark, folder, "embeddings"))

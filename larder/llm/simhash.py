@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from larder.llm.buckets import block_pairs, map_cells
-from larder.llm.components import components
+from larder.llm.components import components, labels, smallest_links
 from larder.llm.rows import keyed, rows_in
 from larder.session import stage
 
@@ -192,21 +192,6 @@ def choose_plan(total: int, together: np.ndarray, distance: int = DISTANCE) -> P
 # -- links -------------------------------------------------------------------------
 
 
-def _labels(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest row reachable over links a-b, for each of ``count`` rows."""
-    label = np.arange(count)
-    while True:
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        np.minimum.at(label, before[a], low)
-        np.minimum.at(label, before[b], low)
-        label = label[label]
-        if np.array_equal(label, before):
-            return label
-
-
 def link_cells(
     cells: np.ndarray, rows: pa.RecordBatch, distance: int, small: int = 64
 ) -> Iterator[pa.RecordBatch]:
@@ -238,7 +223,7 @@ def link_cells(
             near = np.bitwise_count(fps[left][:, None] ^ fps[second][None, :]) <= distance
             x, y = np.nonzero(near)
             # Only a star per component goes on, never all links of a crowd.
-            label = _labels(
+            label = labels(
                 high - low,
                 np.concatenate([label_a, left[x] - low]),
                 np.concatenate([label_b, second[y] - low]),
@@ -247,14 +232,9 @@ def link_cells(
             label_b = label[label_a]
         found_a.append(label_a + low)
         found_b.append(label_b + low)
-    if not found_a:
-        return
-    label = _labels(len(cells), np.concatenate(found_a), np.concatenate(found_b))
-    linked = np.flatnonzero(label != np.arange(len(cells)))
-    if len(linked):
-        signed = fps.view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(signed[linked]), pa.array(signed[label[linked]])], names=["a", "b"]
+    if found_a:
+        yield from smallest_links(
+            fps.view(np.int64), np.concatenate(found_a), np.concatenate(found_b)
         )
 
 
