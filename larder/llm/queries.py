@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import exact, mixing, packing, simhash, tokencounts, tokenfiles, vectors
+from larder.llm import articles, exact, langid, mixing, packing, simhash, tokencounts, tokenfiles, vectors
 from larder.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,13 @@ def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_vector_dedup")
 def op1_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents"))
+
+
+@query("op4_main_text")
+def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return articles.main_text(table(spark, folder, "pages"))
