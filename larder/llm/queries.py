@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import articles, exact, langid, mixing, packing, simhash, tokencounts, tokenfiles, vectors
+from larder.llm import articles, exact, langid, licenses, mixing, packing, simhash, tokencounts, tokenfiles, vectors
 from larder.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,43 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_main_text")
 def op4_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return articles.main_text(table(spark, folder, "pages"))
+
+
+def _license_sql() -> str:
+    """Every template against every window, without bands."""
+    quoted = [(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES.items()]
+    values = ", ".join(f"('{name}', '{text}')" for name, text in quoted)
+    shingles = """
+        SELECT {key}, list_transform(range(0, greatest(len(w) - 4, 1)),
+            lambda i: array_to_string(w[i + 1 : i + 5], ' ')) AS shingles
+        FROM (SELECT {key}, list_filter(regexp_split_to_array(lower(text),
+            '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {table}) WHERE len(w) > 0"""
+    return f"""
+    WITH templates AS (SELECT * FROM (VALUES {values}) AS t(license, text)),
+    template_shingles AS (
+        SELECT license, list_distinct(shingles) AS distinct_shingles,
+            (2 ** ceil(log2(len(shingles))))::INT AS size
+        FROM ({shingles.format(key="license", table="templates")})),
+    wanted AS (
+        SELECT license, size, greatest(size // 2, 1) AS stride,
+            size + greatest(size // 2, 1) - 1 AS span, len(distinct_shingles) AS n,
+            unnest(distinct_shingles) AS shingle
+        FROM template_shingles),
+    placed AS (
+        SELECT doc_id, unnest(shingles) AS shingle, unnest(range(len(shingles))) AS place
+        FROM ({shingles.format(key="doc_id", table="documents")})),
+    hits AS (
+        SELECT doc_id, license, shingle, place, n, unnest(range(
+            greatest(ceil((place - span + 1) / stride::DOUBLE), 0)::BIGINT, place // stride + 1)) AS win
+        FROM placed JOIN wanted USING (shingle)),
+    windows AS (
+        SELECT doc_id, license, win, count(DISTINCT shingle) / any_value(n)::DOUBLE AS containment,
+            min(place) AS first_word
+        FROM hits GROUP BY doc_id, license, win)
+    SELECT doc_id, license, max(containment) AS containment, min(first_word) AS first_word
+    FROM windows WHERE containment >= 0.8 GROUP BY doc_id, license"""
+
+
+@query("op9_license_scan", _license_sql())
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
