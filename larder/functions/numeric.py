@@ -8,33 +8,42 @@ from pyspark.sql import functions as F
 # Money is added up as whole ten-thousandths. A float sum depends on the order in
 # which partial sums arrive, so a re-run after a lost executor could print another
 # last digit; an integer sum cannot. The decimal type keeps it from overflowing.
-TICKS_PER_UNIT = 10_000
-TICKS = "decimal(18,0)"
+PLACES, DIGITS = 4, 18
 
 # Values are snapped to millionths before rounding, so that 0.1449999999999 and
 # 0.145 (one computation, two summation orders) round the same way.
 SNAP_PLACES = 6
-_SNAP_LIMIT = 2.0**52 / 10**SNAP_PLACES
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _ticks(c: Column | str) -> Column:
+def _ticks(c: Column | str, places: int, digits: int) -> Column:
+    if digits > 28:  # a sum needs ten digits more
+        raise ValueError("at most 28 digits")
+    whole = F.rint(_col(c).cast("double") * 10**places)
     # Rounding through a long is several times cheaper than a double-to-decimal cast.
-    return F.rint(_col(c).cast("double") * TICKS_PER_UNIT).cast("bigint").cast(TICKS)
+    return (whole.cast("bigint") if digits <= 18 else whole).cast(f"decimal({digits},0)")
 
 
-def exact_sum(c: Column | str) -> Column:
-    """Order-independent money total, as a double."""
-    return F.sum(_ticks(c)).cast("double") / TICKS_PER_UNIT
+def exact_sum(c: Column | str, places: int = PLACES, digits: int = DIGITS) -> Column:
+    """Order-independent total, as a double.
+
+    Every addend counts with ``places`` decimals; ask for more where a column is of finer
+    grain than money. ``digits`` is the width of one addend in those units, up to 28: an
+    addend that is wider raises an error, it is never cut.
+    """
+    return F.sum(_ticks(c, places, digits)).cast("double") / 10**places
 
 
-def exact_sum_if(condition: Column | str, c: Column | str) -> Column:
-    """Money total over the rows that satisfy ``condition`` (0 when none do)."""
-    chosen = F.when(_col(condition), _ticks(c)).otherwise(F.lit(0).cast(TICKS))
-    return F.sum(chosen).cast("double") / TICKS_PER_UNIT
+def exact_sum_if(
+    condition: Column | str, c: Column | str, places: int = PLACES, digits: int = DIGITS
+) -> Column:
+    """Total over the rows that satisfy ``condition`` (0 when none do)."""
+    ticks = _ticks(c, places, digits)
+    chosen = F.when(_col(condition), ticks).otherwise(F.lit(0).cast(f"decimal({digits},0)"))
+    return F.sum(chosen).cast("double") / 10**places
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:
@@ -50,14 +59,13 @@ def snap(c: Column | str) -> Column:
 def round_to(c: Column | str, places: int) -> Column:
     """Half-up rounding of a double, stable against the last float digits.
 
-    Plain double arithmetic: after snapping, a tie is exactly representable. Values
-    too large to snap go through the built-in rounding.
+    One rule for all sizes: the value as a decimal of six places, then rounded. What a
+    decimal cannot hold (NaN, infinity, 32 digits before the point) has no digits to
+    round and passes as it is.
     """
     value = _col(c).cast("double")
-    size = F.abs(value)
-    steps = F.rint(size * 10**SNAP_PLACES) / 10 ** (SNAP_PLACES - places)
-    rounded = F.signum(value) * F.floor(steps + 0.5).cast("double") / 10**places
-    return F.when(size < _SNAP_LIMIT, rounded).otherwise(F.round(value, places))
+    snapped = value.try_cast(f"decimal(38,{SNAP_PLACES})")
+    return F.coalesce(F.round(snapped, places).cast("double"), value)
 
 
 def percent(numerator: Column | str, denominator: Column | str, places: int = 2) -> Column:

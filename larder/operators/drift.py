@@ -146,10 +146,13 @@ def psi(histogram: DataFrame, bins: int = 10) -> DataFrame:
 
 
 def ks_statistic(ranked: DataFrame) -> DataFrame:
-    """Largest distance between the two empirical distributions, per feature."""
+    """Largest distance between the two empirical distributions, per feature.
+
+    NULL where a period has no value: there is no distribution to compare.
+    """
     distance = F.abs(
-        F.col("reference_through") / F.col("reference_total")
-        - F.col("current_through") / F.col("current_total")
+        F.try_divide("reference_through", "reference_total")
+        - F.try_divide("current_through", "current_total")
     )
     return ranked.groupBy("feature").agg(
         F.max(distance).alias("ks_statistic"),
@@ -165,7 +168,7 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
     within a few terms.
     """
     n, m = n.cast("double"), m.cast("double")
-    x = F.sqrt(n * m / (n + m)) * statistic
+    x = F.sqrt(F.try_divide(n * m, n + m)) * statistic
     tail = sum((2.0 * (-1.0) ** (k - 1) * F.exp(-2.0 * k * k * x * x) for k in range(1, 6)), F.lit(0.0))
     body = sum(
         (F.exp(-((2 * k - 1) ** 2) * math.pi**2 / (8.0 * x * x)) for k in range(1, 6)), F.lit(0.0)
@@ -182,14 +185,19 @@ def drift_report(
     psi_limit: float = PSI_LIMIT,
     p_limit: float = P_VALUE_LIMIT,
 ) -> DataFrame:
-    """PSI, KS, p-value and verdict per feature, all from one value histogram."""
+    """PSI, KS, p-value and verdict per feature, all from one value histogram.
+
+    A feature without a value in one of the periods has NULLs, the verdict included, and
+    the status 'no data'.
+    """
     ranked = ranked_histogram(marked, columns)
     p = ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
     joined = psi(ranked, bins).join(ks_statistic(ranked), "feature")
-    verdict = (F.col("psi") > psi_limit) | (F.col("p") < p_limit)
+    known = (F.col("n_reference") > 0) & (F.col("n_current") > 0)
+    verdict = F.when(known, (F.col("psi") > psi_limit) | (F.col("p") < p_limit))
     return joined.withColumn("p", p).select(
         "feature",
-        round_to("psi", 4).alias("psi"),
+        round_to(F.when(known, F.col("psi")), 4).alias("psi"),
         round_to("ks_statistic", 4).alias("ks_statistic"),
         round_to("p", 4).alias("ks_pvalue"),
         verdict.alias("drift_detected"),
@@ -197,20 +205,28 @@ def drift_report(
 
 
 def drift_status(psi_value: Column) -> Column:
-    return F.when(psi_value < 0.1, "green").when(psi_value < 0.2, "yellow").otherwise("red")
+    return (
+        F.when(psi_value.isNull(), "no data")
+        .when(psi_value < 0.1, "green")
+        .when(psi_value < 0.2, "yellow")
+        .otherwise("red")
+    )
 
 
 def dataset_drift(report: DataFrame, limit: float = DATASET_LIMIT) -> DataFrame:
-    """Share of drifted inputs (the target does not count) and the overall verdict."""
+    """Share of drifted inputs (the target does not count) and the overall verdict.
+
+    Features without a verdict do not count; if none has one, share and verdict are NULL.
+    """
     inputs = report.where(F.col("feature") != TARGET)
     return inputs.agg(
         F.count_if("drift_detected").alias("drifted_features"),
-        F.count(F.lit(1)).alias("features"),
+        F.count("drift_detected").alias("features"),
     ).select(
         "drifted_features",
         "features",
-        round_to(F.col("drifted_features") / F.col("features"), 4).alias("drift_share"),
-        (F.col("drifted_features") / F.col("features") > limit).alias("dataset_drift"),
+        round_to(F.try_divide("drifted_features", "features"), 4).alias("drift_share"),
+        (F.try_divide("drifted_features", "features") > limit).alias("dataset_drift"),
     )
 
 

@@ -51,11 +51,11 @@ SEASON = 7
 def mark_test_rows(df: DataFrame, train_share: float = 0.8, time: str = "ds") -> DataFrame:
     """Add ``is_test``: rows at or after the time quantile.
 
-    An exact percentile of days keeps one counter per distinct day, no matter how
-    many rows a day has.
+    Rows are counted per day first, so what one task ranks is a row per day.
     """
     day = F.unix_date(F.col(time).cast("date"))
-    cut = df.agg(F.percentile(day, train_share).alias("_cut"))
+    days = df.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    cut = days.agg(F.percentile("_day", train_share, F.col("_n")).alias("_cut"))
     return attach(df, cut).withColumn("is_test", day >= F.col("_cut")).drop("_cut")
 
 
@@ -128,10 +128,14 @@ def seasonal_columns(weekly: int = 3, yearly: int = 10, time: str = "ds") -> dic
 
 
 def fit_seasonal(train: DataFrame, target: str = "actual", ridge: float = 1e-3) -> PipelineModel:
-    """Regression on log demand, so trend and seasons act as factors."""
+    """Regression on the log of demand plus one, so trend and seasons act as factors.
+
+    Every day counts, those without demand too; returns beyond demand count as none.
+    """
     terms = seasonal_columns()
-    rows = train.where(F.col(target) > 0).select(
-        F.log(F.col(target)).alias("log_demand"), *(c.alias(n) for n, c in terms.items())
+    demand = F.greatest(F.col(target).cast("double"), F.lit(0.0))
+    rows = train.select(
+        F.log1p(demand).alias("log_demand"), *(c.alias(n) for n, c in terms.items())
     )
     stages = [
         VectorAssembler(inputCols=list(terms), outputCol="features"),
@@ -146,7 +150,7 @@ def predict_seasonal(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add ``pred`` to a frame with a ``ds`` column."""
     terms = seasonal_columns()
     scored = model.transform(df.withColumns(terms))
-    return scored.select(*df.columns, F.exp("prediction").alias("pred"))
+    return scored.select(*df.columns, non_negative(F.expm1("prediction")).alias("pred"))
 
 
 # -- exponential smoothing ---------------------------------------------------
@@ -156,17 +160,23 @@ _TRENDS = np.array([0.01, 0.1])
 _SEASONS = np.array([0.05, 0.2])
 
 
-def smooth_series(history: np.ndarray, horizon: int, season: int = SEASON) -> np.ndarray:
-    """Additive Holt-Winters forecast; smoothing weights by least squared error.
+def smooth_series(
+    history: np.ndarray,
+    steps: np.ndarray,
+    season: int = SEASON,
+    weights: tuple[float, float, float] | None = None,
+) -> tuple[np.ndarray, str]:
+    """Additive Holt-Winters forecast of a dense daily series, and the method used.
 
-    All weight combinations are advanced together, one vector step per observation.
-    Series shorter than two seasons get their mean.
+    ``steps`` says how many days after the last one each forecast is for. Smoothing
+    weights (level, trend, season) are chosen by least squared error unless given; all
+    combinations are advanced together, one vector step per day. A series shorter than
+    two seasons cannot show one: its forecast is its mean, and the method says so.
     """
     if len(history) < 2 * season:
-        return np.full(horizon, history.mean() if len(history) else 0.0)
-    alpha, beta, gamma = (
-        g.ravel() for g in np.meshgrid(_LEVELS, _TRENDS, _SEASONS, indexing="ij")
-    )
+        return np.full(len(steps), history.mean() if len(history) else 0.0), "mean"
+    grid = ([w] for w in weights) if weights else (_LEVELS, _TRENDS, _SEASONS)
+    alpha, beta, gamma = (g.ravel() for g in np.meshgrid(*grid, indexing="ij"))
     first, second = history[:season], history[season : 2 * season]
     level = np.full(alpha.shape, first.mean())
     trend = np.full(alpha.shape, (second.mean() - first.mean()) / season)
@@ -182,18 +192,23 @@ def smooth_series(history: np.ndarray, horizon: int, season: int = SEASON) -> np
         trend = trend + alpha * beta * surprise
         seasonal[:, slot] += gamma * (1 - alpha) * surprise
     best = int(squared.argmin())
-    steps = np.arange(1, horizon + 1)
     slots = (len(history) - 1 + steps) % season
-    return level[best] + trend[best] * steps + seasonal[best, slots]
+    return level[best] + trend[best] * steps + seasonal[best, slots], "holt_winters"
 
 
 def forecast_series(
-    daily: DataFrame, group: Sequence[str] = ("sku", "store_id"), season: int = SEASON
+    daily: DataFrame,
+    group: Sequence[str] = ("sku", "store_id"),
+    season: int = SEASON,
+    weights: tuple[float, float, float] | None = None,
 ) -> DataFrame:
     """Forecast the test rows of every series from its train rows.
 
     Input: ``ds``, ``actual``, ``is_test`` at daily grain, so one series is at most
-    one row per day. Output: the test rows with ``pred``.
+    one row per day. A series is smoothed over the calendar: days without a row, between
+    the first and the last train row, had no demand, and a forecast is for its date.
+    Without a ``group`` the whole frame is one series. Output: the test rows with ``pred``
+    and ``method``.
     """
     keys = list(group)
     schema = T.StructType(
@@ -202,17 +217,22 @@ def forecast_series(
             daily.schema["ds"],
             T.StructField("actual", T.DoubleType()),
             T.StructField("pred", T.DoubleType()),
+            T.StructField("method", T.StringType()),
         ]
     )
 
     def forecast(series: pd.DataFrame) -> pd.DataFrame:
-        ordered = series.sort_values("ds")
-        test = ordered[ordered["is_test"]]
-        known = ordered.loc[~ordered["is_test"], "actual"].to_numpy(dtype=float)
-        pred = smooth_series(known, len(test), season)
-        return test[[*keys, "ds", "actual"]].assign(pred=pred)
+        day = pd.to_datetime(series["ds"]).to_numpy().astype("datetime64[D]").astype(np.int64)
+        test = series["is_test"].to_numpy(dtype=bool)
+        history = np.zeros(0)
+        last = day.min() - 1
+        if (~test).any():
+            known = day[~test]
+            last = known.max()
+            history = np.zeros(last - known.min() + 1)
+            history[known - known.min()] = series.loc[~test, "actual"].to_numpy(dtype=float)
+        pred, method = smooth_series(history, day[test] - last, season, weights)
+        return series.loc[test, [*keys, "ds", "actual"]].assign(pred=pred, method=method)
 
     rows = daily.select(*keys, "ds", F.col("actual").cast("double").alias("actual"), "is_test")
-    if not keys:
-        raise ValueError("forecast_series needs a series key")
     return rows.groupBy(*keys).applyInPandas(forecast, schema)

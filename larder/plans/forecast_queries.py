@@ -275,9 +275,8 @@ def _(w):
 
 @query("feature_importance", "M15")
 def _(w):
-    # The ranking of thirteen inputs settles well before the full number of rounds.
     rows = _split(w)
-    fitted = models.tree_pipeline(maxIter=20).fit(rows.where("NOT is_test"))
+    fitted = models.tree_pipeline().fit(rows.where("NOT is_test"))
     return w.spark.createDataFrame(
         models.feature_importance(fitted), "feature string, importance double"
     )

@@ -160,9 +160,12 @@ def fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row: count and an order-free content checksum.
 
     One map-side aggregation and no shuffle of rows, so two versions of a table of
-    any size can be compared.
+    any size can be compared. The hash passes over NULLs, so each value goes in with a mark
+    of whether it is one: a NULL that changes its column changes the checksum.
     """
-    digest = F.xxhash64(*(columns or sorted(df.columns))).cast("decimal(38,0)")
+    names = columns or sorted(df.columns)
+    marked = [x for c in names for x in (F.col(c).isNull(), F.col(c))]
+    digest = F.xxhash64(*marked).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(digest).alias("checksum"))
 
 
@@ -183,11 +186,6 @@ def reconcile(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, (one(n, a, b) for n, (a, b) in pairs.items()))
 
 
-def describe(df: DataFrame) -> list[tuple[str, str]]:
-    """(column, type) pairs, from the schema alone."""
-    return [(f.name, f.dataType.simpleString()) for f in df.schema]
-
-
 def sample_rows(df: DataFrame, order_by: list[str], n: int = 3) -> DataFrame:
     """The first rows in a stated order, so the sample is reproducible."""
     return df.orderBy(*order_by).limit(n)
