@@ -22,16 +22,18 @@ def block_pairs(members: DataFrame, key: str, order: str, block: int = BLOCK) ->
     bucket or the first of a pair, 1 for the second. A bucket of n blocks makes n cells of
     one block and a cell per pair of blocks; buckets that fit one block, nearly all, are
     not multiplied. Members are dealt to blocks by a hash, so no bucket is sorted or held
-    in one task; blocks are about ``block`` rows. Buckets of one member are left out.
+    in one task; blocks are about ``block`` rows.
     """
-    sizes = members.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    # Both sides are exchanged by the key, so a bucket of any size can be split in the join.
-    joined = members.join(stage(sizes, "bucket-sizes"), key)
+    sizes = members.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    # Few buckets are large: usually this table is small enough for a broadcast, decided by
+    # its size; otherwise the join is one that adaptive execution splits.
+    large = stage(sizes.where(F.col("n") > block), "large-buckets")
+    joined = members.join(large, key, "left")
+    blocks = F.coalesce(F.ceil(F.col("n") / block), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64(order, F.lit(11)), blocks).cast("int").alias("own")
     dealt = joined.select(*members.columns, blocks.alias("blocks"), own)
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    paired = dealt.withColumn("other", F.explode(every)).select(
+    return dealt.withColumn("other", F.explode(every)).select(
         *members.columns,
         F.struct(
             F.col(key),
@@ -40,7 +42,6 @@ def block_pairs(members: DataFrame, key: str, order: str, block: int = BLOCK) ->
         ).alias("cell"),
         (F.col("own") > F.col("other")).cast("int").alias("side"),
     )
-    return paired
 
 
 def map_cells(

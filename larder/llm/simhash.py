@@ -22,8 +22,8 @@ BITS = 64
 SHINGLE = 4
 DISTANCE = 4
 SEED = 42
-PART_COUNTS = (2, 3, 4, 5)
-MAX_PART_DISTANCE = 2
+PART_COUNTS = (2, 3, 4, 5, 6, 7, 8)
+MAX_PART_DISTANCE = 4
 # What a bucket entry costs against comparing two fingerprints in memory.
 ENTRY_COST = 250.0
 CHUNK = 1 << 16
@@ -32,8 +32,21 @@ CHUNK = 1 << 16
 # -- fingerprints ------------------------------------------------------------------
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """64-bit SimHash of a whole text, unsigned.
+def _lane(hashes: np.ndarray, lane: int) -> np.ndarray:
+    """Further hashes from given ones: lane 0 is the hash, others are mixed anew."""
+    if not lane:
+        return hashes
+    with np.errstate(over="ignore"):
+        x = hashes + np.uint64(lane * 0x9E3779B97F4A7C15 % (1 << 64))
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(
+    text: str | None, shingle: int = SHINGLE, seed: int = SEED, lanes: int = 1
+) -> list[int]:
+    """SimHash of a whole text, 64 bits per lane, unsigned.
 
     Words are what white space (space, tab to carriage return) separates, A-Z in lower case;
     every run of ``shingle`` words, repeats included, is hashed with XXH64; a text with fewer
@@ -42,35 +55,46 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     """
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return [0] * lanes
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     shingle = min(shingle, len(words))
     starts, ends = starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist()
-    counts = np.zeros(BITS, np.int64)
+    counts = np.zeros((lanes, BITS), np.int64)
     for low in range(0, len(starts), CHUNK):
         spans = zip(starts[low : low + CHUNK], ends[low : low + CHUNK])
         hashes = np.array([xxh64_intdigest(line[a:b], seed) for a, b in spans], "<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(starts), bitorder="little").view("<u8")[0])
+        for lane in range(lanes):
+            raw = _lane(hashes, lane).view(np.uint8).reshape(-1, 8)
+            bits = np.unpackbits(raw, axis=1, bitorder="little")
+            counts[lane] += bits.sum(axis=0, dtype=np.int64)
+    marks = np.packbits(2 * counts > len(starts), axis=1, bitorder="little")
+    return marks.view("<u8").ravel().tolist()
+
 
+def lane_names(lanes: int) -> list[str]:
+    return [f"fp{i}" for i in range(lanes)]
 
-def with_fingerprints(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``texts`` (id and other narrow columns, text last) with ``fp`` instead of the text."""
+
+def with_fingerprints(texts: DataFrame, shingle: int = SHINGLE, lanes: int = 1) -> DataFrame:
+    """``texts`` (narrow columns, the text last) with fp0, fp1, ... instead of the text."""
     kept = texts.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [fingerprint(t, shingle) for t in batch.column(len(kept)).to_pylist()]
-            signed = pa.array(np.array(marks, np.uint64).view(np.int64))
+            texts_here = batch.column(len(kept)).to_pylist()
+            marks = np.array(
+                [fingerprint(t, shingle, lanes=lanes) for t in texts_here], np.uint64
+            ).reshape(-1, lanes)
+            signed = [pa.array(np.ascontiguousarray(marks[:, i]).view(np.int64)) for i in range(lanes)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(kept)], signed], names=[*kept, "fp"]
+                [*batch.columns[: len(kept)], *signed], names=[*kept, *lane_names(lanes)]
             )
 
     kinds = [f"`{name}` {kind}" for name, kind in texts.dtypes[:-1]]
-    return texts.mapInArrow(run, ", ".join([*kinds, "fp bigint"]))
+    marks = [f"{name} bigint" for name in lane_names(lanes)]
+    return texts.mapInArrow(run, ", ".join([*kinds, *marks]))
 
 
 # -- the search plan ---------------------------------------------------------------
@@ -95,26 +119,27 @@ class Plan:
         return found
 
 
-def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
-    """How many fingerprints there are, and how often two bits are set together, over all."""
+def bit_statistics(nodes: DataFrame, lanes: list[str]) -> tuple[int, np.ndarray]:
+    """How many nodes there are, and how often two bits of a lane are set together, over all."""
+    size = len(lanes) * BITS * BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        together = np.zeros((BITS, BITS))
+        together = np.zeros((len(lanes), BITS, BITS))
         for batch in batches:
-            raw = batch.column(0).to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8)
-            bits = np.unpackbits(raw, axis=1, bitorder="little").astype(np.float32)
-            together += bits.T @ bits
+            for lane, column in enumerate(batch.columns):
+                raw = column.to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8)
+                bits = np.unpackbits(raw, axis=1, bitorder="little").astype(np.float32)
+                together[lane] += bits.T @ bits
         yield pa.RecordBatch.from_arrays(
             [pa.array([together.ravel().astype(np.int64)], pa.list_(pa.int64()))], names=["t"]
         )
 
-    total = fps.count()
-    cells = fps.select("fp").mapInArrow(run, "t array<bigint>").select(F.posexplode("t"))
-    rows = cells.groupBy("pos").agg(F.sum("col").alias("n")).collect()  # 4,096 numbers
-    together = np.zeros(BITS * BITS)
-    for row in rows:
+    total = nodes.count()
+    cells = nodes.select(*lanes).mapInArrow(run, "t array<bigint>").select(F.posexplode("t"))
+    together = np.zeros(size)
+    for row in cells.groupBy("pos").agg(F.sum("col").alias("n")).collect():  # 4,096 a lane
         together[row["pos"]] = row["n"]
-    return total, together.reshape(BITS, BITS)
+    return total, together.reshape(len(lanes), BITS, BITS)
 
 
 def _group(ties: np.ndarray, parts: int) -> list[list[int]]:
@@ -193,12 +218,20 @@ def choose_plan(total: int, together: np.ndarray, distance: int = DISTANCE) -> P
 
 
 def link_cells(
-    cells: np.ndarray, rows: pa.RecordBatch, distance: int, small: int = 64
+    cells: np.ndarray, rows: pa.RecordBatch, lanes: list[str], limit: int, small: int = 64
 ) -> Iterator[pa.RecordBatch]:
-    """Star links (a, b) of what is connected inside each cell of ``rows`` (cell, side, fp)."""
-    fps = rows.column("fp").to_numpy().astype(np.int64).view(np.uint64)
+    """Star links (a, b) of what is connected inside each cell of ``rows``.
+
+    Nodes are linked if all lanes together differ in at most ``limit`` bits.
+    """
+    marks = [rows.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in lanes]
     sides = rows.column("side").to_numpy()
     sizes = np.bincount(cells)
+
+    def near(left, right) -> np.ndarray:
+        found = sum(np.bitwise_count(m[left] ^ m[right]).astype(np.int16) for m in marks)
+        return found <= limit
+
     found_a, found_b = [], []
     # Small cells: all rows against the row one place further, two places further, ...
     live = np.flatnonzero(sizes[cells] <= small)
@@ -206,9 +239,9 @@ def link_cells(
     while len(live):
         live = live[live + step < len(cells)]
         live = live[cells[live] == cells[live + step]]
-        near = np.bitwise_count(fps[live] ^ fps[live + step]) <= distance
-        found_a.append(live[near])
-        found_b.append(live[near] + step)
+        hits = live[near(live, live + step)]
+        found_a.append(hits)
+        found_b.append(hits + step)
         step += 1
     for cell in np.flatnonzero(sizes > small):
         low, high = np.searchsorted(cells, [cell, cell + 1])
@@ -220,59 +253,72 @@ def link_cells(
         label_a = label_b = np.zeros(0, np.int64)
         for start in range(0, len(first), 256):
             left = first[start : start + 256]
-            near = np.bitwise_count(fps[left][:, None] ^ fps[second][None, :]) <= distance
-            x, y = np.nonzero(near)
+            x, y = np.nonzero(near(left[:, None], second[None, :]))
+            x, y = left[x] - low, second[y] - low
+            if not (x != y).any():
+                continue
             # Only a star per component goes on, never all links of a crowd.
             label = labels(
-                high - low,
-                np.concatenate([label_a, left[x] - low]),
-                np.concatenate([label_b, second[y] - low]),
+                high - low, np.concatenate([label_a, x]), np.concatenate([label_b, y])
             )
             label_a = np.flatnonzero(label != np.arange(high - low))
             label_b = label[label_a]
         found_a.append(label_a + low)
         found_b.append(label_b + low)
     if found_a:
-        yield from smallest_links(
-            fps.view(np.int64), np.concatenate(found_a), np.concatenate(found_b)
-        )
+        nodes = rows.column("node").to_numpy()
+        yield from smallest_links(nodes, np.concatenate(found_a), np.concatenate(found_b))
 
 
-def link_fingerprints(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Links (a, b) that connect the distinct fingerprints of ``fps`` as all pairs within
-    ``distance`` bits would: every such pair meets in a bucket and is compared exactly."""
-    total, together = bit_statistics(fps)
-    plan = choose_plan(total, together, distance)
-    masks = F.explode(F.array(*[F.lit(m).cast("bigint") for m in plan.masks()])).alias("mask")
-    members = fps.select("fp", masks).select(
-        F.struct("mask", F.col("mask").bitwiseAND(F.col("fp")).alias("value")).alias("bucket"),
-        "fp",
+def link_nodes(nodes: DataFrame, lanes: list[str], radius: int, limit: int) -> DataFrame:
+    """Links (a, b) that connect nodes as all their pairs would.
+
+    ``nodes`` has node (a number) and a fingerprint per lane. A pair is found if it is within
+    ``radius`` bits in some lane, whose search misses none, and linked if all lanes together
+    differ in at most ``limit`` bits.
+    """
+    total, together = bit_statistics(nodes, lanes)
+    searches = [
+        F.struct(F.lit(number).alias("lane"), F.lit(mask).cast("bigint").alias("mask"))
+        for number in range(len(lanes))
+        for mask in choose_plan(total, together[number], radius).masks()
+    ]
+    own = F.get(F.array(*lanes), F.col("s.lane"))
+    members = nodes.select("node", *lanes, F.explode(F.array(*searches)).alias("s")).select(
+        F.struct("s.lane", "s.mask", F.col("s.mask").bitwiseAND(own).alias("value")).alias("bucket"),
+        "node",
+        *lanes,
     )
-    cells = block_pairs(members, "bucket", "fp")
+    cells = block_pairs(members, "bucket", "node")
 
     def work(number: np.ndarray, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        return link_cells(number, rows, distance)
+        return link_cells(number, rows, lanes, limit)
 
-    return map_cells(cells, ["side", "fp"], work, "a bigint, b bigint")
+    return map_cells(cells, ["side", "node", *lanes], work, "a bigint, b bigint")
 
 
-def groups(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(fp, first, component_first): the smallest ``rank`` of each distinct fingerprint and
-    of everything it is linked to, directly or not. ``marks`` has fp and rank."""
-    own = stage(marks.groupBy("fp").agg(F.min("rank").alias("first")), "fingerprints")
-    linked = components(link_fingerprints(own.select("fp"), distance)).withColumnRenamed("node", "fp")
-    named = stage(own.join(linked, "fp", "left"), "named-fingerprints")
+def groups(marks: DataFrame, radius: int, limit: int) -> DataFrame:
+    """(fp0, ..., component_first): the smallest ``rank`` of each distinct fingerprint and
+    everything it is linked to, directly or not. ``marks`` has fp0, ... and rank."""
+    lanes = [c for c in marks.columns if c != "rank"]
+    own = stage(
+        marks.groupBy(*lanes)
+        .agg(F.min("rank").alias("first"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "fingerprints",
+    )
+    linked = components(link_nodes(own.select("node", *lanes), lanes, radius, limit))
+    named = stage(own.join(linked, "node", "left"), "named-fingerprints")
     lowest = (
         named.where(F.col("component").isNotNull())
         .groupBy("component")
         .agg(F.min("first").alias("lowest"))
     )
-    return stage(
-        named.join(lowest, "component", "left").select(
-            "fp", "first", F.coalesce("lowest", "first").alias("component_first")
-        ),
-        "components",
+    joined = named.join(lowest, "component").select(*lanes, F.col("lowest").alias("component_first"))
+    alone = named.where(F.col("component").isNull()).select(
+        *lanes, F.col("first").alias("component_first")
     )
+    return stage(joined.union(alone), "components")
 
 
 def near_duplicates(
@@ -291,28 +337,52 @@ def near_duplicates(
     not read. Equal fingerprints are one node, so copies make no pairs; among different
     ones no link is lost.
     """
-    marks = stage(with_fingerprints(docs.select(id_col, text_col), shingle), "marks")
-    table = groups(marks.select("fp", F.struct(F.col(id_col).isNull(), id_col).alias("rank")), distance)
-    return marks.join(table, "fp").select(
-        id_col,
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        F.col(f"component_first.{id_col}").alias("component_id"),
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    marks = stage(with_fingerprints(texts, shingle), "marks")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id").alias("rank")
+    table = groups(marks.select("fp0", rank), distance, distance)
+    return marks.join(table, "fp0").select(
+        F.col("id").alias(id_col),
+        F.lpad(F.lower(F.hex("fp0")), 16, "0").alias("fingerprint"),
+        F.col("component_first.id").alias("component_id"),
     )
 
 
+def bits_apart(similarity: float, lanes: int) -> int:
+    """Bits in which fingerprints of texts with this shared part of their shingles differ.
+
+    Sets of equal size with Jaccard similarity s have the cosine 2s / (1 + s), and a bit
+    differs with probability angle / pi.
+    """
+    cosine = 2 * similarity / (1 + similarity)
+    return math.floor(lanes * BITS * math.acos(cosine) / math.pi)
+
+
 def drop_near_copies(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    shingle: int = SHINGLE,
-    distance: int = DISTANCE,
+    shingle: int = 5,
+    similarity: float = 0.8,
+    lanes: int = 4,
+    radius: int = 6,
 ) -> DataFrame:
-    """The rows of ``docs`` that stay: exactly one per component, the one with the smallest id."""
+    """The rows of ``docs`` that stay: exactly one per group of near copies, that with the
+    smallest id (NULL last), all columns unchanged.
+
+    Near copies share ``similarity`` or more of their runs of ``shingle`` words, judged by
+    fingerprints of ``lanes`` times 64 bits. A pair is compared if one of its lanes differs
+    in ``radius`` bits or fewer; four lanes give a pair four chances. Texts without words
+    are copies of each other; repeated rows are reduced to one.
+    """
     table = keyed(docs)
-    narrow = table.select(
-        F.col(f"row.{id_col}").cast("bigint").alias("id"), "row_key", F.col(f"row.{text_col}").alias("text")
+    texts = table.select(
+        F.col(f"row.{id_col}").alias("id"), "row_key", F.col(f"row.{text_col}").alias("text")
     )
-    marks = stage(with_fingerprints(narrow, shingle), "marks")
+    marks = stage(with_fingerprints(texts, shingle, lanes), "marks")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "row_key").alias("rank")
-    kept = groups(marks.select("fp", rank), distance).select("component_first.row_key").distinct()
+    table_of = groups(
+        marks.select(*lane_names(lanes), rank), radius, bits_apart(similarity, lanes)
+    )
+    kept = table_of.select("component_first.row_key").distinct()
     return rows_in(table, kept)
