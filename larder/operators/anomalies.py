@@ -96,13 +96,14 @@ def flag_anomalies(
     """The anomaly table: flags, their sum, and the verdict (two or more flags).
 
     ``stats`` is the row from ``global_stats``. ``isolation`` is an optional frame of
-    keys with the isolation-forest flag; without it that flag is 0. Apart from the
-    optional join this is one narrow projection.
+    keys with the isolation-forest flag. Without it the flag is taken from ``features``
+    if it has that column, and is 0 otherwise. Apart from the optional join this is one
+    narrow projection.
     """
     rows = attach(features, stats)
-    if isolation is None:
+    if isolation is None and ISOLATION not in features.columns:
         rows = rows.withColumn(ISOLATION, F.lit(0))
-    else:
+    elif isolation is not None:
         unique = isolation.groupBy(*KEYS).agg(F.max(ISOLATION).alias(ISOLATION))
         rows = rows.join(unique, list(KEYS), "left").fillna(0, [ISOLATION])
     flags = {
@@ -116,7 +117,7 @@ def flag_anomalies(
         ISOLATION: F.col(ISOLATION),
     }
     flagged = rows.select(
-        *features.columns,
+        *(c for c in features.columns if c not in FLAGS),
         demand_deviation(zero_divisor).alias("demand_deviation"),
         lost_sales_ratio(zero_divisor).alias("lost_sales_ratio"),
         *(flags[name].alias(name) for name in FLAGS),

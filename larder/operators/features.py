@@ -91,16 +91,19 @@ def add_calendar_features(df: DataFrame, time: str = "ds") -> DataFrame:
     return df.select("*", *calendar_feature_columns(time))
 
 
-def cross_total_columns(target: str = TARGET, time: str = "ds") -> list[Column]:
-    return [
-        F.sum(target).over(Window.partitionBy("sku", time)).alias("sku_total_qty"),
-        F.sum(target).over(Window.partitionBy("store_id", time)).alias("store_total_qty"),
-    ]
-
-
 def add_cross_totals(df: DataFrame, target: str = TARGET, time: str = "ds") -> DataFrame:
-    """Units per (sku, day) over all stores and per (store, day) over all products."""
-    return df.select("*", *cross_total_columns(target, time))
+    """Units per (sku, day) over all stores and per (store, day) over all products.
+
+    Totals are summed before they are shuffled and joined back, so a day of a store that
+    sells every product is no task of its own: adaptive execution broadcasts the totals or
+    splits the join.
+    """
+    totals = df
+    for key in ("sku", "store_id"):
+        name = f"{'sku' if key == 'sku' else 'store'}_total_qty"
+        sums = df.groupBy(key, time).agg(F.sum(target).alias(name))
+        totals = totals.join(sums, [key, time])
+    return totals.select(*df.columns, "sku_total_qty", "store_total_qty")
 
 
 def demand_features(daily: DataFrame, min_lag: int = HORIZONS[0]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import flag
 from larder.operators.anomalies import ISOLATION, KEYS, attach
+from larder.operators.ranks import exact_quantiles
 
 FEATURES = (
     "units_sold",
@@ -164,11 +165,12 @@ def fit_isolation_forest(
 def isolation_flags(scored: DataFrame, contamination: float = 0.05) -> DataFrame:
     """Flag the highest-scoring share of rows.
 
-    Scores are compared at six decimals: the percentile then keeps at most a million
-    distinct values however many rows there are.
+    Scores are compared at six decimals. The cut comes from distributed counts of the
+    scores, so no task ranks them all.
     """
     score = F.round("isolation_score", 6)
-    cut = scored.agg(F.percentile(score, 1.0 - contamination).alias("_cut"))
+    rounded = scored.select(score.alias("score"))
+    cut = exact_quantiles(rounded, ["score"], {"cut": 1.0 - contamination})
     return attach(scored, cut).select(
-        *scored.columns, flag(score > F.col("_cut")).alias(ISOLATION)
+        *scored.columns, flag(score > F.col("score_cut")).alias(ISOLATION)
     )

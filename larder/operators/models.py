@@ -112,6 +112,15 @@ def score(
     )
 
 
+def save_model(model: PipelineModel, path: str) -> None:
+    """Store a fitted model in a folder, replacing what is there."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 # -- seasonal regression -----------------------------------------------------
 
 

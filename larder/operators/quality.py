@@ -172,17 +172,49 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column:
     return keys.join(parent.select(F.col(parent_column).alias("key")), "key", "left_anti")
 
 
-def _reference_result(rule: Rule, tables: Mapping[str, DataFrame]) -> DataFrame:
-    child = tables[rule.table]
-    orphans = orphan_keys(child, rule.column, tables[rule.parent], rule.parent_column)
-    bad = orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("bad_rows"))
-    total = child.agg(F.count(F.lit(1)).alias("total_rows"))
-    return bad.crossJoin(F.broadcast(total)).select(
-        F.lit(rule.table).alias("table"),
-        F.lit(rule.check).alias("check"),
-        (F.col("bad_rows") == 0).alias("passed"),
-        "bad_rows",
-        "total_rows",
+def _reference_results(child: DataFrame, rules: list[Rule], tables) -> DataFrame:
+    """One result row per reference rule of a table, from one scan of it.
+
+    Rows are counted per value of each key column, NULLs among them; the counts of a key
+    add up to the rows of the table, and the parents are joined to the few values.
+    """
+    keys = F.array(
+        *(
+            F.struct(F.lit(i).alias("rule"), F.col(r.column).cast("string").alias("key"))
+            for i, r in enumerate(rules)
+        )
+    )
+    counted = (
+        child.select(F.inline(keys)).groupBy("rule", "key").agg(F.count(F.lit(1)).alias("rows"))
+    )
+    parents = reduce(
+        DataFrame.union,
+        (
+            tables[r.parent].select(
+                F.lit(i).alias("rule"), F.col(r.parent_column).cast("string").alias("key")
+            )
+            for i, r in enumerate(rules)
+        ),
+    ).distinct()
+    found = counted.join(parents.withColumn("known", F.lit(True)), ["rule", "key"], "left")
+    bad = F.sum(F.when(F.col("key").isNotNull() & F.col("known").isNull(), F.col("rows")).otherwise(0))
+    summed = found.groupBy("rule").agg(bad.alias("bad_rows"), F.sum("rows").alias("total_rows"))
+    names = reduce(
+        DataFrame.union,
+        (
+            child.sparkSession.range(1).select(
+                F.lit(i).alias("rule"), F.lit(r.table).alias("table"), F.lit(r.check).alias("check")
+            )
+            for i, r in enumerate(rules)
+        ),
+    )
+    none = F.lit(0).cast("bigint")
+    return names.join(summed, "rule", "left").select(
+        "table",
+        "check",
+        (F.coalesce("bad_rows", none) == 0).alias("passed"),
+        F.coalesce("bad_rows", none).alias("bad_rows"),
+        F.coalesce("total_rows", none).alias("total_rows"),
     )
 
 
@@ -217,9 +249,11 @@ def run_rules(
         own = [r for r in rules if r.table == name and r.kind != "foreign_key"]
         if own:
             parts.append(_table_results(name, df, own))
-    for rule in rules:
-        if rule.kind == "foreign_key" and {rule.table, rule.parent} <= set(present):
-            parts.append(_reference_result(rule, present))
+        linked = [
+            r for r in rules if r.table == name and r.kind == "foreign_key" and r.parent in present
+        ]
+        if linked:
+            parts.append(_reference_results(df, linked, present))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -83,11 +83,6 @@ def plausible_sales(sales: DataFrame) -> DataFrame:
     return sales.where((F.col("units_sold") >= 0) & (F.col("revenue") >= 0))
 
 
-def with_history(features: DataFrame, column: str = "units_sold_lag_7") -> DataFrame:
-    """Rows far enough into their series to have the given lag."""
-    return features.where(F.col(column).isNotNull())
-
-
 def complete_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.na.drop(subset=columns)
 

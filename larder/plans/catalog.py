@@ -9,6 +9,8 @@ from larder.plans import (  # noqa: F401
     sales_queries,
     storage_queries,
 )
-from larder.plans.registry import QUERIES, Query, Workspace
+from larder.plans.registry import QUERIES, Query, Workspace, add_forest_reports
+
+add_forest_reports()
 
 __all__ = ["QUERIES", "Query", "Workspace"]

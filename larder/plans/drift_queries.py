@@ -147,3 +147,15 @@ def _(w):
 )
 def _(w):
     return drift.retrain_decision(drift.drift_report(_marked(w)))
+
+
+@query(
+    "drift_without_data",
+    "X2 X3 X4 P17",
+    "SELECT feature, 'no data' AS status, NULL::BOOLEAN AS drift_detected FROM cells GROUP BY feature",
+)
+def _(w):
+    report = drift.drift_report(drift.periods(w.features, "2030-01-01"))
+    return report.select(
+        "feature", drift.drift_status(F.col("psi")).alias("status"), "drift_detected"
+    )

@@ -324,9 +324,55 @@ def _(w):
 
 @query("anomaly_table", "J6 A9")
 def _(w):
-    from larder.session import stage
+    return w.forest_table
 
-    table = w.stored(*w.features.columns)
-    scored = stage(isolation.fit_isolation_forest(table).score(table), "scored")
-    flags = isolation.isolation_flags(scored).select("ds", "sku", "store_id", anomalies.ISOLATION)
-    return anomalies.flag_anomalies(table, anomalies.global_stats(table), flags)
+
+SQL_FLAGS = ", ".join(f for f in anomalies.FLAGS if f != anomalies.ISOLATION)
+
+
+@query(
+    "anomaly_table_sql_flags",
+    "A9",
+    f"SELECT ds, sku, store_id, {SQL_FLAGS}, anomaly_score AS other_flags FROM anomalies",
+)
+def _(w):
+    table = w.forest_table
+    return table.select(
+        "ds", "sku", "store_id", *SQL_FLAGS.split(", "),
+        (F.col("anomaly_score") - F.col(anomalies.ISOLATION)).alias("other_flags"),
+    )
+
+
+@query(
+    "forest_share",
+    "A8",
+    "SELECT COUNT(*) AS rows, TRUE AS some_flagged, TRUE AS at_most_5_pct FROM features",
+)
+def _(w):
+    flagged = F.sum(anomalies.ISOLATION)
+    rows = F.count(F.lit(1))
+    return w.forest_table.agg(
+        rows.alias("rows"),
+        (flagged > 0).alias("some_flagged"),
+        (flagged <= F.ceil(rows * 0.05)).alias("at_most_5_pct"),
+    )
+
+
+@query(
+    "flag_update",
+    "J6",
+    f"""SELECT ds, sku, store_id, {SQL_FLAGS}, anomaly_isolation_forest, anomaly_score,
+      CASE WHEN anomaly_score >= 2 THEN 1 ELSE 0 END AS is_anomaly
+    FROM (SELECT * REPLACE (CASE WHEN units_sold > 60 THEN 1 ELSE 0 END AS anomaly_isolation_forest,
+      anomaly_score + CASE WHEN units_sold > 60 THEN 1 ELSE 0 END AS anomaly_score) FROM anomalies)""",
+)
+def _(w):
+    # The update join on a flag that SQL can compute too; keys repeat, some are missing.
+    table = w.anomaly_inputs
+    busy = table.where("units_sold > 60").select(
+        "ds", "sku", "store_id", F.lit(1).alias(anomalies.ISOLATION)
+    )
+    flagged = anomalies.flag_anomalies(table, anomalies.global_stats(table), busy.union(busy))
+    return flagged.select(
+        "ds", "sku", "store_id", *anomalies.FLAGS, "anomaly_score", "is_anomaly"
+    )

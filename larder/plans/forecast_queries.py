@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import round_to
 from larder.operators import features, metrics, models, segments
 from larder.plans.registry import CANDIDATES, KINDS, isum, pct, query, r
 from larder.plans.views import accuracy
-from larder.session import stage
+from larder.session import fresh_path, stage
 
 PROFILE = ("mean_demand", "std_demand", "cv", "nonzero_pct", "cumulative_pct")
 
@@ -282,27 +285,148 @@ def _(w):
     )
 
 
-@query("seasonal_regression", "M17")
-def _(w):
+def _days(w):
+    """Units per day, marked by period."""
     marked = models.mark_test_rows(w.sold)
-    days = stage(
+    return stage(
         marked.groupBy("ds", "is_test").agg(F.sum("units_sold").cast("double").alias("actual")),
         "days",
     )
+
+
+def _seasonal_predictions(days):
     fitted = models.fit_seasonal(days.where("NOT is_test"))
-    predicted = models.predict_seasonal(fitted, days.where("is_test"))
+    return models.predict_seasonal(fitted, days.where("is_test"))
+
+
+def _smoothed_series(w):
+    marked = models.mark_test_rows(w.sold)
+    rows = marked.withColumnRenamed("units_sold", "actual")
+    return stage(models.forecast_series(rows), "smoothed")
+
+
+@query("seasonal_regression", "M17")
+def _(w):
     return metrics.compare_models(
-        predicted.withColumn("model", F.lit("seasonal_regression")),
+        _seasonal_predictions(_days(w)).withColumn("model", F.lit("seasonal_regression")),
         {"seasonal_regression": "TimeSeries"},
     )
 
 
 @query("series_smoothing", "M16")
 def _(w):
-    marked = models.mark_test_rows(w.sold)
-    rows = marked.withColumnRenamed("units_sold", "actual")
-    predicted = stage(models.forecast_series(rows), "smoothed")
     return metrics.compare_models(
-        predicted.withColumn("model", F.lit("series_smoothing")),
+        _smoothed_series(w).withColumn("model", F.lit("series_smoothing")),
         {"series_smoothing": "TimeSeries"},
     )
+
+
+ALPHA, BETA, GAMMA = 0.3, 0.1, 0.2
+
+
+@query(
+    "daily_smoothing",
+    "M16",
+    f"""SELECT ds, actual, {r("level + trend * step + seasonal[(n - 1 + step) % 7 + 1]", 4)} AS pred
+    FROM (WITH RECURSIVE
+      totals AS MATERIALIZED (SELECT ds, is_test, CAST(SUM(units_sold) AS DOUBLE) AS actual
+        FROM split_features GROUP BY ds, is_test),
+      span AS MATERIALIZED (SELECT MIN(ds) AS first, MAX(ds) AS last FROM totals WHERE NOT is_test),
+      history AS MATERIALIZED (SELECT date_diff('day', first, CAST(day AS DATE)) AS t,
+          COALESCE(actual, 0) AS actual
+        FROM (SELECT first, UNNEST(generate_series(first, last, INTERVAL 1 DAY)) AS day FROM span)
+        LEFT JOIN (SELECT * FROM totals WHERE NOT is_test) d ON d.ds = CAST(day AS DATE)),
+      start AS (SELECT AVG(actual) FILTER (WHERE t < 7) AS a, AVG(actual) FILTER (WHERE t >= 7) AS b,
+          LIST(actual ORDER BY t) FILTER (WHERE t < 7) AS week FROM history WHERE t < 14),
+      run AS (
+        SELECT 6::BIGINT AS t, a AS level, (b - a) / 7 AS trend,
+          list_transform(week, lambda x: x - a) AS seasonal FROM start
+        UNION ALL
+        SELECT h.t, level + trend + {ALPHA} * s, trend + {ALPHA * BETA} * s,
+          list_transform(seasonal, lambda x, i:
+            CASE WHEN i = h.t % 7 + 1 THEN x + {GAMMA * (1 - ALPHA)} * s ELSE x END)
+        FROM (SELECT h.t, level, trend, seasonal,
+            h.actual - (level + trend + seasonal[h.t % 7 + 1]) AS s
+          FROM run JOIN history h ON h.t = run.t + 1) h)
+      SELECT d.ds, d.actual, level, trend, seasonal, run.t + 1 AS n,
+        date_diff('day', last, d.ds) AS step
+      FROM totals d, span, run
+      WHERE d.is_test AND run.t = (SELECT MAX(t) FROM history))""",
+)
+def _(w):
+    # The daily total as one series, with fixed weights, so that SQL can follow.
+    forecast = models.forecast_series(_days(w), group=(), weights=(ALPHA, BETA, GAMMA))
+    return forecast.select("ds", "actual", round_to("pred", 4).alias("pred"))
+
+
+COMPLETE_INPUTS = " AND ".join(f"{c} IS NOT NULL" for c in models.INPUTS)
+TRAINED_KINDS = {
+    "boosted_trees": "ML",
+    "sampled_boosted_trees": "ML",
+    "seasonal_regression": "TimeSeries",
+    "series_smoothing": "TimeSeries",
+}
+
+
+def _trained_predictions(w):
+    """Predictions of every trained model for the days of the test period."""
+    rows = _split(w)
+    parts = []
+    for name, settings in (
+        ("boosted_trees", models.PLAIN_TREES),
+        ("sampled_boosted_trees", models.SAMPLED_TREES),
+    ):
+        fitted = models.tree_pipeline(**settings).fit(rows.where("NOT is_test"))
+        scored = models.score(fitted, rows.where("is_test"), name, clip=True)
+        parts.append(_as_predictions(scored, name).select("model", "ds", "sku", "actual", "pred"))
+    days = _seasonal_predictions(_days(w)).withColumn("model", F.lit("seasonal_regression"))
+    parts.append(days.select("model", "ds", F.lit(None).alias("sku"), "actual", "pred"))
+    series = _smoothed_series(w).withColumn("model", F.lit("series_smoothing"))
+    parts.append(series.select("model", "ds", "sku", "actual", "pred"))
+    return stage(reduce(DataFrame.union, parts), "predictions")
+
+
+@query("trained_comparison", "M13 M14 M16 M17 M20 M21 M22")
+def _(w):
+    """All trained models side by side, the best of the tree models marked, and the gate."""
+    predictions = _trained_predictions(w)
+    compared = stage(metrics.compare_models(predictions, TRAINED_KINDS), "compared")
+    best = metrics.best_model(compared).select("model", F.lit(True).alias("is_best"))
+    gate = metrics.validation_gate(metrics.evaluate_daily(predictions, ["model"]))
+    return (
+        compared.join(best, "model", "left")
+        .fillna(False, ["is_best"])
+        .join(gate.select("model", "all_passed"), "model")
+    )
+
+
+@query(
+    "saved_model_scores",
+    "M18",
+    f"""SELECT ds, sku, store_id, units_sold, TRUE AS non_negative, TRUE AS error_fits,
+      'boosted_trees' AS model_used
+    FROM (SELECT *, date_diff('day', DATE '1970-01-01', ds) AS day FROM features
+      WHERE {COMPLETE_INPUTS})
+    WHERE day >= (SELECT QUANTILE_CONT(date_diff('day', DATE '1970-01-01', ds), 0.8)
+      FROM features WHERE {COMPLETE_INPUTS})""",
+)
+def _(w):
+    # A model is fitted, saved, loaded and then scores a table. Few rounds: SQL checks what
+    # it can, which rows are scored and that their errors fit.
+    rows = _split(w)
+    path = fresh_path(w.spark, "model")
+    fitted = models.tree_pipeline(maxIter=5).fit(rows.where("NOT is_test"))
+    models.save_model(fitted, path)
+    scored = models.score(
+        models.load_model(path), rows.where("is_test"), "boosted_trees", clip=True
+    )
+    gap = F.col("units_sold") - F.col("predicted_demand") - F.col("prediction_error")
+    return scored.select(
+        "ds",
+        "sku",
+        "store_id",
+        "units_sold",
+        (F.col("predicted_demand") >= 0).alias("non_negative"),
+        (F.abs(gap) < 1e-9).alias("error_fits"),
+        "model_used",
+    )

@@ -16,7 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.operators import anomalies, features, gold, metrics, models, segments, staging
+from larder.operators import (
+    anomalies,
+    features,
+    gold,
+    isolation,
+    metrics,
+    models,
+    segments,
+    staging,
+)
 from larder.session import stage
 from larder.sources.orderbook import OrderBook
 
@@ -81,6 +90,18 @@ class Workspace(OrderBook):
         stats = anomalies.global_stats(self.anomaly_inputs)
         return anomalies.flag_anomalies(self.anomaly_inputs, stats)
 
+    @cached_property
+    def forest_table(self) -> DataFrame:
+        """The anomaly table with all eight flags, the isolation forest among them.
+
+        The score is a function of the row, so it is stored beside the inputs and the
+        flag is set in the same projection as the others.
+        """
+        table = self.anomaly_inputs
+        scored = stage(isolation.fit_isolation_forest(table).score(table), "scored")
+        flagged = isolation.isolation_flags(scored).drop("isolation_score")
+        return anomalies.flag_anomalies(flagged, anomalies.global_stats(scored))
+
     @cached_property
     def candidates(self) -> DataFrame:
         return self.stored(*features.SERIES, "ds", "units_sold", *CANDIDATES.values())
@@ -96,6 +117,14 @@ class Workspace(OrderBook):
         return segments.segment_products(self.candidates)
 
 
+class ForestWorkspace(Workspace):
+    """The same views for reports on all eight flags."""
+
+    @cached_property
+    def anomalies(self) -> DataFrame:
+        return self.forest_table
+
+
 # Naive forecasts: each model is a column of the feature table.
 CANDIDATES = {
     "lag_7": "units_sold_lag_7",
@@ -111,9 +140,10 @@ class Query:
     covers: tuple[str, ...]
     build: Callable[[Workspace], DataFrame]
     sql: str | None
+    workspace: type[Workspace] = Workspace
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        return plain_numbers(self.build(Workspace(spark, folder)))
+        return plain_numbers(self.build(self.workspace(spark, folder)))
 
 
 def plain_numbers(df: DataFrame) -> DataFrame:
@@ -141,6 +171,30 @@ def query(name: str, covers: str, sql: str | None = None):
     return register
 
 
+# Reports on the anomaly table. Each also runs over the table with the isolation forest,
+# whose sampled trees SQL cannot grow: those have no SQL counterpart.
+ANOMALY_REPORTS = (
+    "anomaly_summary",
+    "flag_counts",
+    "top_anomalies",
+    "anomalies_by_sku",
+    "anomalies_by_store",
+    "anomalies_by_date",
+    "anomaly_rate",
+    "anomaly_context",
+    "period_anomalies",
+    "stores_by_anomaly_rate",
+    "history_near_anomalies",
+)
+
+
+def add_forest_reports() -> None:
+    for name in ANOMALY_REPORTS:
+        plain = QUERIES[name]
+        full = f"{name}_with_forest"
+        QUERIES[full] = Query(full, plain.covers, plain.build, None, ForestWorkspace)
+
+
 # -- SQL side ----------------------------------------------------------------
 
 VIEWS: dict[str, str] = {}

@@ -63,7 +63,9 @@ def _(w):
     "features_with_history",
     "P6 P7 P8",
     f"""SELECT sku, COUNT(*) AS complete_rows, {isum("units_sold_lag_30")} AS lag_30_total,
-      (SELECT COUNT(*) FROM features f WHERE f.sku = g.sku) AS rows_with_history
+      (SELECT COUNT(*) FROM features f WHERE f.sku = g.sku) AS rows_with_history,
+      (SELECT COUNT(*) FROM features f WHERE f.sku = g.sku
+        AND COALESCE(units_sold_lag_30, 0) = 0) AS zero_rows
     FROM features g WHERE units_sold_lag_30 IS NOT NULL GROUP BY sku""",
 )
 def _(w):
@@ -74,6 +76,7 @@ def _(w):
     summed = filled.groupBy("sku").agg(
         F.count(F.lit(1)).alias("rows_with_history"),
         F.sum("units_sold_lag_30").alias("lag_30_total"),
+        F.count_if(F.col("units_sold_lag_30") == 0).alias("zero_rows"),
     )
     return kept.join(summed, "sku")
 
@@ -442,10 +445,10 @@ def _(w):
     "revenue_above_threshold",
     "G24",
     f"""SELECT sku, {msum("revenue")} AS revenue FROM sales_line GROUP BY sku
-    HAVING SUM(revenue) > 10000""",
+    HAVING SUM(revenue) > 1500000""",
 )
 def _(w):
-    return reports.revenue_above(w.line)
+    return reports.revenue_above(w.line, 1_500_000)
 
 
 @query(
@@ -550,8 +553,10 @@ def _(w):
     "history_near_anomalies",
     "J7 P12 F8",
     """SELECT a.sku, a.store_id, a.ds AS event_ds, f.ds AS ds, f.units_sold, f.demand
-    FROM anomalies a JOIN features f ON a.sku = f.sku AND a.store_id = f.store_id
-      AND f.ds BETWEEN a.ds - 7 AND a.ds + 1 WHERE a.is_anomaly = 1""",
+    FROM (SELECT sku, store_id, ds, UNNEST(range(-7, 2)) AS shift FROM anomalies
+      WHERE is_anomaly = 1) a
+    JOIN features f ON a.sku = f.sku AND a.store_id = f.store_id
+      AND f.ds = a.ds + CAST(shift AS INTEGER)""",
 )
 def _(w):
     events = w.anomalies.where("is_anomaly = 1").select("sku", "store_id", "ds")
@@ -578,7 +583,7 @@ def _(w):
 
 @query(
     "primary_supplier_terms",
-    "J10 F14",
+    "J10",
     """SELECT m.supplier_id, sku, min_order_qty, lead_time_days, payment_terms_days
     FROM supplier_map m JOIN suppliers s ON m.supplier_id = s.supplier_id WHERE is_primary""",
 )
@@ -586,6 +591,16 @@ def _(w):
     return reports.primary_supplier_terms(w.supplier_product_map(), w.suppliers())
 
 
+@query(
+    "supplier_codes",
+    "F14",
+    """SELECT sku, supplier_id, supplier_id || '_' || sku AS supplier_sku, is_primary
+    FROM supplier_map""",
+)
+def _(w):
+    return w.supplier_product_map().select("sku", "supplier_id", "supplier_sku", "is_primary")
+
+
 @query(
     "dense_calendar",
     "J12",
@@ -680,7 +695,7 @@ def _(w):
 
 @query(
     "calendar_functions",
-    "F5 F11 F12",
+    "F5 F11",
     f"""SELECT quarter(date) AS quarter, (month(date) - 1) // 3 + 1 AS quarter_from_month,
       strftime(date, '%Y-%m') AS year_month, COUNT(*) AS lines,
       {isum("CAST(stockout_flag AS INTEGER)")} AS stockouts

@@ -68,7 +68,7 @@ def _(w):
 
 @query(
     "source_files",
-    "IO4",
+    "IO4 F12",
     "SELECT 'lineitem.parquet' AS source_file, COUNT(*) AS rows, COUNT(*) AS stamped FROM lineitem",
 )
 def _(w):
@@ -158,6 +158,10 @@ def _(w):
     return found.select("category", "products", "price.low", "price.high")
 
 
+# A series has feature rows from its eighth day on.
+SERIES_ROWS = """(SELECT * FROM (SELECT row_number() OVER (PARTITION BY sku, store_id ORDER BY date)
+  AS day FROM (SELECT DISTINCT sku, store_id, date FROM stg_sales)) WHERE day > 7)"""
+
 LAKE_TABLES = {
     "bronze.sales": "sales_line",
     "bronze.products": "products",
@@ -170,6 +174,9 @@ LAKE_TABLES = {
     "gold.fct_weekly_sales": "(SELECT DISTINCT week_start, store_id, sku FROM stg_sales)",
     "gold.fct_monthly_sales": "monthly_gold",
     "gold.dim_product_performance": "performance_gold",
+    "gold.demand_features": SERIES_ROWS,
+    "gold.isolation_scores": SERIES_ROWS,
+    "gold.anomalies": SERIES_ROWS,
 }
 
 
@@ -191,7 +198,7 @@ def _(w):
             "inventory": w.inventory(),
         }
     )
-    pipeline.run(("silver", "gold"))
+    pipeline.run(("silver", "gold", "features", "anomalies"))
     written = {t: pipeline.layers[t.split(".")[0]].read(t.split(".")[1]) for t in pipeline.written}
     return layers.row_counts(written).drop("status")
 
@@ -224,3 +231,18 @@ def _(w):
 def _(w):
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
     return layers.sample_rows(w.table("lineitem").select(*order), order, 20)
+
+
+@query(
+    "reconciled_nulls",
+    "IO14",
+    """SELECT 'swapped' AS "table", COUNT(*) AS left_rows, COUNT(*) AS right_rows,
+      TRUE AS counts_match, FALSE AS content_match FROM part""",
+)
+def _(w):
+    # The same values and NULLs, in each other's column: no content match.
+    size = F.col("p_size")
+    left = w.table("part").select(
+        F.when(size % 2 == 0, size).alias("a"), F.when(size % 2 == 1, size).alias("b")
+    )
+    return layers.reconcile({"swapped": (left, left.select(F.col("b").alias("a"), F.col("a").alias("b")))})

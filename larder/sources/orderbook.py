@@ -8,7 +8,7 @@ hinted: the size-checked automatic broadcast and AQE choose the strategy.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.functions import exact_sum
@@ -51,8 +51,8 @@ class OrderBook:
     def sales_daily(self) -> DataFrame:
         """Daily grain: unique on (sku, store_id, ds).
 
-        Lines are summed before anything else shuffles, so however many lines one
-        product has, a series never holds more rows than there are days.
+        Lines are summed per product, supplier and day before the dimensions are joined,
+        so however many lines one product has, a join sees a row per supplier and day.
         """
         lines = self.table("lineitem").selectExpr(
             "l_partkey",
@@ -63,23 +63,28 @@ class OrderBook:
             f"{_LINE_REVENUE} AS revenue",
             "l_discount >= 0.09D AS is_promo",
         )
+        summed = lines.groupBy("l_partkey", "l_suppkey", "ds").agg(*self._daily_sums())
         brand = self.table("part").selectExpr("p_partkey AS l_partkey", "p_brand AS sku")
         nation = self.table("supplier").selectExpr(
             "s_suppkey AS l_suppkey", "s_nationkey AS store_id"
         )
         return (
-            lines.join(brand, "l_partkey")
+            summed.join(brand, "l_partkey")
             .join(nation, "l_suppkey")
             .groupBy("sku", "store_id", "ds")
-            .agg(
-                F.sum("units_sold").alias("units_sold"),
-                F.sum("demand").alias("demand"),
-                exact_sum("revenue").alias("revenue"),
-                F.max("is_promo").alias("is_promo"),
-            )
+            .agg(*self._daily_sums())
             .withColumn("stockout_flag", F.col("demand") > F.col("units_sold"))
         )
 
+    @staticmethod
+    def _daily_sums() -> list[Column]:
+        return [
+            F.sum("units_sold").alias("units_sold"),
+            F.sum("demand").alias("demand"),
+            exact_sum("revenue").alias("revenue"),
+            F.max("is_promo").alias("is_promo"),
+        ]
+
     def purchase_orders(self) -> DataFrame:
         lines = self.table("lineitem").selectExpr(
             "l_orderkey",
@@ -212,5 +217,5 @@ class OrderBook:
             "sku",
             "supplier_id",
             (F.col("supplier_id") == F.col("primary_id")).alias("is_primary"),
-            F.concat_ws("-", "sku", "supplier_id").alias("supplier_sku"),
+            F.concat_ws("_", "supplier_id", "sku").alias("supplier_sku"),
         )

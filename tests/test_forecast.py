@@ -109,10 +109,28 @@ def test_smoothing_follows_trend_and_season():
     t = np.arange(140)
     season = np.array([0, 3, 6, 2, -4, -5, -2.0])
     y = 50 + 0.3 * t + season[t % 7]
-    forecast = models.smooth_series(y[:112], 28)
-    assert np.abs(forecast - y[112:]).max() < 1.5
-    assert (models.smooth_series(np.array([4.0, 6.0]), 3) == 5.0).all()
-    assert (models.smooth_series(np.array([]), 2) == 0.0).all()
+    forecast, method = models.smooth_series(y[:112], np.arange(1, 29))
+    assert np.abs(forecast - y[112:]).max() < 1.5 and method == "holt_winters"
+    for history, mean in (([4.0, 6.0], 5.0), ([], 0.0)):
+        forecast, method = models.smooth_series(np.array(history), np.arange(1, 4))
+        assert (forecast == mean).all() and method == "mean"
+
+
+def test_series_with_gaps_keep_their_week(spark):
+    """Sales on two days a week only: the season is a matter of the date, not of the row."""
+    start = dt.date(2024, 1, 1)
+    rows = [
+        ("a", start + dt.timedelta(d), 20 if d % 7 == 2 else 10, d >= 84)
+        for d in range(112)
+        if d % 7 in (2, 5) and d % 35 != 5
+    ]
+    df = spark.createDataFrame(rows, "sku string, ds date, actual int, is_test boolean")
+    got = {r.ds: r for r in models.forecast_series(df, ["sku"]).collect()}
+    assert len(got) == sum(r[3] for r in rows)
+    assert all(abs(got[r[1]].pred - r[2]) < 4 for r in rows if r[3])
+    assert {r.method for r in got.values()} == {"holt_winters"}
+    whole = models.forecast_series(df.drop("sku"), []).collect()
+    assert sorted(r.pred for r in whole) == sorted(r.pred for r in got.values())
 
 
 def test_series_forecasts_cover_the_test_rows(spark):

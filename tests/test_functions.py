@@ -72,3 +72,16 @@ def test_fiscal_calendar_starts_in_april(spark, day, year, month):
 def test_weeks_start_on_monday(spark):
     d = F.lit("2024-05-12").cast("date")
     assert one(spark, period_start("week", d)) == dt.date(2024, 5, 6)
+
+
+def test_fine_grained_sums_need_more_places(spark):
+    small = spark.range(1000).select(F.lit(0.00004).alias("v"))
+    assert small.agg(exact_sum("v", places=8, digits=28)).first()[0] == 0.04
+    large = spark.range(3).select(F.lit(2e14).alias("v"))
+    assert large.agg(exact_sum("v", digits=28)).first()[0] == 6e14
+
+
+def test_rounding_has_one_rule_for_all_sizes(spark):
+    for value in (4.4e9, 4.6e9, 1e15):
+        assert one(spark, round_to(F.lit(value + 0.125), 2)) == round(value + 0.13, 2)
+    assert one(spark, round_to(F.lit(1e300), 2)) == 1e300

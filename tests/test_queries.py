@@ -10,7 +10,13 @@ from conftest import DATA
 from larder.plans.catalog import QUERIES
 
 WITH_SQL = [n for n, q in QUERIES.items() if q.sql]
-TRAINED = {"boosted_trees", "sampled_boosted_trees", "feature_importance"}
+# Each fits a hundred rounds or more; test_forecast fits the same pipelines on small tables.
+TRAINED = {
+    "boosted_trees",
+    "sampled_boosted_trees",
+    "feature_importance",
+    "trained_comparison",
+}
 
 
 @pytest.fixture(scope="module")
