@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from larder.functions import round_to, snap
 from larder.operators.ranks import running_totals
 from larder.operators.staging import complete_rows
+from larder.session import stage
 
 # Monitored inputs and target. Fixed by the data model.
 FEATURES = (
@@ -71,13 +72,8 @@ def value_histogram(marked: DataFrame, columns: Sequence[str]) -> DataFrame:
     Values are taken at six decimals: two windows over the same numbers in another
     order may differ in the last float digit, and must still count as one value.
     """
-    types = dict(marked.dtypes)
-
-    def number(c: str) -> Column:
-        return snap(c) if types[c] in ("double", "float") else F.col(c).cast("double")
-
     cells = F.array(
-        *(F.struct(F.lit(c).alias("feature"), number(c).alias("value")) for c in columns)
+        *(F.struct(F.lit(c).alias("feature"), _number(marked, c).alias("value")) for c in columns)
     )
     return (
         marked.select("is_reference", "is_current", F.inline(cells))
@@ -100,36 +96,58 @@ def ranked_histogram(marked: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def psi(histogram: DataFrame, bins: int = 10) -> DataFrame:
+def _number(marked: DataFrame, c: str) -> Column:
+    """A monitored value as a double, at six decimals where it is a computed one."""
+    computed = dict(marked.dtypes)[c] in ("double", "float")
+    return snap(c) if computed else F.col(c).cast("double")
+
+
+def _spans(marked: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, n_reference, n_current, low, high): one row per feature, from one aggregate."""
+    summed, rows = [], []
+    for i, c in enumerate(columns):
+        value = _number(marked, c)
+        before = F.col("is_reference") & value.isNotNull()
+        summed += [
+            F.min(F.when(before, value)).alias(f"low_{i}"),
+            F.max(F.when(before, value)).alias(f"high_{i}"),
+            F.count_if(before).alias(f"r_{i}"),
+            F.count_if(F.col("is_current") & value.isNotNull()).alias(f"c_{i}"),
+        ]
+        low, high = F.col(f"low_{i}"), F.col(f"high_{i}")
+        rows.append(
+            F.struct(
+                F.lit(c).alias("feature"),
+                F.col(f"r_{i}").alias("n_reference"),
+                F.col(f"c_{i}").alias("n_current"),
+                F.when(low == high, low - 0.5).otherwise(low).alias("low"),
+                F.when(low == high, high + 0.5).otherwise(high).alias("high"),
+            )
+        )
+    found = marked.agg(*summed).select(F.inline(F.array(*rows)))
+    return found.where((F.col("n_reference") > 0) | (F.col("n_current") > 0))
+
+
+def psi(marked: DataFrame, columns: Sequence[str] = (*FEATURES, TARGET), bins: int = 10) -> DataFrame:
     """Population stability index per feature.
 
     Equal-width bins span the reference values, the last one closed on the right; a
     constant feature gets a unit-wide span. Current values outside the span fall in
-    no bin but stay in the denominator. Counts are smoothed by one.
+    no bin but stay in the denominator. Counts are smoothed by one. Rows are counted per
+    bin before they are shuffled. ``marked`` is read twice: store it first.
     """
-    spans = histogram.groupBy("feature").agg(
-        F.min(F.when(F.col("reference") > 0, F.col("value"))).alias("low"),
-        F.max(F.when(F.col("reference") > 0, F.col("value"))).alias("high"),
-        F.sum("reference").alias("n_reference"),
-        F.sum("current").alias("n_current"),
-    )
-    constant = F.col("low") == F.col("high")
-    spans = spans.select(
-        "feature",
-        "n_reference",
-        "n_current",
-        F.when(constant, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
-        F.when(constant, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
-    )
+    spans = stage(_spans(marked, columns), "spans")
     step = (F.col("high") - F.col("low")) / bins
-    value = F.col("value")
-    passed = [(value >= F.col("low") + step * i).cast("int") for i in range(1, bins)]
+    passed = [(F.col("value") >= F.col("low") + step * i).cast("int") for i in range(1, bins)]
+    cells = F.array(
+        *(F.struct(F.lit(c).alias("feature"), _number(marked, c).alias("value")) for c in columns)
+    )
     binned = (
-        histogram.select("feature", "value", "reference", "current")
-        .join(spans, "feature")
-        .where(value.between(F.col("low"), F.col("high")))
+        marked.select("is_reference", "is_current", F.inline(cells))
+        .join(F.broadcast(spans), "feature")  # one row per monitored column
+        .where(F.col("value").between(F.col("low"), F.col("high")))
         .groupBy("feature", sum(passed, F.lit(0)).alias("bin"))
-        .agg(F.sum("reference").alias("r"), F.sum("current").alias("c"))
+        .agg(F.count_if("is_reference").alias("r"), F.count_if("is_current").alias("c"))
     )
     # Bins without any value are absent above; they contribute through smoothing.
     grid = spans.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
@@ -185,14 +203,16 @@ def drift_report(
     psi_limit: float = PSI_LIMIT,
     p_limit: float = P_VALUE_LIMIT,
 ) -> DataFrame:
-    """PSI, KS, p-value and verdict per feature, all from one value histogram.
+    """PSI, KS, p-value and verdict per feature.
 
+    The monitored columns are stored once; PSI counts bins, KS ranks the value histogram.
     A feature without a value in one of the periods has NULLs, the verdict included, and
     the status 'no data'.
     """
+    marked = stage(marked.select("is_reference", "is_current", *columns), "periods")
     ranked = ranked_histogram(marked, columns)
     p = ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
-    joined = psi(ranked, bins).join(ks_statistic(ranked), "feature")
+    joined = psi(marked, columns, bins).join(ks_statistic(ranked), "feature")
     known = (F.col("n_reference") > 0) & (F.col("n_current") > 0)
     verdict = F.when(known, (F.col("psi") > psi_limit) | (F.col("p") < p_limit))
     return joined.withColumn("p", p).select(

@@ -269,8 +269,8 @@ def rule_summary(results: DataFrame) -> DataFrame:
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column: type, nulls, null share and distinct values.
 
-    Exact counts list every (column, value) pair once per map task, so repeated
-    values never travel; ``exact=False`` keeps one sketch per column and does not
+    Exact counts read one column at a time and shuffle each of its values once per map
+    task, in its own type; ``exact=False`` keeps one sketch per column and does not
     shuffle rows at all.
     """
     types = dict(df.dtypes)
@@ -293,27 +293,23 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
             )
         )
         return counted.select(F.inline(rows))
-    cells = F.array(
-        *(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(types[c]).alias("type"),
-                F.col(c).cast("string").alias("value"),
-            )
-            for c in types
+
+    def one(c: str) -> DataFrame:
+        values = df.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        counted = values.agg(
+            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+            F.sum("n").alias("rows"),
+            F.count("value").alias("unique_count"),
         )
-    )
-    values = (
-        df.select(F.inline(cells))
-        .groupBy("column", "type", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    null_count = F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0))
-    return values.groupBy("column", "type").agg(
-        null_count.alias("null_count"),
-        F.coalesce(percent(null_count, F.sum("rows")), F.lit(0.0)).alias("null_pct"),
-        F.count("value").alias("unique_count"),
-    )
+        return counted.where(F.col("rows") > 0).select(
+            F.lit(c).alias("column"),
+            F.lit(types[c]).alias("type"),
+            F.col("nulls").alias("null_count"),
+            percent("nulls", "rows").alias("null_pct"),
+            "unique_count",
+        )
+
+    return reduce(DataFrame.unionByName, map(one, types))
 
 
 def null_counts(df: DataFrame, table: str) -> DataFrame:

@@ -99,8 +99,8 @@ def _(w):
 def _(w):
     from larder.session import stage
 
-    histogram = stage(drift.value_histogram(_marked(w), COLUMNS), "histogram")
-    return drift.psi(histogram).select("feature", round_to("psi", 6).alias("psi"))
+    marked = stage(_marked(w).select("is_reference", "is_current", *COLUMNS), "periods")
+    return drift.psi(marked, COLUMNS).select("feature", round_to("psi", 6).alias("psi"))
 
 
 @query("ks_statistic", "X2", f"SELECT feature, {r('ks', 6)} AS ks_statistic FROM ks_table")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from larder.operators import anomalies, features, gold, isolation, quality, staging
 from larder.schemas import RAW_TABLES
+from larder.session import clear_stages
 from larder.sources.layers import Layer, ingest
 
 STAGES = ("bronze", "check", "silver", "gold", "features", "anomalies")
@@ -139,7 +140,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--gold-only", action="store_true")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("larder-pipeline").getOrCreate()
-    Pipeline(spark, args.lake, args.raw).run(chosen_stages(args))
+    try:
+        Pipeline(spark, args.lake, args.raw).run(chosen_stages(args))
+    finally:
+        clear_stages(spark)
 
 
 if __name__ == "__main__":

@@ -78,7 +78,13 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
 
 
 def clear_stages(spark: SparkSession) -> None:
-    """Remove everything ``stage`` wrote; frames that read it become unusable."""
+    """Remove everything ``stage`` and ``fresh_path`` stored for queries of this session.
+
+    A query returns a frame that still reads these files, so only the caller knows when
+    they can go: call this after the result is collected or written. The benchmark, the
+    query check and the pipeline's command line do. Frames that read the files become
+    unusable.
+    """
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/larder")
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

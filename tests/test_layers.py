@@ -144,3 +144,23 @@ def test_gold_on_zero_demand(spark):
     weekly = gold.weekly_sales(staging.stage_sales(frame(spark, "sales", rows))).first()
     assert weekly.fill_rate is None and weekly.lost_sales_pct is None
     assert (weekly.total_units, weekly.stockout_days, weekly.avg_daily_revenue) == (0, 1, 0.0)
+
+
+def test_no_stored_file_is_left_after_a_query(spark):
+    """Runs in a shared folder of its own, which other tests do not read."""
+    from pathlib import Path
+
+    from larder import session
+    from larder.plans.catalog import QUERIES
+
+    before = session.shared_dir(spark)
+    own = f"{before}/own"
+    spark.sparkContext.setCheckpointDir(own)
+    try:
+        rows = QUERIES["psi"].run(spark, "/root/testdata/sf0.001").collect()
+        folder = Path(session.shared_dir(spark).removeprefix("file:")) / "larder"
+        assert len(rows) == 13 and any(folder.iterdir())
+        session.clear_stages(spark)
+        assert not folder.exists()
+    finally:
+        spark.sparkContext.setCheckpointDir(before)

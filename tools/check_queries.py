@@ -17,7 +17,7 @@ import duckdb
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from larder.plans.catalog import QUERIES  # noqa: E402
-from larder.session import local_session  # noqa: E402
+from larder.session import clear_stages, local_session  # noqa: E402
 
 
 def plain(value):
@@ -101,6 +101,7 @@ def main() -> int:
         except Exception as error:
             spent = time.time() - started
             verdict = f"FAILED {type(error).__name__}: {str(error)[:600]}"
+        clear_stages(spark)  # rows are collected, nothing reads the files any more
         failures += not verdict.startswith(("ok", "rows only"))
         print(f"{name:28s} {spent:6.2f}s {verdict}", flush=True)
     print(f"{len(names)} queries, {failures} failures")
