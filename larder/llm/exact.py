@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,10 +37,15 @@ def digest_columns(text: Column) -> list[Column]:
     ]
 
 
-def merge_runs(digests: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
+def merge_runs(
+    digests: DataFrame,
+    best: Callable[[str], Column] = F.max,
+    runs: int = RUNS,
+    fan_in: int = FAN_IN,
+) -> DataFrame:
     """One row per distinct text: (sha, check, bytes, keep, group_size).
 
-    ``digests`` has the digest columns and ``rank``; the largest rank is kept. Each input
+    ``digests`` has the digest columns and ``rank``; the ``best`` rank is kept. Each input
     partition is a run. In every round ``fan_in`` neighbouring runs are merged into one:
     equal digests meet inside the merged run, the best rank and the number of rows stay,
     and the shorter run goes on. A merged run is spread over tasks by digest, and Spark
@@ -57,7 +63,7 @@ def merge_runs(digests: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> Da
         merged = F.floor(F.col("run") / fan_in).cast("int").alias("run")
         keys = ([merged] if runs > 1 else []) + [F.col(c) for c in DIGEST]
         level = level.groupBy(*keys).agg(
-            F.max("keep").alias("keep"), F.sum("group_size").alias("group_size")
+            best("keep").alias("keep"), F.sum("group_size").alias("group_size")
         )
     return level
 
@@ -75,15 +81,15 @@ def exact_dedup(
     digests = stage(
         docs.select(F.col(id_col).alias("id"), *digest_columns(F.col(text_col))), "digests"
     )
-    # Ranking by the negated place of an id would need numbers; a struct with the sign does.
-    rank = F.col("id") if keep == "largest" else -F.col("id")
-    groups = merge_runs(digests.withColumn("rank", rank))
-    best = F.col("keep") if keep == "largest" else -F.col("keep")
+    # Stored, so that both sides of the join below are exchanged for it and adaptive
+    # execution can split the copies of one text.
+    best = F.max if keep == "largest" else F.min
+    groups = stage(merge_runs(digests.withColumnRenamed("id", "rank"), best), "groups")
     return digests.join(groups, list(DIGEST)).select(
         F.col("id").alias(id_col),
-        best.alias("keep_id"),
+        F.col("keep").alias("keep_id"),
         "group_size",
-        F.col("id").eqNullSafe(best).alias("kept"),
+        F.col("id").eqNullSafe(F.col("keep")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
 

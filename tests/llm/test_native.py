@@ -53,7 +53,7 @@ def test_exact_dedup_can_keep_the_smallest(odd):
 def test_merging_more_rounds_gives_the_same(odd):
     digests = odd.select("doc_id", *exact.digest_columns(odd.text)).withColumnRenamed("doc_id", "rank")
     def merged(runs, fan_in):
-        return {(bytes(r.sha), r.keep, r.group_size) for r in exact.merge_runs(digests, runs, fan_in).collect()}
+        return {(bytes(r.sha), r.keep, r.group_size) for r in exact.merge_runs(digests, runs=runs, fan_in=fan_in).collect()}
     assert merged(256, 16) == merged(64, 2) == merged(1 << 20, 32)
 
 
