@@ -203,7 +203,7 @@ def test_near_copy_stage_of_odd_rows(odd, odd_file, empty):
 
 def brute_vectors(rows, cosine=0.95):
     good = [
-        (n, np.array(v, float))
+        (n, np.array(v, float) / np.abs(np.array(v, float)).max())
         for n, v in rows
         if v and all(x is not None and np.isfinite(x) for x in v) and any(v)
     ]
