@@ -30,7 +30,7 @@ class Encoder:
     with ``plain`` that string is ordinary text and gives other ids. The table of words is emptied when it has ``limit`` entries.
     """
 
-    def __init__(self, path: str, plain: bool = False, limit: int = 1 << 20) -> None:
+    def __init__(self, path: str, plain: bool = False, limit: int = 1 << 19) -> None:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = plain
         self.limit = limit

@@ -44,13 +44,23 @@ def _grams(word: str, size: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Log frequencies per language: ``words`` and one table of n-grams per length."""
+    """Log frequencies per language, as rows of one table: of words, and of n-grams by length."""
 
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: list[dict[str, np.ndarray]]  # longest first
+    words: dict[str, int]
+    grams: list[dict[str, int]]  # longest first
+    table: np.ndarray
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
+    @classmethod
+    def of(cls, languages: list[str], *logs: dict[str, np.ndarray]) -> Model:
+        """From log frequencies of words and then of n-grams, the longest first."""
+        rows = [row for entries in logs for row in entries.values()]
+        table = np.array(rows, np.float32).reshape(len(rows), len(languages))
+        place = iter(range(len(rows)))
+        words, *grams = ({key: next(place) for key in entries} for entries in logs)
+        return cls(languages, words, grams, table)
+
     def word_scores(self, word: str) -> np.ndarray:
         """Log frequency of a word in each language.
 
@@ -59,12 +69,12 @@ class Model:
         """
         known = self.words.get(word)
         if known is not None:
-            return known
-        for table in self.grams:
-            size = len(next(iter(table), ""))
-            hits = [table[g] for g in _grams(word, size) if g in table] if size else []
+            return self.table[known]
+        for places in self.grams:
+            size = len(next(iter(places), ""))
+            hits = [places[g] for g in _grams(word, size) if g in places] if size else []
             if hits:
-                return np.mean(hits, axis=0)
+                return self.table[hits].mean(axis=0)
         return np.zeros(len(self.languages))
 
 
@@ -103,7 +113,7 @@ def fit(
     totals = {r[0]: r[1] for r in labelled.groupBy(lang_col).count().collect()}
     languages = sorted(totals)
     if not languages:
-        return Model([], {}, [])
+        return Model.of([], {})
     share = F.create_map(
         *(
             F.lit(x)
@@ -135,7 +145,7 @@ def fit(
         summed = pieces.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
         rows = _most_frequent(summed, "gram", settings.grams).collect()
         grams.append(_log_frequencies(rows, languages, settings.smoothing))
-    return Model(languages, _log_frequencies(words, languages, settings.smoothing), grams)
+    return Model.of(languages, _log_frequencies(words, languages, settings.smoothing), *grams)
 
 
 class Scorer:
@@ -143,7 +153,7 @@ class Scorer:
 
     current: Scorer | None = None
 
-    def __init__(self, model: Model, limit: int = 1 << 19) -> None:
+    def __init__(self, model: Model, limit: int = 1 << 18) -> None:
         self.model, self.limit = model, limit
         self.place: dict[str, int] = {}
         self.scores = np.zeros((1024, len(model.languages)))
@@ -174,6 +184,7 @@ class Scorer:
             return UNKNOWN, 0.0
         if len(self.place) > self.limit:
             self.place.clear()
+            self.scores = self.scores[:1024].copy()
         words = Counter(WORD.findall(text.lower()))
         rows = [self._row(w) for w in words]
         counts = np.fromiter(words.values(), np.float64, len(words))

@@ -41,10 +41,12 @@ def test_held_out_rows_teach_nothing(spark):
 
 
 def test_backoff_from_words_to_characters():
-    model = langid.Model(
+    model = langid.Model.of(
         ["a", "b"],
         {"known": np.array([-1.0, -9.0])},
-        [{"_ab": np.array([-2.0, -5.0])}, {"zz": np.array([-4.0, -3.0])}, {"q": np.array([-7.0, -6.0])}],
+        {"_ab": np.array([-2.0, -5.0])},
+        {"zz": np.array([-4.0, -3.0])},
+        {"q": np.array([-7.0, -6.0])},
     )
     assert model.word_scores("known").tolist() == [-1, -9]
     assert model.word_scores("abc").tolist() == [-2, -5]
