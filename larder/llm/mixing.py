@@ -19,12 +19,11 @@ MAX_REPEATS = 3
 @dataclass(frozen=True)
 class Settings:
     """``block_words``: words of a source that move together; ``shard_words``: words of an
-    output shard; ``bucket_rows``: documents whose order is settled in one window."""
+    output shard."""
 
     seed: str = "mix-1"
     block_words: int = 1 << 13
     shard_words: int = 1 << 20
-    bucket_rows: int = 50_000
 
 
 def word_count(text: Column) -> Column:
@@ -224,7 +223,8 @@ def plan_mix(table: DataFrame, settings: Settings = Settings()) -> DataFrame:
     sizes = table.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stage(source_targets(sizes), "mix-targets")
     rows, words = table.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    digits = math.ceil(math.log(max(1, rows / settings.bucket_rows), 16))
+    # About as many buckets as documents in a bucket: two levels of even windows.
+    digits = math.ceil(math.log(max(1, rows), 16) / 2)
     shards = max(1, math.ceil(words / settings.shard_words))
 
     numbered = table.withColumn("bucket", F.substring("place", 1, digits)).join(

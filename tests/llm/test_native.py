@@ -148,7 +148,7 @@ def test_blocks_are_disjoint(spark):
 
 
 def test_mix_agrees_with_its_plan(spark, documents):
-    small = mixing.Settings(block_words=500, shard_words=4000, bucket_rows=10)
+    small = mixing.Settings(block_words=500, shard_words=4000)
     sizes = mixing.mixed_sizes(documents, settings=small).collect()
     again = mixing.mixed_sizes(documents.repartition(7), settings=small).collect()
     key = lambda r: r.doc_id
