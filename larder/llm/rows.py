@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,10 @@ def keyed(df: DataFrame) -> DataFrame:
     row = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
     if _file_based(df):
         place = F.concat_ws("#", "_metadata.file_path", "_metadata.row_index")
-        return df.select(row, place.alias("row_key"))
+        try:
+            return df.select(row, place.alias("row_key"))
+        except AnalysisException:  # a format that does not number its rows
+            pass
     number = F.monotonically_increasing_id().cast("string")
     return stage(df.select(row, number.alias("row_key")), "rows")
 

@@ -1,4 +1,3 @@
-import pyarrow as pa
 import pytest
 
 DATA = "/root/testdata/sf0.001"

@@ -4,7 +4,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pytest
 from xxhash import xxh64_intdigest
