@@ -16,6 +16,7 @@ from xxhash import xxh64_intdigest
 from larder.llm.buckets import block_pairs, map_cells
 from larder.llm.components import components, labels, smallest_links
 from larder.llm.rows import keyed, rows_in
+from larder.llm.shingles import cells_of, link_sets, with_bands, with_sets
 from larder.session import stage
 
 BITS = 64
@@ -348,41 +349,43 @@ def near_duplicates(
     )
 
 
-def bits_apart(similarity: float, lanes: int) -> int:
-    """Bits in which fingerprints of texts with this shared part of their shingles differ.
-
-    Sets of equal size with Jaccard similarity s have the cosine 2s / (1 + s), and a bit
-    differs with probability angle / pi.
-    """
-    cosine = 2 * similarity / (1 + similarity)
-    return math.floor(lanes * BITS * math.acos(cosine) / math.pi)
-
-
 def drop_near_copies(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     shingle: int = 5,
     similarity: float = 0.8,
-    lanes: int = 4,
-    radius: int = 6,
+    bands: int = 14,
+    rows: int = 4,
 ) -> DataFrame:
     """The rows of ``docs`` that stay: exactly one per group of near copies, that with the
     smallest id (NULL last), all columns unchanged.
 
-    Near copies share ``similarity`` or more of their runs of ``shingle`` words, judged by
-    fingerprints of ``lanes`` times 64 bits. A pair is compared if one of its lanes differs
-    in ``radius`` bits or fewer; four lanes give a pair four chances. Texts without words
-    are copies of each other; repeated rows are reduced to one.
+    Near copies share ``similarity`` or more of their distinct runs of ``shingle`` words
+    (Jaccard), directly or over others. Links are decided by comparing the sets of runs, so
+    no text under the threshold is linked. Fingerprints count repeated runs and depend on
+    lengths, so pairs to compare come from MinHash: they agree in one of ``bands`` bands of
+    ``rows`` MinHashes, which a direct pair at 0.8 misses with probability 0.0006. Texts
+    without words are copies of each other; repeated rows are reduced to one.
     """
     table = keyed(docs)
     texts = table.select(
         F.col(f"row.{id_col}").alias("id"), "row_key", F.col(f"row.{text_col}").alias("text")
     )
-    marks = stage(with_fingerprints(texts, shingle, lanes), "marks")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "row_key").alias("rank")
-    table_of = groups(
-        marks.select(*lane_names(lanes), rank), radius, bits_apart(similarity, lanes)
+    marks = with_bands(texts, shingle, bands, rows).select("digest", "bands", rank)
+    nodes = stage(  # texts of equal sets are one node
+        marks.groupBy("digest")
+        .agg(F.min("rank").alias("first"), F.any_value("bands").alias("bands"))
+        .select("first", "bands", F.monotonically_increasing_id().alias("node")),
+        "shingled",
+    )
+    cells = stage(cells_of(nodes.select("node", "bands")), "cells")
+    met = nodes.join(cells.select("node").distinct(), "node", "left_semi")
+    sets = with_sets(
+        texts.join(met.select("node", F.col("first.row_key").alias("row_key")), "row_key"), shingle
     )
-    kept = table_of.select("component_first.row_key").distinct()
-    return rows_in(table, kept)
+    linked = components(link_sets(cells, sets, similarity))
+    named = nodes.select("node", "first").join(linked, "node", "left")
+    kept = named.groupBy(F.coalesce("component", "node")).agg(F.min("first").alias("first"))
+    return rows_in(table, stage(kept.select("first.row_key"), "kept"))
