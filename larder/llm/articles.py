@@ -51,6 +51,8 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 DEPTH_SHARE = 0.5
+# What a container adds to the one inside it is article text up to this share of link text.
+LINK_SHARE = 0.3
 
 
 @dataclass
@@ -62,6 +64,9 @@ class Element:
     number: int
     text: float = 0.0  # characters of running text, a deeper one's counted in part
     links: float = 0.0
+    parent: int = 0  # the container around it
+    whole: int = 0  # characters of running text, deeper ones' in full
+    whole_links: int = 0
 
 
 @dataclass
@@ -171,9 +176,11 @@ def parse(source: str | None) -> Page:
         if tag in CONTAINERS:
             path = f"{above.path}/{_step(tag, attributes)}"
             element = Element(tag, path, noise, in_article, len(page.elements))
+            element.parent = above.number if above.number >= 0 else above.parent
             page.elements.append(element)
         else:
             element = Element(tag, above.path, noise, in_article, -1)
+            element.parent = above.number if above.number >= 0 else above.parent
         stack.append(element)
     return page
 
@@ -187,7 +194,8 @@ def best_container(page: Page) -> tuple[str, float] | None:
     """Path and score of the container that holds the article, judged by this page alone.
 
     Text counts in full for the container it stands in and by halves further out, so the
-    tightest container of most of the text wins; text of links counts against it.
+    tightest container of most of the text wins; text of links counts against it. The path
+    returned is that of the article around the winner, see ``_climb``.
     """
     for block in page.blocks:
         if block.noise:
@@ -196,6 +204,8 @@ def best_container(page: Page) -> tuple[str, float] | None:
         for number in reversed(block.inside):
             page.elements[number].text += share * size
             page.elements[number].links += share * min(block.linked, size)
+            page.elements[number].whole += size
+            page.elements[number].whole_links += min(block.linked, size)
             share *= DEPTH_SHARE
     # Containers of one path are one candidate: an article may be cut into several.
     scores: dict[str, float] = {}
@@ -205,7 +215,42 @@ def best_container(page: Page) -> tuple[str, float] | None:
     if not scores:
         return None
     path, score = max(scores.items(), key=lambda x: (x[1], x[0]))
-    return path, score
+    return _climb(page, path), score
+
+
+def _climb(page: Page, path: str) -> str:
+    """Path of the article around the containers of ``path``: lead, heading and tables too.
+
+    That is the nearest article or main element, if what it adds is not mostly links.
+    Otherwise the containers around are taken one by one, below the body, as long as that
+    holds for what each adds.
+    """
+    size: dict[str, int] = {}
+    links: dict[str, int] = {}
+    first: dict[str, Element] = {}
+    for element in page.elements:
+        size[element.path] = size.get(element.path, 0) + element.whole
+        links[element.path] = links.get(element.path, 0) + element.whole_links
+        first.setdefault(element.path, element)
+
+    def adds_text(outer: str, inner: str) -> bool:
+        return links[outer] - links[inner] <= LINK_SHARE * (size[outer] - size[inner])
+
+    steps, element = [], first[path]
+    while element.tag not in ("article", "main"):
+        element = page.elements[element.parent]
+        if element.tag in ("", "html", "body"):
+            break
+        steps.append(element.path)
+    else:
+        if steps and adds_text(steps[-1], path):
+            return steps[-1]
+    for outer in steps:
+        if not adds_text(outer, path):
+            break
+        if size[outer] > size[path]:
+            path = outer
+    return path
 
 
 def extract(page: Page, path: str) -> str:
