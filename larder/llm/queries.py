@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import articles, exact, langid, licenses, mixing, packing, simhash, tokencounts, tokenfiles, vectors
+from larder.llm import (
+    articles,
+    exact,
+    langid,
+    licenses,
+    mixing,
+    packing,
+    simhash,
+    tokencounts,
+    tokenfiles,
+    trie,
+    vectors,
+)
 from larder.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +180,50 @@ def _license_sql() -> str:
 @query("op9_license_scan", _license_sql())
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII string, bit by bit."""
+    steps = f"""flatten(list_transform(string_split({text}, ''),
+        lambda c: [ascii(c)::BIGINT + 256, -1, -1, -1, -1, -1, -1, -1, -1]))"""
+    return f"""(4294967295 - list_reduce(list_prepend(4294967295::BIGINT, {steps}),
+        lambda a, b: CASE WHEN b >= 0 THEN xor(a, b - 256) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+
+@query(
+    "op11_conversation_trie",
+    f"""
+    WITH own AS MATERIALIZED (
+        SELECT conv_id AS c, {_crc32_sql("conv_id::VARCHAR")} % 9 AS h,
+            list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+                ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':'
+                    || coalesce(role, '') || coalesce(text, ''))) AS turns
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    rebuilt AS MATERIALIZED (
+        SELECT own.c, list_concat(coalesce(first.turns, [])[:own.h], own.turns[own.h + 1:]) AS s
+        FROM own LEFT JOIN own first ON first.c = own.c - own.c % 5),
+    members AS (
+        SELECT c, d, s[:d] AS p, len(s) = d AS ends
+        FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)),
+    nodes AS MATERIALIZED (
+        SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(
+            string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+        FROM members GROUP BY p, d),
+    children AS (
+        SELECT p[:d - 1] AS p, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+    valued AS MATERIALIZED (
+        SELECT nodes.*, coalesce(children.n, 0) AS n_children,
+            CASE WHEN nodes.d = 0 THEN 0 ELSE (n_convs - 1) * strlen(nodes.p[nodes.d].t) END AS saved
+        FROM nodes LEFT JOIN children ON children.p = nodes.p AND children.d = nodes.d),
+    sums AS (
+        SELECT a.p, a.d, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves,
+            sum(b.saved)::BIGINT AS saved_tokens
+        FROM valued a JOIN valued b ON b.d >= a.d AND b.p[:a.d] = a.p GROUP BY a.p, a.d)
+    SELECT v.conv_id, v.d AS depth, above.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+        n_leaves, saved_tokens, v.ends_sha256
+    FROM valued v JOIN sums ON sums.p = v.p AND sums.d = v.d
+    LEFT JOIN nodes above ON above.d = v.d - 1 AND above.p = v.p[:v.d - 1]
+    """,
+)
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, folder, "conversations"))
