@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from larder.llm import (
     articles,
@@ -12,7 +13,9 @@ from larder.llm import (
     langid,
     licenses,
     mixing,
+    negatives,
     packing,
+    quality,
     simhash,
     tokencounts,
     tokenfiles,
@@ -227,3 +230,42 @@ def _crc32_sql(text: str) -> str:
 )
 def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.conversation_trie(table(spark, folder, "conversations"))
+
+
+@query(
+    "op12_hard_negatives",
+    """
+    WITH rows AS MATERIALIZED (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND coalesce(list_bool_and(
+            list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), TRUE)),
+    scored AS MATERIALIZED (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+            list_dot_product(a.v, b.v)::BIGINT AS score
+        FROM rows a JOIN rows b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        WHERE a.vec_id % 100 = 0),
+    positives AS (
+        SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+    SELECT p.anchor_id, positive_id, row_number() OVER nearest::INTEGER AS rank,
+        other_id AS negative_id, positive_score, score AS negative_score
+    FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+        AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+    WINDOW nearest AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+    QUALIFY row_number() OVER nearest <= 10
+    """,
+)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.hard_negatives(
+        table(spark, folder, "embeddings"),
+        is_anchor=lambda id_: id_ % 100 == 0,
+        relabel=lambda id_, label: F.when(id_ % 7 == 0, (label + 1) % 10).otherwise(label),
+    )
+
+
+@query("op13_quality")
+def op13_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return quality.score_quality(docs, labels, metadata=("n_chars",))
