@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.functions import round_to, snap
 from larder.operators.ranks import running_totals
@@ -33,6 +36,9 @@ TARGET = "units_sold"
 PSI_LIMIT = 0.2
 P_VALUE_LIMIT = 0.05
 DATASET_LIMIT = 0.3
+# Rows of the larger sample up to which a p-value is exact: the switch that scipy's two-sample
+# test makes by default. Fixed value.
+EXACT_ROWS = 10_000
 
 
 def periods(
@@ -179,7 +185,7 @@ def ks_statistic(ranked: DataFrame) -> DataFrame:
     )
 
 
-def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
+def asymptotic_p_value(statistic: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sided p-value of the two-sample test.
 
     The Kolmogorov distribution has two series; each is used where it converges
@@ -196,22 +202,78 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))
 
 
+def exact_p_value(statistic: float, n: int, m: int) -> float:
+    """Chance that two samples of n and m values from one distribution lie so far apart or further.
+
+    A random order of all values is a lattice path from (0, 0) to (n, m); the distance at (i, j)
+    is abs(i / n - j / m). Chances flow along the diagonals, and what reaches the distance
+    leaves: a sum of positive numbers, without cancellation. Time is n times m.
+    """
+    if not n or not m or statistic is None or math.isnan(statistic):
+        return math.nan
+    n, m = min(n, m), max(n, m)
+    reached = round(statistic * n * m)  # distances are whole multiples of 1 / (n m)
+    if reached <= 0:
+        return 1.0
+    here = np.zeros(n + 1)  # by i; j is the diagonal's number less i
+    here[0], gone = 1.0, 0.0
+    i = np.arange(n + 1)
+    for k in range(n + m):
+        # Only places inside the lattice and the band can hold anything.
+        low, high = max(0, k - m), min(n, k)
+        at = i[low : high + 1]
+        held = here[low : high + 1]
+        left = n + m - k
+        up = held * (n - at) / left
+        here[low : high + 1] = held * (m - k + at) / left
+        stop = min(high + 2, n + 1)
+        here[low + 1 : stop] += up[: stop - low - 1]
+        at = i[low:stop]
+        out = np.abs(at * m - (k + 1 - at) * n) >= reached
+        part = here[low:stop]
+        gone += part[out].sum()
+        part[out] = 0.0
+    return min(1.0, float(gone))
+
+
+@F.pandas_udf(T.DoubleType())
+def _exact_p_values(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    return pd.Series(
+        [
+            None if any(v is None or v != v for v in (d, a, b)) else exact_p_value(d, int(a), int(b))
+            for d, a, b in zip(statistic, n, m)
+        ],
+        dtype=float,
+    )
+
+
+def ks_p_value(statistic: Column, n: Column, m: Column, exact_rows: int = EXACT_ROWS) -> Column:
+    """Two-sided p-value of the two-sample test: exact while neither sample exceeds
+    ``exact_rows``, asymptotic beyond."""
+    small = F.greatest(n, m) <= exact_rows
+    exact = _exact_p_values(F.when(small, statistic), n.cast("bigint"), m.cast("bigint"))
+    return F.when(small, exact).otherwise(asymptotic_p_value(statistic, n, m))
+
+
 def drift_report(
     marked: DataFrame,
     columns: Sequence[str] = (*FEATURES, TARGET),
     bins: int = 10,
     psi_limit: float = PSI_LIMIT,
     p_limit: float = P_VALUE_LIMIT,
+    exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
     """PSI, KS, p-value and verdict per feature.
 
+    P-values are exact while neither period has more than ``exact_rows`` values.
+
     The monitored columns are stored once; PSI counts bins, KS ranks the value histogram.
     A feature without a value in one of the periods has NULLs, the verdict included, and
     the status 'no data'.
     """
     marked = stage(marked.select("is_reference", "is_current", *columns), "periods")
     ranked = ranked_histogram(marked, columns)
-    p = ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
+    p = ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"), exact_rows)
     joined = psi(marked, columns, bins).join(ks_statistic(ranked), "feature")
     known = (F.col("n_reference") > 0) & (F.col("n_current") > 0)
     verdict = F.when(known, (F.col("psi") > psi_limit) | (F.col("p") < p_limit))

@@ -124,6 +124,55 @@ def demand_features(daily: DataFrame, min_lag: int = HORIZONS[0]) -> DataFrame:
     )
 
 
+def feature_state(daily: DataFrame, rows: int = HORIZONS[-1]) -> DataFrame:
+    """The last ``rows`` rows of every series: all that the features of a new day look back on.
+
+    Also the way to extend a state by the rows of new days. Spark keeps a series' last rows in
+    each task before it shuffles them.
+    """
+    latest = Window.partitionBy(*SERIES).orderBy(F.desc("ds"))
+    return (
+        daily.withColumn("_back", F.row_number().over(latest)).where(F.col("_back") <= rows).drop("_back")
+    )
+
+
+def late_rows(state: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of ``new`` that are not after the last day that the state has of their series."""
+    known = state.groupBy(*SERIES).agg(F.max("ds").alias("_known"))
+    return new.join(known, list(SERIES)).where(F.col("ds") <= F.col("_known")).select(*new.columns)
+
+
+def new_features(
+    state: DataFrame, new: DataFrame, min_lag: int = HORIZONS[0]
+) -> tuple[DataFrame, DataFrame]:
+    """(features of the new days, state after them), as a full rebuild would give them.
+
+    ``new`` holds one row per series and day, all after the series' days in the state, or a
+    ValueError is raised: earlier days would change features that are already written. Only the
+    state and the new rows are read, so a day costs a day however long the history is.
+    """
+    if not late_rows(state, new).isEmpty():
+        raise ValueError("rows at or before the last day of their series")
+    names = new.columns
+    both = state.select(*names, F.lit(False).alias("_new")).unionByName(
+        new.select(*names, F.lit(True).alias("_new"))
+    )
+    looked_back = both.select(
+        "*",
+        *lag_columns(SERIES, TARGET, HORIZONS),
+        *rolling_columns(SERIES, TARGET, HORIZONS),
+    )
+    fresh = looked_back.where("_new").drop("_new")
+    built = (
+        add_cross_totals(new)
+        .select(*SERIES, "ds", "sku_total_qty", "store_total_qty")
+        .join(fresh, [*SERIES, "ds"])
+        .where(F.col(f"{TARGET}_lag_{min_lag}").isNotNull())
+        .select("*", *calendar_feature_columns())
+    )
+    return built, feature_state(both.drop("_new"))
+
+
 def date_gaps(df: DataFrame, group: Sequence[str] = SERIES, time: str = "ds") -> DataFrame:
     """Rows that follow their predecessor in the series by more than one day."""
     series = Window.partitionBy(*group).orderBy(time)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import round_to
 from larder.operators import drift
+from larder.operators.ranks import running_totals
 from larder.plans.registry import query, r, view
 
 CUTOFF = "2000-06-01"
@@ -85,6 +86,11 @@ def _marked(w):
     return drift.periods(w.features, CUTOFF)
 
 
+def _report(w):
+    """The report with asymptotic p-values for samples of any size, so that SQL can follow."""
+    return drift.drift_report(_marked(w), exact_rows=0)
+
+
 @query(
     "drift_periods",
     "P10 P7",
@@ -110,6 +116,11 @@ def _(w):
 
 
 @query("drift_report", "X3 X4 X1 X2", "SELECT * FROM drift_table")
+def _(w):
+    return _report(w)
+
+
+@query("drift_report_exact", "X3 X4")
 def _(w):
     return drift.drift_report(_marked(w))
 
@@ -121,10 +132,67 @@ def _(w):
       AS status FROM drift_table""",
 )
 def _(w):
-    report = drift.drift_report(_marked(w))
+    report = _report(w)
     return report.select("feature", drift.drift_status(F.col("psi")).alias("status"))
 
 
+view(
+    "monthly_samples",
+    f"""SELECT store_id, CAST(SUM(units_sold) AS BIGINT) AS value, month < DATE '{CUTOFF}' AS before
+    FROM (SELECT store_id, units_sold, CAST(date_trunc('month', ds) AS DATE) AS month FROM features)
+    GROUP BY store_id, month""",
+)
+
+
+@query(
+    "exact_ks",
+    "X3 X2",
+    f"""SELECT store_id, n, m, {r("h / CAST(n * m AS DOUBLE)", 6)} AS ks_statistic, {r("gone", 6)} AS p
+    FROM (WITH RECURSIVE
+      sizes AS MATERIALIZED (SELECT store_id, COUNT(*) FILTER (WHERE before) AS n,
+        COUNT(*) FILTER (WHERE NOT before) AS m FROM monthly_samples GROUP BY store_id),
+      apart AS MATERIALIZED (SELECT a.store_id, n, m, MAX(ABS(
+          (SELECT COUNT(*) FROM monthly_samples b WHERE b.store_id = a.store_id AND before AND b.value <= a.value) * m
+          - (SELECT COUNT(*) FROM monthly_samples b WHERE b.store_id = a.store_id AND NOT before
+            AND b.value <= a.value) * n)) AS h
+        FROM monthly_samples a JOIN sizes s ON a.store_id = s.store_id
+        WHERE n > 0 AND m > 0 GROUP BY a.store_id, n, m),
+      paths AS (
+        SELECT store_id, n, m, h, 0::BIGINT AS k, list_transform(range(0, n + 1),
+          lambda i: CASE WHEN i = 0 THEN 1::DOUBLE ELSE 0::DOUBLE END) AS here, 0::DOUBLE AS gone FROM apart
+        UNION ALL
+        SELECT store_id, n, m, h, k + 1, list_transform(next, lambda p, j:
+            CASE WHEN ABS((j - 1) * m - (k + 1 - (j - 1)) * n) >= h THEN 0::DOUBLE ELSE p END),
+          gone + list_sum(list_transform(next, lambda p, j:
+            CASE WHEN ABS((j - 1) * m - (k + 1 - (j - 1)) * n) >= h THEN p ELSE 0::DOUBLE END))
+        FROM (SELECT *, list_transform(here, lambda p, j: p * (m - k + j - 1) / (n + m - k)
+            + CASE WHEN j > 1 THEN here[j - 1] * (n - (j - 2)) / (n + m - k) ELSE 0 END) AS next
+          FROM paths WHERE k < n + m))
+      SELECT * FROM paths WHERE k = n + m)""",
+)
+def _(w):
+    # Monthly units of each store before and after the cutoff: samples small enough to be exact.
+    month = F.trunc("ds", "month")
+    samples = (
+        w.sold.groupBy("store_id", month.alias("month"))
+        .agg(F.sum("units_sold").alias("value"))
+        .withColumn("is_reference", F.col("month") < F.lit(CUTOFF).cast("date"))
+    )
+    counted = samples.groupBy(F.col("store_id").alias("feature"), "value").agg(
+        F.count_if("is_reference").alias("reference"), F.count_if(~F.col("is_reference")).alias("current")
+    )
+    sums = {"reference": "reference", "current": "current"}
+    found = drift.ks_statistic(running_totals(counted, ["value"], sums, within=["feature"]))
+    p = drift.ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
+    return found.where("n_reference > 0 AND n_current > 0").select(
+        F.col("feature").alias("store_id"),
+        F.col("n_reference").alias("n"),
+        F.col("n_current").alias("m"),
+        round_to("ks_statistic", 6).alias("ks_statistic"),
+        round_to(p, 6).alias("p"),
+    )
+
+
 _SHARE = "COUNT(*) FILTER (WHERE drift_detected) / CAST(COUNT(*) AS DOUBLE)"
 
 
@@ -136,7 +204,7 @@ _SHARE = "COUNT(*) FILTER (WHERE drift_detected) / CAST(COUNT(*) AS DOUBLE)"
     FROM drift_table WHERE feature <> 'units_sold'""",
 )
 def _(w):
-    return drift.dataset_drift(drift.drift_report(_marked(w)))
+    return drift.dataset_drift(_report(w))
 
 
 @query(
@@ -146,7 +214,7 @@ def _(w):
     FROM drift_table WHERE feature <> 'units_sold'""",
 )
 def _(w):
-    return drift.retrain_decision(drift.drift_report(_marked(w)))
+    return drift.retrain_decision(_report(w))
 
 
 @query(

@@ -8,6 +8,7 @@ from larder.functions import round_to
 from larder.operators import anomalies, features, isolation, ranks, reports
 from larder.plans.registry import isum, msum, pct, query, r
 from larder.plans.views import CALENDAR, LAGS, LOST, TOTALS, rolling
+from larder.session import stage
 
 STD = "units_sold_roll_std_"
 
@@ -58,6 +59,25 @@ def _(w):
     return _rounded(w.features)
 
 
+# Days from here on are added to a state of the days before, in two steps.
+ADDED = ("1998-01-01", "1998-06-01")
+
+
+@query(
+    "incremental_features",
+    "W5 W1 W2 W4",
+    f"""SELECT * REPLACE ({_rounded_sql(7, 14, 30)}) FROM features WHERE ds >= DATE '{ADDED[0]}'""",
+)
+def _(w):
+    # The features of new days from the last rows of each series, as the full build has them.
+    daily = stage(w.daily, "daily")
+    first, second = (F.lit(d).cast("date") for d in ADDED)
+    state = stage(features.feature_state(daily.where(F.col("ds") < first)), "state")
+    built, state = features.new_features(state, daily.where((F.col("ds") >= first) & (F.col("ds") < second)))
+    later, _ = features.new_features(stage(state, "state"), daily.where(F.col("ds") >= second))
+    return _rounded(built.unionByName(later))
+
+
 @query(
     "week_over_week",
     "W9",

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import round_to
-from larder.operators import features, metrics, models, segments
+from larder.operators import boosting, features, metrics, models, segments, smoothing, trend
 from larder.plans.registry import CANDIDATES, KINDS, isum, pct, query, r
 from larder.plans.views import accuracy
 from larder.session import fresh_path, stage
@@ -285,6 +286,14 @@ def _(w):
     )
 
 
+@query("histogram_boosting", "M14 M18")
+def _(w):
+    rows = _split(w)
+    fitted = boosting.fit_booster(rows.where("NOT is_test"))
+    scored = boosting.score(fitted, rows.where("is_test"), "histogram_boosting", clip=True)
+    return metrics.compare_models(_as_predictions(scored, "histogram_boosting"), {"histogram_boosting": "ML"})
+
+
 def _days(w):
     """Units per day, marked by period."""
     marked = models.mark_test_rows(w.sold)
@@ -302,7 +311,7 @@ def _seasonal_predictions(days):
 def _smoothed_series(w):
     marked = models.mark_test_rows(w.sold)
     rows = marked.withColumnRenamed("units_sold", "actual")
-    return stage(models.forecast_series(rows), "smoothed")
+    return stage(smoothing.forecast_fitted(rows), "smoothed")
 
 
 @query("seasonal_regression", "M17")
@@ -359,11 +368,142 @@ def _(w):
     return forecast.select("ds", "actual", round_to("pred", 4).alias("pred"))
 
 
+@query(
+    "smoothing_methods",
+    "M16",
+    """SELECT method, COUNT(*) AS rows, CAST(SUM(units_sold) AS DOUBLE) AS actual, TRUE AS all_known
+    FROM split_features f JOIN (
+      SELECT sku, store_id, CASE WHEN COALESCE(MAX(ds) FILTER (WHERE NOT is_test)
+          - MIN(ds) FILTER (WHERE NOT is_test) + 1, 0) >= 14 THEN 'holt_winters' ELSE 'mean' END AS method
+      FROM split_features GROUP BY sku, store_id) m
+    ON f.sku = m.sku AND f.store_id = m.store_id
+    WHERE is_test GROUP BY method""",
+)
+def _(w):
+    # Which series are long enough to be fitted; their forecasts are beyond SQL.
+    return _smoothed_series(w).groupBy("method").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("actual").alias("actual"),
+        F.bool_and(F.col("pred").isNotNull() & ~F.isnan("pred")).alias("all_known"),
+    )
+
+
+@query("trend_regression", "M17")
+def _(w):
+    days = _days(w)
+    fitted = trend.fit_trend(days.where("NOT is_test"))
+    predicted = trend.predict_trend(fitted, days.where("is_test"))
+    return metrics.compare_models(
+        predicted.withColumn("model", F.lit("trend_regression")), {"trend_regression": "TimeSeries"}
+    )
+
+
+@query("trend_bends", "M17")
+def _(w):
+    """Change points of the daily total, with the change of slope per day."""
+    fitted = trend.fit_trend(_days(w).where("NOT is_test"))
+    return fitted.select(F.inline("bends")).select("day", round_to("change", 6).alias("change"))
+
+
+BENDS = (0.25, 0.5, 0.75)
+_WEEK = f"date_diff('day', DATE '1970-01-01', ds) * {2 * math.pi / 7!r}"
+_TERMS = [
+    "1.0",
+    "place",
+    *(f"GREATEST(place - {b}, 0)" for b in BENDS),
+    f"SIN({_WEEK})",
+    f"COS({_WEEK})",
+    "actual / 1000",
+]
+
+
+@query(
+    "trend_equations",
+    "M17",
+    "SELECT * FROM (WITH days AS MATERIALIZED (SELECT *, date_diff('day', MIN(ds) OVER (), ds) / CAST(date_diff('day',"
+    " MIN(ds) OVER (), MAX(ds) OVER ()) AS DOUBLE) AS place FROM (SELECT ds, CAST(SUM(units_sold) AS DOUBLE)"
+    " AS actual FROM split_features WHERE NOT is_test GROUP BY ds)) "
+    + " UNION ALL ".join(
+        f"""SELECT {i} AS "row", {j} AS "column", {r(f"SUM(CAST({a} AS DOUBLE) * CAST({b} AS DOUBLE))", 4)}
+          AS total FROM days"""
+        for i, a in enumerate(_TERMS)
+        for j, b in enumerate(_TERMS)
+    )
+    + ")",
+)
+def _(w):
+    # The normal equations of a small trend with weekly season, the last row being the target.
+    days = _days(w).where("NOT is_test")
+    rows = trend.placed(days, trend.history_spans(days, (), "actual"), ())
+    week = trend.season_terms(trend.Settings(weekly=1, yearly=0))
+    terms = F.array(*trend.trend_terms(F.col("place"), BENDS), *week)
+    gram = trend.normal_equations(rows, terms, F.col("actual") / 1000)
+    side = len(BENDS) + 5
+    return gram.select(F.posexplode("gram").alias("cell", "total")).select(
+        F.floor(F.col("cell") / side).cast("int").alias("row"),
+        (F.col("cell") % side).cast("int").alias("column"),
+        round_to("total", 4).alias("total"),
+    )
+
+
 COMPLETE_INPUTS = " AND ".join(f"{c} IS NOT NULL" for c in models.INPUTS)
+SCORED = f"""(SELECT *, date_diff('day', DATE '1970-01-01', ds) AS day FROM features
+      WHERE {COMPLETE_INPUTS})
+    WHERE day >= (SELECT QUANTILE_CONT(date_diff('day', DATE '1970-01-01', ds), 0.8)
+      FROM features WHERE {COMPLETE_INPUTS})"""
+
+
+def _tree_facts(scored, name: str, trees: int, importance: float):
+    """What SQL can check of a fitted model: its size, what it scored, and that shares add up."""
+    return scored.agg(
+        F.lit(name).alias("model"),
+        F.lit(trees).alias("trees"),
+        F.count(F.lit(1)).alias("rows_scored"),
+        F.sum("units_sold").alias("units_sold"),
+        F.bool_and(F.col("predicted_demand") >= 0).alias("non_negative"),
+        F.lit(round(importance, 6)).alias("importance"),
+    )
+
+
+def _facts_sql(name: str, trees: int) -> str:
+    return f"""SELECT '{name}' AS model, {trees} AS trees, COUNT(*) AS rows_scored,
+      {isum("units_sold")} AS units_sold, TRUE AS non_negative, CAST(1 AS DOUBLE) AS importance
+    FROM {SCORED}"""
+
+
+@query(
+    "boosted_tree_facts", "M13 M15 M18", _facts_sql("boosted_trees", models.PLAIN_TREES["maxIter"])
+)
+def _(w):
+    rows = _split(w)
+    fitted = models.tree_pipeline().fit(rows.where("NOT is_test"))
+    scored = models.score(fitted, rows.where("is_test"), "boosted_trees", clip=True)
+    shares = sum(share for _, share in models.feature_importance(fitted))
+    return _tree_facts(scored, "boosted_trees", fitted.stages[-1].getNumTrees, shares)
+
+
+@query(
+    "histogram_boosting_facts",
+    "M14 M15 M18",
+    f"""SELECT *, TRUE AS a_job_per_level
+    FROM ({_facts_sql("histogram_boosting", boosting.Settings().rounds)})""",
+)
+def _(w):
+    rows = _split(w)
+    fitted = boosting.fit_booster(rows.where("NOT is_test"))
+    scored = boosting.score(fitted, rows.where("is_test"), "histogram_boosting", clip=True)
+    shares = sum(share for _, share in fitted.importance())
+    facts = _tree_facts(scored, "histogram_boosting", len(fitted.trees), shares)
+    return facts.withColumn("a_job_per_level", F.lit(max(fitted.jobs) <= fitted.depth))
+
+
+ERRORS = ("prediction_error", "prediction_error_pct")
 TRAINED_KINDS = {
     "boosted_trees": "ML",
     "sampled_boosted_trees": "ML",
+    "histogram_boosting": "ML",
     "seasonal_regression": "TimeSeries",
+    "trend_regression": "TimeSeries",
     "series_smoothing": "TimeSeries",
 }
 
@@ -379,8 +519,15 @@ def _trained_predictions(w):
         fitted = models.tree_pipeline(**settings).fit(rows.where("NOT is_test"))
         scored = models.score(fitted, rows.where("is_test"), name, clip=True)
         parts.append(_as_predictions(scored, name).select("model", "ds", "sku", "actual", "pred"))
-    days = _seasonal_predictions(_days(w)).withColumn("model", F.lit("seasonal_regression"))
-    parts.append(days.select("model", "ds", F.lit(None).alias("sku"), "actual", "pred"))
+    booster = boosting.fit_booster(rows.where("NOT is_test"))
+    scored = boosting.score(booster, rows.where("is_test"), "histogram_boosting", clip=True)
+    parts.append(
+        _as_predictions(scored, "histogram_boosting").select("model", "ds", "sku", "actual", "pred")
+    )
+    days = _days(w)
+    bent = trend.predict_trend(trend.fit_trend(days.where("NOT is_test")), days.where("is_test"))
+    for name, totals in (("seasonal_regression", _seasonal_predictions(days)), ("trend_regression", bent)):
+        parts.append(totals.select(F.lit(name).alias("model"), "ds", F.lit(None).alias("sku"), "actual", "pred"))
     series = _smoothed_series(w).withColumn("model", F.lit("series_smoothing"))
     parts.append(series.select("model", "ds", "sku", "actual", "pred"))
     return stage(reduce(DataFrame.union, parts), "predictions")
@@ -400,33 +547,13 @@ def _(w):
     )
 
 
-@query(
-    "saved_model_scores",
-    "M18",
-    f"""SELECT ds, sku, store_id, units_sold, TRUE AS non_negative, TRUE AS error_fits,
-      'boosted_trees' AS model_used
-    FROM (SELECT *, date_diff('day', DATE '1970-01-01', ds) AS day FROM features
-      WHERE {COMPLETE_INPUTS})
-    WHERE day >= (SELECT QUANTILE_CONT(date_diff('day', DATE '1970-01-01', ds), 0.8)
-      FROM features WHERE {COMPLETE_INPUTS})""",
-)
+@query("saved_model_scores", "M18")
 def _(w):
-    # A model is fitted, saved, loaded and then scores a table. Few rounds: SQL checks what
-    # it can, which rows are scored and that their errors fit.
+    """A model is fitted, saved, loaded and then scores a table."""
     rows = _split(w)
     path = fresh_path(w.spark, "model")
-    fitted = models.tree_pipeline(maxIter=5).fit(rows.where("NOT is_test"))
-    models.save_model(fitted, path)
-    scored = models.score(
-        models.load_model(path), rows.where("is_test"), "boosted_trees", clip=True
-    )
-    gap = F.col("units_sold") - F.col("predicted_demand") - F.col("prediction_error")
+    models.save_model(models.tree_pipeline().fit(rows.where("NOT is_test")), path)
+    scored = models.score(models.load_model(path), rows.where("is_test"), "boosted_trees", clip=True)
     return scored.select(
-        "ds",
-        "sku",
-        "store_id",
-        "units_sold",
-        (F.col("predicted_demand") >= 0).alias("non_negative"),
-        (F.abs(gap) < 1e-9).alias("error_fits"),
-        "model_used",
+        "ds", "sku", "store_id", "units_sold", "predicted_demand", *ERRORS, "model_used"
     )

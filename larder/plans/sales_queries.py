@@ -5,9 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from larder.functions import exact_sum, round_to
-from larder.operators import anomalies, features, gold, quality, reports, staging
+from larder.operators import (
+    anomalies,
+    features,
+    gold,
+    membership,
+    quality,
+    reports,
+    sketches,
+    staging,
+)
 from larder.plans.registry import Workspace, isum, msum, pct, query, r
 from larder.plans.views import VOLUME
+from larder.session import stage
 
 # -- staging -----------------------------------------------------------------
 
@@ -535,6 +545,86 @@ def _(w):
     )
 
 
+SKETCHED = {
+    "first_half": ("1992-01-01", "1995-06-30"),
+    "second_half": ("1995-07-01", "1999-12-31"),
+    "all": ("1990-01-01", "2030-12-31"),
+}
+_PERIODS = " UNION ALL ".join(
+    f"SELECT '{name}' AS period, DATE '{first}' AS first, DATE '{last}' AS last"
+    for name, (first, last) in SKETCHED.items()
+)
+
+
+def _daily_states(w):
+    return stage(sketches.daily_states(w.line, "date", ["sku", "store_id"], ["revenue"]), "states")
+
+
+@query(
+    "sketched_distincts",
+    "G6",
+    f"""SELECT period, COUNT(*) AS rows, COUNT(DISTINCT sku) AS skus, COUNT(DISTINCT store_id) AS stores,
+      TRUE AS skus_within, TRUE AS stores_within
+    FROM sales_line JOIN ({_PERIODS}) ON date BETWEEN first AND last GROUP BY period""",
+)
+def _(w):
+    # Periods from the stored states of days, beside exact counts from the rows.
+    merged = sketches.merged(_daily_states(w), SKETCHED)
+    named = F.explode(F.array(*(
+        F.struct(F.lit(n).alias("period"), F.lit(a).cast("date").alias("first"), F.lit(b).cast("date").alias("last"))
+        for n, (a, b) in SKETCHED.items()
+    )))
+    exact = (
+        w.line.select("date", "sku", "store_id", named.alias("p"))
+        .where(F.col("date").between(F.col("p.first"), F.col("p.last")))
+        .groupBy("p.period")
+        .agg(F.count_distinct("sku").alias("skus"), F.count_distinct("store_id").alias("stores"))
+    )
+
+    def within(column: str, count: str):
+        return F.abs(sketches.distinct_count(column) - F.col(count)) <= F.col(count) * sketches.COUNT_ERROR + 1
+
+    return merged.join(exact, "period").select(
+        "period", "rows", "skus", "stores",
+        within("sku", "skus").alias("skus_within"), within("store_id", "stores").alias("stores_within"),
+    )
+
+
+SHARES = (0.25, 0.5, 0.75, 0.9, 0.99)
+
+
+@query(
+    "sketched_quantiles",
+    "G8",
+    f"""SELECT period, CAST(share AS DOUBLE) AS share, rows, TRUE AS within
+    FROM (SELECT period, COUNT(revenue) AS rows FROM sales_line JOIN ({_PERIODS})
+        ON date BETWEEN first AND last GROUP BY period),
+      (SELECT UNNEST([{", ".join(map(str, SHARES))}]) AS share)""",
+)
+def _(w):
+    # Where the values found in the merged states of a period really stand among its rows.
+    merged = sketches.merged(_daily_states(w), SKETCHED)
+    found = merged.select("period", sketches.quantiles("revenue", SHARES).alias("found"))
+    asked = found.select("period", F.posexplode("found").alias("place", "value"))
+    bounds = F.create_map(*(F.lit(v) for i, s in enumerate(SHARES) for v in (i, s)))
+    spans = F.create_map(*(F.lit(x) for n, (a, b) in SKETCHED.items() for x in (n, f"{a} {b}")))
+    span = F.split(spans[F.col("period")], " ")
+    table = stage(asked.withColumns({"first": span[0].cast("date"), "last": span[1].cast("date")}), "asked")
+    ranks = (
+        w.line.join(F.broadcast(table), F.col("date").between(F.col("first"), F.col("last")))  # a row per share asked
+        .groupBy("period", "place")
+        .agg(
+            F.count("revenue").alias("rows"),
+            F.count_if(F.col("revenue") < F.col("value")).alias("below"),
+            F.count_if(F.col("revenue") <= F.col("value")).alias("through"),
+        )
+    )
+    share = bounds[F.col("place")]
+    low, high = F.col("below") / F.col("rows"), F.col("through") / F.col("rows")
+    inside = (low <= share + sketches.RANK_ERROR) & (high >= share - sketches.RANK_ERROR)
+    return ranks.select("period", share.alias("share"), "rows", inside.alias("within"))
+
+
 # -- joins -------------------------------------------------------------------
 
 
@@ -549,6 +639,21 @@ def _(w):
     return quality.orphan_keys(w.table("orders"), "o_orderkey", w.table("lineitem"), "l_orderkey")
 
 
+@query(
+    "filtered_orphans",
+    "J4 Q5",
+    """SELECT o_orderkey AS key, COUNT(*) AS rows, TRUE AS adds_up, TRUE AS by_filter FROM orders
+    WHERE o_orderkey IS NOT NULL AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem
+      WHERE l_linenumber >= 4) GROUP BY o_orderkey""",
+)
+def _(w):
+    # Orders without a fourth line, by a Bloom filter over the keys of those that have one.
+    lines = w.table("lineitem").where("l_linenumber >= 4")
+    found, facts = membership.anti_join(w.table("orders"), "o_orderkey", lines, "l_orderkey")
+    whole = (F.col("ruled_out") + F.col("compared") == F.col("keys")) & (F.col("ruled_out") <= F.col("orphans"))
+    return found.crossJoin(F.broadcast(facts.select(whole.alias("adds_up"), "by_filter")))  # one row
+
+
 @query(
     "history_near_anomalies",
     "J7 P12 F8",

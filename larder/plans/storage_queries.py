@@ -8,8 +8,8 @@ from larder.functions import exact_sum
 from larder.operators import gold
 from larder.plans.pipeline import Pipeline
 from larder.plans.registry import isum, msum, query
-from larder.session import fresh_path
-from larder.sources import layers
+from larder.session import fresh_path, stage
+from larder.sources import layers, reconcile
 
 ORDERS = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
@@ -246,3 +246,49 @@ def _(w):
         F.when(size % 2 == 0, size).alias("a"), F.when(size % 2 == 1, size).alias("b")
     )
     return layers.reconcile({"swapped": (left, left.select(F.col("b").alias("a"), F.col("a").alias("b")))})
+
+
+# Planted changes: rows that the newer version lacks, has changed, or has alone.
+GONE, PRICED, RENAMED, NEW = "p_partkey % 89 = 3", "p_partkey % 97 = 5", "p_partkey % 83 = 7", "p_partkey % 101 = 9"
+
+
+@query(
+    "reconciled_rows",
+    "IO14",
+    f"""SELECT p_partkey, CASE WHEN copy THEN 'added' WHEN gone THEN 'removed' ELSE 'changed' END AS change,
+      CASE WHEN copy OR gone THEN '' WHEN priced AND renamed THEN 'p_name,p_retailprice'
+        WHEN priced THEN 'p_retailprice' ELSE 'p_name' END AS columns
+    FROM (SELECT p_partkey, FALSE AS copy, {GONE} AS gone, {PRICED} AS priced, {RENAMED} AS renamed FROM part
+      UNION ALL SELECT p_partkey + 1000000000, TRUE, FALSE, FALSE, FALSE FROM part WHERE {NEW})
+    WHERE copy OR gone OR priced OR renamed""",
+)
+def _(w):
+    part = w.table("part")
+    newer = part.where(f"NOT ({GONE})").withColumns(
+        {
+            "p_retailprice": F.when(F.expr(PRICED), F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice")),
+            "p_name": F.when(F.expr(RENAMED), F.lit(None)).otherwise(F.col("p_name")),
+        }
+    )
+    added = part.where(NEW).withColumn("p_partkey", F.col("p_partkey") + 1_000_000_000)
+    versions = []
+    for label, df in (("old", part), ("new", newer.union(added))):
+        version = reconcile.CheckedTable(w.spark, fresh_path(w.spark, label), ["p_partkey"])
+        version.write(df)
+        versions.append(version)
+    found = reconcile.row_differences(*versions)
+    return found.select("p_partkey", "change", F.array_join("columns", ",").alias("columns"))
+
+
+@query(
+    "safe_overwrite",
+    "IO6 IO5",
+    """SELECT p_partkey AS sku, p_brand AS brand, p_size * 2 AS double_size, 2 AS versions FROM part""",
+)
+def _(w):
+    lake = layers.VersionedLayer(w.spark, fresh_path(w.spark, "lake"))
+    part = w.table("part")
+    lake.write("part", part)
+    lake.write("part", part.selectExpr("p_partkey AS sku", "p_brand AS brand", "p_size * 2 AS double_size"))
+    count = lake.history("part").agg(F.max("number").alias("versions"))
+    return lake.read("part").crossJoin(F.broadcast(count))  # one row

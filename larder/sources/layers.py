@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
@@ -96,6 +98,80 @@ class Layer:
         return self.write(table, dated, partition_by=("_year", "_month"))
 
 
+class VersionedLayer(Layer):
+    """A layer whose tables are replaced by switching a small pointer file.
+
+    A write goes to a folder of its own; only when it is complete does the pointer name it, by
+    one rename that replaces the old pointer. Until then, and if the write fails, readers see
+    the table as it was. The pointer keeps the schema of every version. On object stores
+    without an atomic rename the switch is as safe as their rename is.
+    """
+
+    POINTER = "_current"
+
+    def _file_system(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        jvm_path = jvm.org.apache.hadoop.fs.Path(path)
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        return jvm, jvm_path, jvm_path.getFileSystem(conf), conf
+
+    def _pointer(self, table: str) -> dict | None:
+        jvm, path, system, _ = self._file_system(f"{self.root}/{table}/{self.POINTER}")
+        if not system.exists(path):
+            return None
+        stream = system.open(path)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _switch(self, table: str, pointer: dict) -> None:
+        folder = f"{self.root}/{table}"
+        jvm, new, system, conf = self._file_system(f"{folder}/{self.POINTER}.{uuid.uuid4().hex}")
+        stream = system.create(new, False)
+        try:
+            stream.write(bytearray(json.dumps(pointer).encode()))
+        finally:
+            stream.close()
+        kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(kind, 1)
+        options[0] = kind.OVERWRITE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri(), conf)
+        context.rename(new, jvm.org.apache.hadoop.fs.Path(f"{folder}/{self.POINTER}"), options)
+
+    def exists(self, table: str) -> bool:
+        return self._pointer(table) is not None
+
+    def version(self, table: str) -> str:
+        pointer = self._pointer(table)
+        if pointer is None:
+            raise FileNotFoundError(f"{self.root}/{table} has no version")
+        return pointer["history"][-1]["version"]
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}/{self.version(table)}"
+
+    def history(self, table: str) -> DataFrame:
+        """(number, version, row_count, schema) of every version, the first one first."""
+        found = (self._pointer(table) or {"history": []})["history"]
+        rows = [(i, v["version"], v["rows"], json.dumps(v["schema"])) for i, v in enumerate(found, 1)]
+        return self.spark.createDataFrame(rows, "number int, version string, row_count bigint, schema string")
+
+    def read_version(self, table: str, version: str) -> DataFrame:
+        return self.spark.read.format(self.fmt).load(f"{self.root}/{table}/{version}")
+
+    def write(
+        self, table: str, df: DataFrame, partition_by: tuple[str, ...] = (), options=None
+    ) -> int:
+        """Write a new version and switch to it; returns the rows written."""
+        before = self._pointer(table) or {"history": []}
+        version = f"v-{uuid.uuid4().hex}"
+        rows = Layer(self.spark, f"{self.root}/{table}", self.fmt).write(version, df, partition_by, options)
+        entry = {"version": version, "rows": rows, "schema": df.schema.jsonValue()}
+        self._switch(table, {"history": [*before["history"], entry]})
+        return rows
+
+
 def ingest(
     raw: Layer,
     bronze: Layer,
