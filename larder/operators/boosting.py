@@ -300,7 +300,8 @@ def fit_booster(
         F.avg(F.col(target).cast("double")).alias("mean"),
         F.max(F.abs(F.col(target).cast("double"))).alias("most"),
     ).first()
-    booster = Booster(tuple(inputs), bin_edges(rows, inputs, settings), float(facts["mean"] or 0.0), settings.depth)
+    base = float(f"{facts['mean'] or 0.0:.9g}")  # a mean's last digits depend on the order of its sum
+    booster = Booster(tuple(inputs), bin_edges(rows, inputs, settings), base, settings.depth)
     gains = np.zeros(len(inputs))
     booster.gains = gains
     if not facts["n"]:

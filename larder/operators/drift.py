@@ -312,6 +312,33 @@ def dataset_drift(report: DataFrame, limit: float = DATASET_LIMIT) -> DataFrame:
     )
 
 
+SUMMARY = (
+    "cutoff string, reference_rows bigint, current_rows bigint, features map<string, struct<psi:"
+    " double, ks_statistic: double, ks_pvalue: double, drift_detected: boolean>>, target struct<psi:"
+    " double, ks_statistic: double, ks_pvalue: double, drift_detected: boolean>, drifted_features"
+    " bigint, drift_share double, dataset_drift boolean"
+)
+
+
+def drift_summary(report: DataFrame, counts: DataFrame, cutoff: str) -> DataFrame:
+    """The whole report as one nested row: inputs by name, the target, and the verdict."""
+    result = F.struct("psi", "ks_statistic", "ks_pvalue", "drift_detected")
+    named = F.when(F.col("feature") != TARGET, F.struct("feature", result.alias("result")))
+    nested = report.agg(
+        F.map_from_entries(F.sort_array(F.collect_list(named))).alias("features"),  # monitored columns
+        F.max(F.when(F.col("feature") == TARGET, result)).alias("target"),
+    )
+    overall = dataset_drift(report).drop("features")
+    return (
+        counts.crossJoin(F.broadcast(nested))  # one row each
+        .crossJoin(F.broadcast(overall))
+        .select(
+            F.lit(cutoff).alias("cutoff"), "reference_rows", "current_rows", "features", "target",
+            "drifted_features", "drift_share", "dataset_drift",
+        )
+    )
+
+
 def retrain_decision(report: DataFrame, limit: float = DATASET_LIMIT) -> DataFrame:
     """'retrain' or 'skip', for a scheduler to act on."""
     action = F.when(F.col("dataset_drift"), "retrain").otherwise("skip")

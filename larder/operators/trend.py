@@ -107,7 +107,8 @@ def normal_equations(rows: DataFrame, terms: Column, value: Column, keys: Sequen
     cells = parts.select(*names, F.posexplode("gram").alias("cell", "part"))
     summed = cells.groupBy(*names, "cell").agg(F.sum("part").alias("total"))
     listed = F.sort_array(F.collect_list(F.struct("cell", "total")))
-    return summed.groupBy(*names).agg(F.transform(listed, lambda c: c["total"]).alias("gram"))
+    whole = summed.groupBy(*names).agg(F.transform(listed, lambda c: c["total"]).alias("gram"))
+    return whole.where(F.size("gram") > 0)
 
 
 def unpacked(gram: Sequence[float]) -> tuple[np.ndarray, np.ndarray, float]:

@@ -193,14 +193,14 @@ def _(w):
     )
 
 
-_SHARE = "COUNT(*) FILTER (WHERE drift_detected) / CAST(COUNT(*) AS DOUBLE)"
+SHARE = "COUNT(*) FILTER (WHERE drift_detected) / CAST(COUNT(*) AS DOUBLE)"
 
 
 @query(
     "dataset_drift",
     "X5",
     f"""SELECT COUNT(*) FILTER (WHERE drift_detected) AS drifted_features, COUNT(*) AS features,
-      {r(_SHARE, 4)} AS drift_share, {_SHARE} > 0.3 AS dataset_drift
+      {r(SHARE, 4)} AS drift_share, {SHARE} > 0.3 AS dataset_drift
     FROM drift_table WHERE feature <> 'units_sold'""",
 )
 def _(w):
@@ -210,7 +210,7 @@ def _(w):
 @query(
     "retrain_decision",
     "X6",
-    f"""SELECT CASE WHEN {_SHARE} > 0.3 THEN 'retrain' ELSE 'skip' END AS action
+    f"""SELECT CASE WHEN {SHARE} > 0.3 THEN 'retrain' ELSE 'skip' END AS action
     FROM drift_table WHERE feature <> 'units_sold'""",
 )
 def _(w):

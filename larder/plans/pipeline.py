@@ -1,10 +1,12 @@
-"""The layered pipeline: raw -> bronze -> silver -> gold -> features -> anomalies.
+"""The layered pipeline: raw -> bronze -> silver -> gold -> features -> anomalies, and on
+from there to report files, predictions and drift.
 
 Each stage reads the tables the stage before it wrote, so a stage can be rerun alone
 and a failure loses only the stage it happened in. All stages share one session.
 
     spark-submit --py-files larder.zip larder/plans/pipeline.py \\
-        --raw s3a://bucket/raw --lake s3a://bucket/lake [--skip-bronze | --silver-only | --gold-only]
+        --raw s3a://bucket/raw --lake s3a://bucket/lake [--skip-bronze | --silver-only | --gold-only] \\
+        [--all] [--resume]
 """
 
 from __future__ import annotations
@@ -15,18 +17,42 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.operators import anomalies, features, gold, isolation, quality, staging
+from larder.operators import (
+    anomalies,
+    boosting,
+    drift,
+    features,
+    gold,
+    isolation,
+    models,
+    quality,
+    staging,
+)
+from larder.plans.ledger import Ledger, Stage
 from larder.schemas import RAW_TABLES
-from larder.session import clear_stages
-from larder.sources.layers import Layer, ingest
+from larder.session import clear_stages, stage
+from larder.sources.layers import Layer, ingest, write_csv, write_json
 
 STAGES = ("bronze", "check", "silver", "gold", "features", "anomalies")
+# What follows on the anomaly table: files of the report, scored rows, and drift.
+LATER_STAGES = ("reports", "predictions", "drift")
+REPORTS = ("anomalies_flagged", "anomalies_summary", "anomalies_by_date")
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, lake: str, raw: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        lake: str,
+        raw: str | None = None,
+        booster: boosting.Settings = boosting.Settings(),
+        strict: bool = True,
+    ):
+        """``strict``: a failed quality rule ends the run; otherwise it is only recorded."""
         root = lake.rstrip("/")
         self.spark = spark
+        self.lake, self.reports, self.booster = root, f"{root}/reports", booster
+        self.strict = strict
         self.raw = Layer(spark, raw) if raw else None
         self.layers = {name: Layer(spark, f"{root}/{name}") for name in ("bronze", "silver", "gold")}
         self.written: dict[str, int | None] = {}
@@ -60,10 +86,10 @@ class Pipeline:
         return quality.run_rules(self.bronze_tables(), rules)
 
     def check(self, rules=quality.RAW_RULES) -> None:
-        """Store the rule results and stop the run if a rule fails."""
-        self.layers["bronze"].write("_quality", self.check_results(rules))
-        failed = self.layers["bronze"].read("_quality").where("NOT passed").count()
-        if failed:
+        """Store the rule results and, if strict, stop the run if a rule fails."""
+        self.written["bronze._quality"] = self.bronze_layer.write("_quality", self.check_results(rules))
+        failed = self.bronze_layer.read("_quality").where("NOT passed").count()
+        if failed and self.strict:
             raise RuntimeError(f"{failed} quality rules failed, see bronze/_quality")
 
     def silver(self) -> None:
@@ -111,24 +137,101 @@ class Pipeline:
             ),
         )
 
+    def predictions(self) -> None:
+        """Fit on the older days, keep the model, score every complete feature row."""
+        target = self.layers["gold"]
+        table = target.read("demand_features").drop("_loaded_at")
+        rows = boosted(table)
+        train = models.mark_test_rows(rows).where("NOT is_test").drop("is_test")
+        booster = boosting.fit_booster(train, settings=self.booster)
+        scored = boosting.score(booster, rows, "histogram_boosting", clip=True)
+        self._save("gold", "predictions", scored)
+
+    def drift(self, cutoff: str | None = None) -> None:
+        """Drift of the last fifth of the days against the days before, as a table and a summary."""
+        table = self.layers["gold"].read("demand_features").drop("_loaded_at")
+        if cutoff is None:
+            marked = models.mark_test_rows(table.select("ds"))
+            cutoff = str(marked.where("is_test").agg(F.min("ds")).first()[0])
+        report = stage(drift.drift_report(drift.periods(table, cutoff)), "drift")
+        self._save("gold", "drift", report)
+        summary = drift.drift_summary(report, drift.period_counts(drift.periods(table, cutoff)), cutoff)
+        write_json(summary, self.report_path("drift_summary"))
+
+    def report_path(self, name: str) -> str:
+        return f"{self.reports}/{name}"
+
+    def reports_stage(self) -> None:
+        """The anomaly report as CSV files: flagged rows in order of days, summary, counts by day."""
+        table = self.layers["gold"].read("anomalies").drop("_loaded_at")
+        write_reports(table, self.reports)
+
+    def plan(self, stages: Iterable[str] = STAGES) -> list[Stage]:
+        """The stages with the folders they read and write, for the ledger."""
+        folder = {name: layer.root for name, layer in self.layers.items()}
+        bronze = [f"{folder['bronze']}/{t}" for t in RAW_TABLES]
+        gold = folder["gold"]
+        known = {
+            "bronze": ([self.raw.root] if self.raw else [], bronze),
+            "check": (bronze, [f"{folder['bronze']}/_quality"]),
+            "silver": (bronze, [folder["silver"]]),
+            "gold": (
+                [folder["silver"]],
+                [f"{gold}/{t}" for t in ("fct_weekly_sales", "fct_monthly_sales", "dim_product_performance")],
+            ),
+            "features": ([f"{folder['silver']}/stg_sales"], [f"{gold}/demand_features"]),
+            "anomalies": (
+                [f"{gold}/demand_features"], [f"{gold}/isolation_scores", f"{gold}/anomalies"]
+            ),
+            "reports": ([f"{gold}/anomalies"], [self.report_path(n) for n in REPORTS]),
+            "predictions": ([f"{gold}/demand_features"], [f"{gold}/predictions"]),
+            "drift": ([f"{gold}/demand_features"], [f"{gold}/drift", self.report_path("drift_summary")]),
+        }
+        return [Stage(name, self._work(name), *known[name]) for name in stages]
+
+    def _work(self, stage: str):
+        return self.reports_stage if stage == "reports" else getattr(self, stage)
+
     def run(self, stages: Iterable[str] = STAGES) -> dict[str, int | None]:
         """Run stages in order; the first failure ends the run."""
-        for stage in stages:
-            getattr(self, stage)()
+        for name in stages:
+            self._work(name)()
         return self.written
 
+    def resume(self, stages: Iterable[str] = STAGES) -> dict[str, str]:
+        """Run stages by the ledger: what is done and unchanged is skipped, a failed run goes on."""
+        return self.ledger.run(self.plan(stages))
+
+    @property
+    def ledger(self) -> Ledger:
+        return Ledger(self.spark, f"{self.lake}/_ledger")
+
     def summary(self) -> DataFrame:
         """(table, row_count) of everything written by this run."""
         rows = [(t, n) for t, n in self.written.items() if n is not None]
         return self.spark.createDataFrame(rows, "table string, row_count bigint")
 
 
+def write_reports(table: DataFrame, folder: str) -> None:
+    """The three files of the anomaly report, each a folder of CSV parts."""
+    flagged = table.where("is_anomaly = 1")
+    write_csv(flagged.repartitionByRange("ds").sortWithinPartitions(*anomalies.KEYS), f"{folder}/anomalies_flagged")
+    write_csv(anomalies.anomaly_summary(table), f"{folder}/anomalies_summary")
+    write_csv(anomalies.anomalies_by_date(table), f"{folder}/anomalies_by_date")
+
+
+def boosted(table: DataFrame) -> DataFrame:
+    """Feature rows that a booster can score: every input known, as numbers."""
+    return models.model_rows(table)
+
+
 def chosen_stages(args: argparse.Namespace) -> tuple[str, ...]:
     if args.silver_only:
         return ("silver",)
     if args.gold_only:
         return ("gold",)
-    return STAGES[2:] if args.skip_bronze else STAGES
+    later = LATER_STAGES if args.all else ()
+    return (*(STAGES[2:] if args.skip_bronze else STAGES), *later)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -138,10 +241,17 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--skip-bronze", action="store_true")
     parser.add_argument("--silver-only", action="store_true")
     parser.add_argument("--gold-only", action="store_true")
+    parser.add_argument("--all", action="store_true", help="reports, predictions and drift as well")
+    parser.add_argument("--resume", action="store_true", help="skip stages that are done and unchanged")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("larder-pipeline").getOrCreate()
     try:
-        Pipeline(spark, args.lake, args.raw).run(chosen_stages(args))
+        pipeline = Pipeline(spark, args.lake, args.raw)
+        stages = chosen_stages(args)
+        if args.resume:
+            pipeline.resume(stages)
+        else:
+            pipeline.run(stages)
     finally:
         clear_stages(spark)
 

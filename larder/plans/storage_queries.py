@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larder.functions import exact_sum
-from larder.operators import gold
-from larder.plans.pipeline import Pipeline
-from larder.plans.registry import isum, msum, query
+from larder.operators import drift, gold, quality
+from larder.plans.drift_queries import CUTOFF, SHARE
+from larder.plans.pipeline import Pipeline, write_reports
+from larder.plans.registry import isum, msum, query, r
+from larder.schemas import RAW_TABLES
 from larder.session import fresh_path, stage
 from larder.sources import layers, reconcile
 
@@ -167,6 +170,10 @@ LAKE_TABLES = {
     "bronze.products": "products",
     "bronze.suppliers": "suppliers",
     "bronze.inventory": "inventory",
+    "bronze.locations": "locations",
+    "bronze.purchase_orders": "purchase_orders",
+    "bronze.shipments": "shipments",
+    "bronze.supplier_product_map": "supplier_map",
     "silver.stg_sales": "stg_sales",
     "silver.stg_products": "products",
     "silver.stg_suppliers": "suppliers",
@@ -178,6 +185,27 @@ LAKE_TABLES = {
     "gold.isolation_scores": SERIES_ROWS,
     "gold.anomalies": SERIES_ROWS,
 }
+# Each raw table has a row for whether it is there; rules count where their tables are.
+ABSENT = ("carriers", "demand_forecasts", "production_orders")
+CHECKS = len(RAW_TABLES) + sum(rule.table not in ABSENT for rule in quality.RAW_RULES)
+
+
+def _raw_folder(w) -> str:
+    """Every raw table that the order book has, as files in a folder."""
+    raw = layers.Layer(w.spark, fresh_path(w.spark, "raw"))
+    tables = {
+        "sales": w.line,
+        "products": w.products(),
+        "suppliers": w.suppliers(),
+        "inventory": w.inventory(),
+        "locations": w.locations(),
+        "purchase_orders": w.purchase_orders(),
+        "shipments": w.shipments(),
+        "supplier_product_map": w.supplier_product_map(),
+    }
+    for name, df in tables.items():
+        raw.write(name, df)
+    return raw.root
 
 
 @query(
@@ -186,23 +214,96 @@ LAKE_TABLES = {
     " UNION ALL ".join(
         f"""SELECT '{t}' AS "table", COUNT(*) AS row_count FROM {source}"""
         for t, source in LAKE_TABLES.items()
-    ),
+    )
+    + f" UNION ALL SELECT 'bronze._quality', {CHECKS}",
 )
 def _(w):
-    pipeline = Pipeline(w.spark, fresh_path(w.spark, "lake"))
-    pipeline.load(
-        {
-            "sales": w.line,
-            "products": w.products(),
-            "suppliers": w.suppliers(),
-            "inventory": w.inventory(),
-        }
-    )
-    pipeline.run(("silver", "gold", "features", "anomalies"))
-    written = {t: pipeline.layers[t.split(".")[0]].read(t.split(".")[1]) for t in pipeline.written}
+    # All six stages, from a raw folder. These tables break some rules, which are recorded.
+    pipeline = Pipeline(w.spark, fresh_path(w.spark, "lake"), _raw_folder(w), strict=False)
+    pipeline.run()
+    written = {
+        t: pipeline.layers[t.split(".")[0]].read(t.split(".")[1])
+        for t, n in pipeline.written.items()
+        if n is not None
+    }
     return layers.row_counts(written).drop("status")
 
 
+@query(
+    "stage_ledger",
+    "IO13",
+    """SELECT * FROM (VALUES (1, 1, 'bronze', 'done'), (1, 2, 'silver', 'failed'), (2, 1, 'bronze', 'skipped'),
+      (2, 2, 'silver', 'done'), (2, 3, 'gold', 'done'), (3, 1, 'bronze', 'skipped'),
+      (3, 2, 'silver', 'skipped'), (3, 3, 'gold', 'skipped')) AS t(run, step, stage, state)
+    WHERE (SELECT COUNT(*) FROM lineitem) > 0""",
+)
+def _(w):
+    # A run that fails in its second stage, the one that goes on from there, and an idle one.
+    pipeline = Pipeline(w.spark, fresh_path(w.spark, "lake"), _raw_folder(w), strict=False)
+    stages = ("bronze", "silver", "gold")
+    silver, pipeline.silver = pipeline.silver, _fail
+    try:
+        pipeline.resume(stages)
+    except InterruptedError:
+        pipeline.silver = silver
+    pipeline.resume(stages)
+    pipeline.resume(stages)
+    ledger = pipeline.ledger.table()
+    order = Window.partitionBy().orderBy("first")  # a row per run
+    runs = ledger.groupBy("run").agg(F.min("started").alias("first"))
+    numbered = runs.select(F.col("run").alias("id"), F.row_number().over(order).alias("run"))
+    return ledger.withColumnRenamed("run", "id").join(numbered, "id").select(
+        "run", F.col("step").cast("int").alias("step"), "stage", "state"
+    )
+
+
+def _fail():
+    raise InterruptedError("an executor was lost")
+
+
+@query(
+    "anomaly_report_files",
+    "IO10 IO11",
+    """SELECT ds, sku, store_id, units_sold, demand, anomaly_score, day.total_records, day.anomaly_count
+    FROM anomalies a JOIN (SELECT ds AS date, COUNT(*) AS total_records,
+      CAST(SUM(is_anomaly) AS BIGINT) AS anomaly_count FROM anomalies GROUP BY ds) day ON a.ds = day.date
+    WHERE is_anomaly = 1""",
+)
+def _(w):
+    # The report of the pipeline, read back: flagged rows beside the counts of their days.
+    folder = fresh_path(w.spark, "reports")
+    table = stage(w.anomalies, "anomalies")
+    write_reports(table, folder)
+    flagged = layers.read_csv(w.spark, f"{folder}/anomalies_flagged", table.schema)
+    days = layers.read_csv(
+        w.spark, f"{folder}/anomalies_by_date", "date date, total_records bigint, anomaly_count bigint"
+    )
+    wanted = ("ds", "sku", "store_id", "units_sold", "demand", "anomaly_score")
+    return flagged.join(days, flagged["ds"] == days["date"]).select(*wanted, "total_records", "anomaly_count")
+
+
+@query(
+    "drift_summary_file",
+    "IO12 X5",
+    f"""SELECT d.*, reference_rows, current_rows, drift_share, dataset_drift
+    FROM drift_table d, (SELECT COUNT(*) FILTER (WHERE is_reference) AS reference_rows,
+        COUNT(*) FILTER (WHERE is_current) AS current_rows FROM marked),
+      (SELECT {r(SHARE, 4)} AS drift_share, {SHARE} > 0.3 AS dataset_drift
+       FROM drift_table WHERE feature <> 'units_sold')""",
+)
+def _(w):
+    # The nested summary as a file, read back and laid flat.
+    marked = drift.periods(w.features, CUTOFF)
+    report = stage(drift.drift_report(marked, exact_rows=0), "drift")
+    path = fresh_path(w.spark, "summary")
+    layers.write_json(drift.drift_summary(report, drift.period_counts(marked), CUTOFF), path)
+    found = layers.read_json(w.spark, path, drift.SUMMARY)
+    rest = ("reference_rows", "current_rows", "drift_share", "dataset_drift")
+    inputs = found.select(*rest, F.explode("features").alias("feature", "result"))
+    target = found.select(*rest, F.lit(drift.TARGET).alias("feature"), F.col("target").alias("result"))
+    return inputs.unionByName(target).select("feature", "result.*", *rest)
+
+
 @query(
     "reconciled_layers",
     "IO14",

@@ -75,6 +75,12 @@ view(
       CAST(l_extendedprice AS DECIMAL(18,4)) AS inventory_value
     FROM lineitem""",
 )
+view(
+    "shipments",
+    """SELECT s_nationkey AS origin, c_nationkey AS destination, l_partkey AS sku
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
+      JOIN customer ON o_custkey = c_custkey""",
+)
 view(
     "supplier_map",
     """SELECT sku, supplier_id, supplier_id = MIN(supplier_id) OVER (PARTITION BY sku) AS is_primary

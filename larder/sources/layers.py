@@ -23,13 +23,14 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
 
 
 def parse_dates(df: DataFrame, columns: Iterable[str], pattern: str | None = None) -> DataFrame:
-    """Turn date columns into timestamps; unreadable values become NULL."""
+    """Turn date columns into timestamps; unreadable values become NULL, absent columns are
+    passed over."""
     layout = [F.lit(pattern)] if pattern else []
     return df.withColumns(
         {
             c: F.try_to_timestamp(F.col(c).cast("string"), *layout)
             for c in columns
-            if isinstance(df.schema[c].dataType, T.StringType)
+            if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)
         }
     )
 

@@ -7,10 +7,12 @@ the top: only groups that differ are looked into, and only buckets that differ a
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKETS = 256
 FAN = 16
@@ -36,10 +38,11 @@ class CheckedTable:
         bucket = F.pmod(F.xxhash64(*marked(self.keys)), F.lit(self.buckets)).cast("int")
         rows = df.withColumn("_bucket", bucket)
         rows.hint("rebalance", "_bucket").write.mode("errorifexists").partitionBy("_bucket").parquet(f"{self.path}/rows")
-        names = sorted(c for c in df.columns)
+        schema = self.spark.createDataFrame([(rows.schema.json(),)], "schema string")
+        schema.coalesce(1).write.mode("errorifexists").text(f"{self.path}/schema")
+        names = sorted(df.columns)
         # Read back, so that the sums are those of the stored rows.
-        stored = self.spark.read.schema(rows.schema).parquet(f"{self.path}/rows")
-        leaves = stored.groupBy(F.col("_bucket").cast("bigint").alias("node")).agg(
+        leaves = self.stored().groupBy(F.col("_bucket").cast("bigint").alias("node")).agg(
             F.count(F.lit(1)).alias("rows"), F.sum(row_hash(names)).alias("checksum")
         )
         nodes = leaves.select(F.lit(0).alias("level"), "*")
@@ -56,10 +59,14 @@ class CheckedTable:
     def sums(self, level: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/sums").where(F.col("level") == level)
 
+    def stored(self) -> DataFrame:
+        """All rows with their bucket. No file is opened for the schema: it is kept apart."""
+        schema = self.spark.read.text(f"{self.path}/schema").first()[0]
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(f"{self.path}/rows")
+
     def rows(self, buckets: Sequence[int]) -> DataFrame:
-        """The rows of some buckets; folders of the others are not opened."""
-        table = self.spark.read.parquet(f"{self.path}/rows")
-        return table.where(F.col("_bucket").isin(*buckets) if buckets else F.lit(False))
+        """The rows of some buckets; files of the others are not opened."""
+        return self.stored().where(F.col("_bucket").isin(*buckets) if buckets else F.lit(False))
 
 
 def marked(columns: Sequence[str]) -> list[Column]:
