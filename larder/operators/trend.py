@@ -9,6 +9,7 @@ in Python.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.operators.models import non_negative, seasonal_columns
+from larder.operators.models import non_negative
 from larder.session import stage
 
 
@@ -36,8 +37,8 @@ class Settings:
     yearly: int = 10
     ridge: float = 1e-3
     rounds: int = 3
-    penalties: int = 40
-    least: float = 1e-4
+    penalties: int = 25
+    least: float = 1e-3
 
 
 def candidate_places(settings: Settings) -> list[float]:
@@ -45,14 +46,27 @@ def candidate_places(settings: Settings) -> list[float]:
     return [settings.reach * (i + 1) / settings.bends for i in range(settings.bends)]
 
 
-def trend_terms(place: Column, bends: Sequence[float]) -> list[Column]:
-    """1, the place, and a hinge at each bend."""
-    return [F.lit(1.0), place, *(F.greatest(place - b, F.lit(0.0)) for b in bends)]
+def trend_terms(bends: Sequence[float]) -> Column:
+    """Array of 1, the place, and a hinge at each bend."""
+    listed = ", ".join(f"{b!r}D" for b in bends)
+    hinges = f"transform(array({listed}), b -> greatest(place - b, 0D))" if listed else "array()"
+    return F.expr(f"concat(array(1D, place), {hinges})")
 
 
-def season_terms(settings: Settings) -> list[Column]:
-    terms = seasonal_columns(settings.weekly, settings.yearly)
-    return [c for name, c in terms.items() if name != "trend"]
+def season_terms(settings: Settings) -> Column:
+    """Array of sines and cosines of the week and the year."""
+    turns = [
+        2 * math.pi * k / length
+        for length, order in ((7.0, settings.weekly), (365.25, settings.yearly))
+        for k in range(1, order + 1)
+    ]
+    day = "CAST(unix_date(CAST(ds AS DATE)) AS DOUBLE)"
+    listed = ", ".join(f"{t!r}D" for t in turns)
+    return F.expr(f"flatten(transform(array({listed}), t -> array(sin({day} * t), cos({day} * t))))")
+
+
+def _scaled(terms: Column, factor: str) -> Column:
+    return F.transform(terms, lambda t: t * F.col(factor))
 
 
 def placed(days: DataFrame, spans: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -147,18 +161,24 @@ def solve_bends(gram: Sequence[float], n: int, free: int, settings: Settings) ->
         return best[1]
     weight = np.maximum(np.diag(left), 1e-12)
     beta, seen = np.zeros(len(slope)), {()}
+    still = 1e-5 * max(yy, 1e-12) ** 0.5
     for penalty in top * np.geomspace(1, settings.least, settings.penalties):
-        for _ in range(500):
+        moving = np.arange(len(beta))
+        for turn in range(200):
             most = 0.0
-            for j in range(len(beta)):
+            for j in moving:
                 toward = slope[j] + weight[j] * beta[j]
-                change = np.sign(toward) * max(abs(toward) - penalty, 0.0) / weight[j] - beta[j]
+                change = math.copysign(max(abs(toward) - penalty, 0.0), toward) / weight[j] - beta[j]
                 if change:
                     beta[j] += change
-                    slope -= left[:, j] * change
+                    slope -= left[j] * change
                     most = max(most, abs(change) * weight[j] ** 0.5)
-            if most < 1e-6 * max(yy, 1e-12) ** 0.5:
-                break
+            if most < still:
+                if len(moving) == len(beta):
+                    break
+                moving = np.arange(len(beta))  # done with the bends in use; see whether others move
+            elif turn:
+                moving = np.flatnonzero(beta)
         kept = tuple(np.flatnonzero(beta).tolist())
         if kept not in seen and len(kept) + free < n:
             seen.add(kept)
@@ -166,13 +186,13 @@ def solve_bends(gram: Sequence[float], n: int, free: int, settings: Settings) ->
     return best[1]
 
 
-def _dot(terms: list[Column], weights: str) -> Column:
-    products = F.zip_with(F.array(*terms), F.col(weights), lambda a, b: a * b)
+def _dot(terms: Column, weights: str) -> Column:
+    products = F.zip_with(terms, F.col(weights), lambda a, b: a * b)
     return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
 
 
 def _trend(settings: Settings) -> Column:
-    return _dot(trend_terms(F.col("place"), candidate_places(settings)), "trend")
+    return _dot(trend_terms(candidate_places(settings)), "trend")
 
 
 def _season(settings: Settings) -> Column:
@@ -200,8 +220,8 @@ def fit_trend(
         placed(known.select(*names, "ds", target), spans, names).withColumn("value", value), "places"
     )
     counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
-    seasons, bends = len(season_terms(settings)), len(places)
-    flat = F.array(F.lit(1.0), *([F.lit(0.0)] * (bends + 1)))
+    seasons, bends = 2 * (settings.weekly + settings.yearly), len(places)
+    flat = F.concat(F.array(F.lit(1.0)), F.array_repeat(F.lit(0.0), bends + 1))
     none = F.array_repeat(F.lit(0.0), seasons)
     model = spans.withColumns({"trend": flat, "season": none})
     free = 2 + seasons
@@ -216,10 +236,11 @@ def fit_trend(
         around = (rows.join(part, names) if names else rows.crossJoin(F.broadcast(part))).withColumns(
             {"level": _trend(settings), "shape": _season(settings)}
         )
-        level, shape = F.col("level"), F.col("shape")
-        lines = [t * shape for t in trend_terms(F.col("place"), places)]
-        terms = F.array(*lines[:2], *(t * level for t in season_terms(settings)), *lines[2:])
-        target_now = F.col("value") + level * (shape - 1)
+        lines = _scaled(trend_terms(places), "shape")
+        terms = F.concat(
+            F.slice(lines, 1, 2), _scaled(season_terms(settings), "level"), F.slice(lines, 3, bends)
+        )
+        target_now = F.col("value") + F.col("level") * (F.col("shape") - 1)
         grams = normal_equations(around, terms, target_now, names)
         found = _joined(grams, counts, names).select(*names, solved("gram", "n").alias("beta"))
         model = stage(
@@ -231,7 +252,7 @@ def fit_trend(
             "trend",
         )
     span = F.greatest(F.col("last_day") - F.col("first_day"), F.lit(1))
-    at = F.array(*(F.lit(p) for p in places))
+    at = F.expr(f"array({', '.join(f'{p!r}D' for p in places)})")
     hinges = F.arrays_zip(at.alias("place"), F.slice("trend", 3, len(places)).alias("change"))
     return model.withColumn(
         "bends",

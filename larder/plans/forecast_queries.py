@@ -436,7 +436,7 @@ def _(w):
     days = _days(w).where("NOT is_test")
     rows = trend.placed(days, trend.history_spans(days, (), "actual"), ())
     week = trend.season_terms(trend.Settings(weekly=1, yearly=0))
-    terms = F.array(*trend.trend_terms(F.col("place"), BENDS), *week)
+    terms = F.concat(trend.trend_terms(BENDS), week)
     gram = trend.normal_equations(rows, terms, F.col("actual") / 1000)
     side = len(BENDS) + 5
     return gram.select(F.posexplode("gram").alias("cell", "total")).select(
