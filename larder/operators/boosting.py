@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.operators.models import INPUTS, TARGET, error_columns, non_negative
 from larder.session import stage
@@ -24,6 +25,9 @@ from larder.session import stage
 BLOCK = 1 << 16
 # Trees after which the running predictions are written, so that plans stay short.
 STORE_EVERY = 20
+# Tasks up to which a level's sums go to the driver as they are.
+DIRECT = 32
+SLOTS = T.StructType([T.StructField(name, T.LongType()) for name in ("slot", "g", "h")])
 
 
 @dataclass(frozen=True)
@@ -165,9 +169,12 @@ def drawn(ids: np.ndarray, tree: int, share: float, seed: int) -> np.ndarray:
 
 def histograms(
     state: DataFrame, booster: Booster, tree: Tree, number: int, level: int, columns: np.ndarray,
-    scale: float, settings: Settings,
+    scale: float, settings: Settings, tasks: int,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(gradients, Hessians) by (node of the level, column, bin): one aggregate, one job."""
+    """(gradients, Hessians) by (node of the level, column, bin): one aggregate, one job.
+
+    Sums of more than ``DIRECT`` tasks are added up in Spark before they come to the driver.
+    """
     width, bins, nodes = len(booster.inputs), settings.bins, 1 << level
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,31 +187,32 @@ def histograms(
                 binned = binned[seen]
                 at = tree.leaves(binned, level) - (nodes - 1)
                 here = at >= 0  # rows in a leaf of an earlier level take no part
-                # First and second derivative of half the squared error.
+                # First and second derivative of half the squared error; the first in two parts
+                # whose sums over a block are exact.
                 g = np.rint((pred[seen] - target[seen])[here] * scale)
-                at, binned = at[here], binned[here]
-                for i, c in enumerate(columns):
-                    slot = (at * len(columns) + i) * bins + binned[:, c]
-                    hessian += np.bincount(slot, minlength=len(hessian))
-                    low, high = np.bincount(slot, np.remainder(g, 2.0**24), len(gradient)), np.bincount(
-                        slot, np.floor_divide(g, 2.0**24), len(gradient)
-                    )
-                    gradient += low.astype(np.int64) + (high.astype(np.int64) << 24)
+                high = np.floor(g * 2.0**-24)
+                low = g - high * 2.0**24
+                at, binned = (at[here] * (len(columns) * bins))[:, None], binned[here]
+                slot = at + (np.arange(len(columns)) * bins + binned[:, columns])
+                for i in range(len(columns)):
+                    mine = slot[:, i]
+                    hessian += np.bincount(mine, minlength=len(hessian))
+                    gradient += np.bincount(mine, low, len(gradient)).astype(np.int64)
+                    gradient += np.bincount(mine, high, len(gradient)).astype(np.int64) << 24
         used = np.flatnonzero(hessian)
         yield pa.RecordBatch.from_arrays(
             [pa.array(used), pa.array(gradient[used]), pa.array(hessian[used])], names=["slot", "g", "h"]
         )
 
-    found = (
-        state.mapInArrow(sums, "slot bigint, g bigint, h bigint")
-        .groupBy("slot")
-        .agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-        .toArrow()
-    )
-    gradient, hessian = np.zeros(nodes * len(columns) * bins, np.int64), np.zeros(nodes * len(columns) * bins, np.int64)
-    slot = found.column("slot").to_numpy()
-    gradient[slot], hessian[slot] = found.column("g").to_numpy(), found.column("h").to_numpy()
+    parts = state.mapInArrow(sums, SLOTS)
+    if tasks > DIRECT:
+        parts = parts.groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+    found = parts.toArrow()  # a row per node, column and bin, from a few tasks at most
     shape = (nodes, len(columns), bins)
+    gradient, hessian = np.zeros(np.prod(shape), np.int64), np.zeros(np.prod(shape), np.int64)
+    slot = found.column("slot").to_numpy()
+    np.add.at(gradient, slot, found.column("g").to_numpy())
+    np.add.at(hessian, slot, found.column("h").to_numpy())
     return gradient.reshape(shape), hessian.reshape(shape)
 
 
@@ -246,7 +254,8 @@ def split_level(
 
 
 def grow(
-    state: DataFrame, booster: Booster, number: int, scale: float, settings: Settings, gains: np.ndarray
+    state: DataFrame, booster: Booster, number: int, scale: float, settings: Settings, gains: np.ndarray,
+    tasks: int,
 ) -> Tree:
     """One tree, a job per level."""
     size = (1 << (settings.depth + 1)) - 1
@@ -256,7 +265,7 @@ def grow(
     columns = np.sort(rng.permutation(width)[: max(1, round(settings.columns * width))])
     jobs = 0
     for level in range(settings.depth):
-        gradient, hessian = histograms(state, booster, tree, number, level, columns, scale, settings)
+        gradient, hessian = histograms(state, booster, tree, number, level, columns, scale, settings, tasks)
         jobs += 1
         if not split_level(tree, level, columns, gradient, hessian, scale, settings, gains):
             break
@@ -277,7 +286,7 @@ def advance(state: DataFrame, booster: Booster, tree: Tree) -> DataFrame:
             columns = [batch.column(c) for c in ("n", "ids", "bins", "target")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(pred, pa.binary())], names=batch.schema.names)
 
-    return state.mapInArrow(step, state.schema)
+    return state.mapInArrow(step, state.schema)  # the schema as an object: parsing text costs a call
 
 
 def fit_booster(
@@ -311,9 +320,10 @@ def fit_booster(
     largest = 4 * max(facts["most"], 1.0)
     scale = 2.0 ** np.floor(np.log2(min(2.0**61 / (largest * facts["n"]), 2.0**52 / largest)))
     state = stage(packed(rows, booster, target, keys), "blocks")
+    tasks = state.rdd.getNumPartitions()
     held: list[DataFrame] = []  # states in executor memory, the last one in use
     for number in range(settings.rounds):
-        tree = grow(state, booster, number, scale, settings, gains)
+        tree = grow(state, booster, number, scale, settings, gains, tasks)
         booster.trees.append(tree)
         while len(held) > 1:  # growing has filled the last one from the one before
             held.pop(0).unpersist()
@@ -324,6 +334,7 @@ def fit_booster(
         after = advance(state, booster, tree)
         if (number + 1) % STORE_EVERY == 0:
             state = stage(after, "blocks")
+            tasks = state.rdd.getNumPartitions()
             while held:
                 held.pop().unpersist()
         else:

@@ -116,11 +116,16 @@ def evaluate_daily(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def evaluate_by(
-    predictions: DataFrame, key: str, segments: DataFrame | None = None, min_rows: int = 5
+    predictions: DataFrame,
+    key: str,
+    segments: DataFrame | None = None,
+    min_rows: int = 5,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Metrics per product or store, groups of fewer than ``min_rows`` left out."""
+    """Metrics per product or store, and per ``by`` (models, say); groups of fewer than
+    ``min_rows`` are left out."""
     other = "store_id" if key == "sku" else "sku"
-    measured = evaluate(predictions, [key], ("ds", other), min_rows)
+    measured = evaluate(predictions, [*by, key], ("ds", other), min_rows)
     if segments is None:
         return measured
     known = [c for c in ("forecastable", "abc_class") if c in segments.columns]
@@ -189,12 +194,14 @@ def validation_gate(
     )
 
 
-def median_by_segment(by_group: DataFrame, segment_column: str) -> DataFrame:
-    """Median WAPE and bias per segment.
+def median_by_segment(
+    by_group: DataFrame, segment_column: str, by: Sequence[str] = ()
+) -> DataFrame:
+    """Median WAPE and bias per segment, and per ``by``.
 
     Both metrics carry two decimals, so the counts behind an exact median stay small.
     """
-    return by_group.groupBy(segment_column).agg(
+    return by_group.groupBy(*by, segment_column).agg(
         F.count(F.lit(1)).alias("n"),
         round_to(F.median("wape"), 4).alias("median_wape"),
         round_to(F.median("bias"), 4).alias("median_bias"),
@@ -202,15 +209,15 @@ def median_by_segment(by_group: DataFrame, segment_column: str) -> DataFrame:
     )
 
 
-def highest_impact(by_sku: DataFrame, limit: int = 5) -> DataFrame:
-    """Forecastable items whose error weighs most: WAPE times volume."""
-    return (
-        by_sku.where("forecastable")
-        .withColumn("impact", F.col("wape") * F.col("total_actual"))
-        .orderBy(F.desc("impact"), "sku")
-        .limit(limit)
-        .select("sku", "wape", "bias", "total_actual", "impact")
-    )
+def highest_impact(by_sku: DataFrame, limit: int = 5, by: Sequence[str] = ()) -> DataFrame:
+    """Forecastable items whose error weighs most: WAPE times volume; the first of each ``by``."""
+    weighed = by_sku.where("forecastable").withColumn("impact", F.col("wape") * F.col("total_actual"))
+    columns = [*by, "sku", "wape", "bias", "total_actual", "impact"]
+    if not by:
+        return weighed.orderBy(F.desc("impact"), "sku").limit(limit).select(columns)
+    order = Window.partitionBy(*by).orderBy(F.desc("impact"), "sku")
+    ranked = weighed.withColumn("_place", F.row_number().over(order))
+    return ranked.where(F.col("_place") <= limit).select(columns)
 
 
 def prediction_stats(scored: DataFrame) -> DataFrame:

@@ -255,22 +255,27 @@ def _(w):
     return anomalies.anomaly_rate(w.anomalies)
 
 
+_TYPES = ", ".join(
+    f"CASE WHEN {name} = 1 THEN '{name.removeprefix('anomaly_')}' END" for name in anomalies.FLAGS
+)
+
+
 @query(
     "anomaly_context",
     "A14",
-    f"""SELECT a.ds, a.sku, a.store_id, a.anomaly_score, a.units_sold,
+    f"""SELECT a.ds, a.sku, a.store_id, a.anomaly_score, a.units_sold, a.anomaly_types,
       {r("b.avg_units", 4)} AS avg_units, {r("b.std_units", 4)} AS std_units,
       {r("b.avg_revenue", 2)} AS avg_revenue, COUNT(f.ds) AS history_days,
       STRING_AGG(strftime(f.ds, '%Y-%m-%d') || ':' || f.units_sold || '/' || f.demand, ' ' ORDER BY f.ds)
-        AS history
-    FROM anomalies a
+        AS history, {msum("f.revenue")} AS history_revenue
+    FROM (SELECT *, concat_ws(',', {_TYPES}) AS anomaly_types FROM anomalies) a
     JOIN features f ON a.sku = f.sku AND a.store_id = f.store_id
       AND f.ds BETWEEN a.ds - 7 AND a.ds + 1
     JOIN (SELECT sku, store_id, AVG(units_sold) AS avg_units, STDDEV_SAMP(units_sold) AS std_units,
         AVG(revenue) AS avg_revenue FROM features GROUP BY sku, store_id) b
       ON a.sku = b.sku AND a.store_id = b.store_id
     WHERE a.is_anomaly = 1
-    GROUP BY a.ds, a.sku, a.store_id, a.anomaly_score, a.units_sold, b.avg_units, b.std_units,
+    GROUP BY a.ds, a.sku, a.store_id, a.anomaly_score, a.units_sold, a.anomaly_types, b.avg_units, b.std_units,
       b.avg_revenue""",
 )
 def _(w):
@@ -290,11 +295,17 @@ def _(w):
         "store_id",
         "anomaly_score",
         "units_sold",
+        F.array_join("anomaly_types", ",").alias("anomaly_types"),
         round_to("avg_units", 4).alias("avg_units"),
         round_to("std_units", 4).alias("std_units"),
         round_to("avg_revenue", 2).alias("avg_revenue"),
         F.size("history").cast("bigint").alias("history_days"),
         F.array_join(day, " ").alias("history"),
+        F.aggregate(
+            "history",
+            F.lit(0).cast("decimal(28,4)"),
+            lambda total, h: (total + h["revenue"].cast("decimal(18,4)")).cast("decimal(28,4)"),
+        ).alias("history_revenue"),
     )
 
 

@@ -99,11 +99,10 @@ def _(w):
 @query(
     "row_accuracy",
     "M1 M2 M3 M4 M5 M6 M7",
-    f"SELECT * FROM ({accuracy('one_model', '', 'ds, sku, store_id')})",
+    f"SELECT * FROM ({accuracy('predictions', 'model', 'ds, sku, store_id')})",
 )
 def _(w):
-    one = w.test_rows.where("model = 'mean_7'")
-    return metrics.evaluate(one, order=("ds", "sku", "store_id"))
+    return metrics.evaluate(w.test_rows, ["model"], ("ds", "sku", "store_id"))
 
 
 @query(
@@ -131,20 +130,19 @@ def _(w):
 
 @query("accuracy_by_sku", "M8 J11", "SELECT * FROM metrics_by_sku")
 def _(w):
-    one = w.test_rows.where("model = 'mean_7'").drop("model")
-    return metrics.evaluate_by(one, "sku", w.sku_segments)
+    return metrics.evaluate_by(w.test_rows, "sku", w.sku_segments, by=["model"])
 
 
 @query(
     "accuracy_by_store",
     "M8 J11",
     f"""SELECT m.*, forecastable, {r("cv", 2)} AS cv
-    FROM ({accuracy("one_model", "store_id", "ds, sku")}) m
+    FROM ({accuracy("predictions", "model, store_id", "ds, sku")}) m
     LEFT JOIN store_segments s ON m.store_id = s.store_id WHERE n_records >= 5""",
 )
 def _(w):
-    one = w.test_rows.where("model = 'mean_7'").drop("model")
-    return metrics.evaluate_by(one, "store_id", segments.segment_stores(w.candidates))
+    stores = segments.segment_stores(w.candidates)
+    return metrics.evaluate_by(w.test_rows, "store_id", stores, by=["model"])
 
 
 @query("model_comparison", "M21", "SELECT * FROM comparison ORDER BY wape, model")
@@ -185,24 +183,25 @@ def _(w):
 @query(
     "median_by_class",
     "M24",
-    f"""SELECT abc_class, COUNT(*) AS n, {r("MEDIAN(wape)", 4)} AS median_wape,
+    f"""SELECT model, abc_class, COUNT(*) AS n, {r("MEDIAN(wape)", 4)} AS median_wape,
       {r("MEDIAN(bias)", 4)} AS median_bias, SUM(total_actual) AS total_actual
-    FROM metrics_by_sku GROUP BY abc_class""",
+    FROM metrics_by_sku GROUP BY model, abc_class""",
 )
 def _(w):
-    one = w.test_rows.where("model = 'mean_7'").drop("model")
-    return metrics.median_by_segment(metrics.evaluate_by(one, "sku", w.sku_segments), "abc_class")
+    measured = metrics.evaluate_by(w.test_rows, "sku", w.sku_segments, by=["model"])
+    return metrics.median_by_segment(measured, "abc_class", ["model"])
 
 
 @query(
     "highest_impact",
     "M25 T3",
-    """SELECT sku, wape, bias, total_actual, wape * total_actual AS impact FROM metrics_by_sku
-    WHERE forecastable ORDER BY impact DESC, sku LIMIT 5""",
+    """SELECT model, sku, wape, bias, total_actual, wape * total_actual AS impact FROM metrics_by_sku
+    WHERE forecastable
+    QUALIFY row_number() OVER (PARTITION BY model ORDER BY wape * total_actual DESC, sku) <= 5""",
 )
 def _(w):
-    one = w.test_rows.where("model = 'mean_7'").drop("model")
-    return metrics.highest_impact(metrics.evaluate_by(one, "sku", w.sku_segments))
+    measured = metrics.evaluate_by(w.test_rows, "sku", w.sku_segments, by=["model"])
+    return metrics.highest_impact(measured, by=["model"])
 
 
 @query(
@@ -286,10 +285,14 @@ def _(w):
     )
 
 
+# As many rounds as the trees it is compared with; the comparison of all models has the full 200.
+SAME_ROUNDS = boosting.Settings(rounds=models.PLAIN_TREES["maxIter"])
+
+
 @query("histogram_boosting", "M14 M18")
 def _(w):
     rows = _split(w)
-    fitted = boosting.fit_booster(rows.where("NOT is_test"))
+    fitted = boosting.fit_booster(rows.where("NOT is_test"), settings=SAME_ROUNDS)
     scored = boosting.score(fitted, rows.where("is_test"), "histogram_boosting", clip=True)
     return metrics.compare_models(_as_predictions(scored, "histogram_boosting"), {"histogram_boosting": "ML"})
 
@@ -486,11 +489,11 @@ def _(w):
     "histogram_boosting_facts",
     "M14 M15 M18",
     f"""SELECT *, TRUE AS a_job_per_level
-    FROM ({_facts_sql("histogram_boosting", boosting.Settings().rounds)})""",
+    FROM ({_facts_sql("histogram_boosting", SAME_ROUNDS.rounds)})""",
 )
 def _(w):
     rows = _split(w)
-    fitted = boosting.fit_booster(rows.where("NOT is_test"))
+    fitted = boosting.fit_booster(rows.where("NOT is_test"), settings=SAME_ROUNDS)
     scored = boosting.score(fitted, rows.where("is_test"), "histogram_boosting", clip=True)
     shares = sum(share for _, share in fitted.importance())
     facts = _tree_facts(scored, "histogram_boosting", len(fitted.trees), shares)

@@ -8,6 +8,7 @@ from larder.functions import round_to
 from larder.operators import quality, staging
 from larder.plans.registry import isum, pct, query, r
 from larder.session import stage
+from larder.sources.layers import path_exists
 
 # The raw tables that the order book provides; carriers have no counterpart there.
 RAW_NAMES = ("suppliers", "products", "locations", "sales", "inventory")
@@ -15,13 +16,21 @@ RAW_VIEWS = dict(zip(RAW_NAMES, ("suppliers", "products", "locations", "sales_li
 
 
 def raw_tables(w) -> dict:
+    """The raw tables that are there, and None for those the storage does not have.
+
+    A derived table is there if the files it is made from are; carriers have a file of their own.
+    """
+    sources = {
+        "suppliers": (w.suppliers, ("supplier", "nation", "region")),
+        "products": (w.products, ("part",)),
+        "locations": (w.locations, ("nation", "region")),
+        "sales": (w.sales_line, ("lineitem",)),
+        "inventory": (w.inventory, ("lineitem",)),
+        "carriers": (lambda: w.table("carriers"), ("carriers",)),
+    }
     return {
-        "suppliers": w.suppliers(),
-        "products": w.products(),
-        "locations": w.locations(),
-        "sales": w.line,
-        "inventory": w.inventory(),
-        "carriers": None,
+        name: build() if all(path_exists(w.spark, f"{w.folder}/{f}.parquet") for f in files) else None
+        for name, (build, files) in sources.items()
     }
 
 

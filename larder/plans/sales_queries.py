@@ -657,11 +657,8 @@ def _(w):
 @query(
     "history_near_anomalies",
     "J7 P12 F8",
-    """SELECT a.sku, a.store_id, a.ds AS event_ds, f.ds AS ds, f.units_sold, f.demand
-    FROM (SELECT sku, store_id, ds, UNNEST(range(-7, 2)) AS shift FROM anomalies
-      WHERE is_anomaly = 1) a
-    JOIN features f ON a.sku = f.sku AND a.store_id = f.store_id
-      AND f.ds = a.ds + CAST(shift AS INTEGER)""",
+    """SELECT d.sku, d.store_id, d.event_ds, d.ds, f.units_sold, f.demand FROM event_days d
+    JOIN features f ON d.sku = f.sku AND d.store_id = f.store_id AND d.ds = f.ds""",
 )
 def _(w):
     events = w.anomalies.where("is_anomaly = 1").select("sku", "store_id", "ds")

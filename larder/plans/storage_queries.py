@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -126,7 +128,8 @@ def _(w):
     summed = w.line.groupBy("store_id").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("units_sold").alias("units")
     )
-    return layers.create_table(summed, "larder_store_units", fresh_path(w.spark, "table"))
+    name = f"larder_store_units_{uuid.uuid4().hex}"  # runs side by side do not meet
+    return layers.create_table(summed, name, fresh_path(w.spark, "table"))
 
 
 @query(

@@ -304,10 +304,15 @@ view(
       mae, rmse, wape, bias, mase, hit_rate_20, hit_rate_10, smape
     FROM ({accuracy("daily_predictions", "model", "ds")})""",
 )
-view("one_model", "SELECT * FROM predictions WHERE model = 'mean_7'")
 view(
     "metrics_by_sku",
     f"""SELECT m.*, forecastable, abc_class, {r("cv", 2)} AS cv
-    FROM ({accuracy("one_model", "sku", "ds, store_id")}) m LEFT JOIN sku_segments s ON m.sku = s.sku
+    FROM ({accuracy("predictions", "model, sku", "ds, store_id")}) m LEFT JOIN sku_segments s ON m.sku = s.sku
     WHERE n_records >= 5""",
 )
+view(
+    "event_days",
+    """SELECT sku, store_id, event_ds, event_ds + shift AS ds
+    FROM (SELECT sku, store_id, ds AS event_ds, CAST(UNNEST(range(-7, 2)) AS INTEGER) AS shift
+      FROM anomalies WHERE is_anomaly = 1)""",
+)
