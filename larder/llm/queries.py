@@ -130,7 +130,29 @@ def op6_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
-@query("op1_vector_dedup")
+@query(
+    "op1_vector_dedup",
+    """
+    WITH RECURSIVE rows AS MATERIALIZED (
+        SELECT vec_id, embedding::DOUBLE[] AS v, coalesce(len(embedding) > 0 AND list_bool_and(
+            list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+            AND list_bool_or(list_transform(embedding, lambda x: x <> 0)), FALSE) AS usable
+        FROM embeddings),
+    links AS MATERIALIZED (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM rows a JOIN rows b
+        ON a.usable AND b.usable AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            AND list_cosine_similarity(a.v, b.v) >= 0.95),
+    reached AS (
+        SELECT vec_id AS node, vec_id AS low FROM rows
+        UNION
+        SELECT links.b, reached.low FROM reached JOIN links ON links.a = reached.node
+        WHERE reached.low < links.b),
+    lowest AS (SELECT node, min(low) AS component_id FROM reached GROUP BY node),
+    counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM rows JOIN lowest ON node = vec_id LEFT JOIN counted ON a = vec_id
+    """,
+)
 def op1_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicate_vectors(table(spark, folder, "embeddings"))
 

@@ -28,15 +28,20 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def prefix_bits(rows: int, window: int = WINDOW) -> int:
+    """Leading hashes that tell rows / window groups apart."""
+    return min(HASHES, max(0, math.ceil(math.log2(max(1, rows) / window))))
+
+
 def passes_needed(rows: int, cosine: float, window: int = WINDOW, miss: float = MISS) -> int:
     """Passes after which a pair at the threshold is missed with probability ``miss``.
 
-    One random hash differs with probability angle / pi. Vectors are neighbours within the
-    window if they agree on about as many leading hashes as it takes to tell rows / window
-    groups apart. Closer pairs are missed far less often.
+    One random hash differs with probability angle / pi. In a pass, vectors that agree on the
+    leading ``prefix_bits`` hashes are compared, however many they are. Closer pairs are missed
+    far less often.
     """
     agree = 1 - math.acos(cosine) / math.pi
-    meet = agree ** max(0.0, math.log2(max(1, rows) / window))
+    meet = agree ** prefix_bits(rows, window)
     return 1 if meet >= 1 else math.ceil(math.log(miss) / math.log1p(-meet))
 
 
@@ -54,10 +59,10 @@ def _unit_rows(vectors: pa.ListArray) -> list[np.ndarray]:
     return [r / math.sqrt(r @ r) for r in rows]
 
 
-def project(nodes: DataFrame, passes: int, seed: int) -> DataFrame:
+def project(nodes: DataFrame, passes: int, seed: int, vectors: bool = True) -> DataFrame:
     """(width, pass, key, node, vector): each vector under the sort key of every pass.
 
-    A key is the signs of a vector's products with random directions, one bit each, the
+    Without ``vectors`` only (width, pass, key), to count keys by. A key is the signs of a vector's products with random directions, one bit each, the
     first one highest: keys in order are the concatenated hashes in lexicographic order.
     """
 
@@ -73,31 +78,85 @@ def project(nodes: DataFrame, passes: int, seed: int) -> DataFrame:
                     mine = np.flatnonzero(widths == width)
                     signs = np.stack([units[i] for i in mine]) @ _planes(seed, passes, int(width)) > 0
                     keys[mine] = signs.reshape(len(mine), passes, HASHES) @ weights
+                rest = ["node", "vector"] if vectors else []
                 for number in range(passes):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(widths),
                             pa.array(np.full(len(units), number)),
                             pa.array(np.ascontiguousarray(keys[:, number])),
-                            part.column("node"),
-                            part.column("vector"),
+                            *(part.column(c) for c in rest),
                         ],
-                        names=["width", "pass", "key", "node", "vector"],
+                        names=["width", "pass", "key", *rest],
                     )
 
     kind = nodes.schema["vector"].dataType.simpleString()
-    return nodes.select("node", "vector").mapInArrow(
-        run, f"width bigint, pass bigint, key bigint, node bigint, vector {kind}"
+    rest = f", node bigint, vector {kind}" if vectors else ""
+    return nodes.select("node", "vector").mapInArrow(run, f"width bigint, pass bigint, key bigint{rest}")
+
+
+GROUP = ["width", "pass", "prefix"]
+
+
+def with_prefix(projected: DataFrame, bits: int) -> DataFrame:
+    return projected.withColumn("prefix", F.shiftright("key", HASHES - bits))
+
+
+def found_links(
+    nodes: DataFrame, passes: int, bits: int, seed: int, cosine: float, window: int = WINDOW
+) -> DataFrame:
+    """(a, b): verified pairs of all passes.
+
+    Vectors that share a pass's prefix are all compared: by the window, which no group of
+    that size outgrows, or, where a dense region puts more of them under one prefix, all with
+    all in blocks. So how densely vectors lie costs time and loses no link.
+    """
+    counted = with_prefix(project(nodes, passes, seed, vectors=False), bits)
+    sizes = counted.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"))
+    dense = stage(sizes.where(F.col("n") > window).select(*GROUP), "dense")
+    projected = with_prefix(project(nodes, passes, seed), bits)
+    if dense.isEmpty():
+        return window_links(projected, cosine, window)
+    thin = projected.join(dense, GROUP, "left_anti")
+    thick = stage(
+        projected.join(dense, GROUP, "left_semi").select(F.struct(*GROUP).alias("crowd"), "node", "vector"),
+        "crowds",
     )
+    return window_links(thin, cosine, window).union(crowd_links(thick, cosine))
+
+
+def crowd_links(members: DataFrame, cosine: float) -> DataFrame:
+    """(a, b): verified pairs of the members of each crowd, compared in blocks of bounded size."""
+
+    def work(cells: np.ndarray, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        units = _unit_rows(rows.column("vector"))
+        nodes, sides = rows.column("node").to_numpy(), rows.column("side").to_numpy()
+        edges = np.flatnonzero(np.diff(cells)) + 1
+        for low, high in zip([0, *edges], [*edges, len(cells)]):
+            mine = np.arange(low, high)
+            first, second = mine[sides[low:high] == 0], mine[sides[low:high] == 1]
+            second = second if len(second) else first
+            right = np.stack([units[i] for i in second])
+            found_a, found_b = [], []
+            for start in range(0, len(first), STRIP):
+                strip = first[start : start + STRIP]
+                x, y = np.nonzero(np.stack([units[i] for i in strip]) @ right.T >= cosine)
+                found_a.append(strip[x] - low)
+                found_b.append(second[y] - low)
+            if found_a:
+                yield from smallest_links(nodes[mine], np.concatenate(found_a), np.concatenate(found_b))
+
+    cells = block_pairs(members, "crowd", "node")
+    return map_cells(cells, ["side", "node", "vector"], work, "a bigint, b bigint")
 
 
 def window_links(projected: DataFrame, cosine: float, window: int = WINDOW) -> DataFrame:
     """(a, b): verified pairs among neighbours of the sorted order of each pass.
 
-    Rows are range-partitioned by pass and key and sorted; every row is compared with the
-    ``window`` rows after it, in double precision. Of the pairs found in a batch a star per
-    connected group goes on, so a crowd of near-equal vectors gives a link per vector.
-    Windows end at partition edges; other passes see what is cut there.
+    Rows are range-partitioned by pass and prefix, so that no edge parts a prefix, and sorted
+    by key; every row is compared with the ``window`` rows after it, in double precision. Of the
+    pairs found in a batch a star per connected group goes on, so a crowd of near-equal vectors
+    gives a link per vector.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,10 +187,10 @@ def window_links(projected: DataFrame, cosine: float, window: int = WINDOW) -> D
             found_b.append(y[near] + start)
         yield from smallest_links(nodes, np.concatenate(found_a), np.concatenate(found_b))
 
-    order = ["width", "pass", "key", "node"]
     return (
-        projected.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        projected.repartitionByRange(*GROUP)
+        .sortWithinPartitions("width", "pass", "key", "node")
+        .select("width", "pass", "node", "vector")
         .mapInArrow(run, "a bigint, b bigint")
     )
 
@@ -189,7 +248,8 @@ def near_duplicate_vectors(
     Sorted passes find the components; inside a component all pairs are then compared, so
     ``n_links`` counts every link, and none below the threshold is made. A link that alone
     joins two components is missed with probability ``miss`` at most if it lies at the
-    threshold. ``component_id`` is the smallest id reachable, the vector's own included,
+    threshold, also in a dense region: what shares a prefix there is compared in blocks, at the
+    cost of the square of its number. ``component_id`` is the smallest id reachable, the vector's own included,
     ``kept`` whether it is its own; rows repeated under one id are rows of their own, and a
     NULL id is the component's only if it has no other. An empty table gives no rows.
     """
@@ -202,8 +262,9 @@ def near_duplicate_vectors(
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    passes = passes_needed(nodes.count(), cosine, window, miss)
-    found = components(window_links(project(nodes, passes, seed), cosine, window))
+    count = nodes.count()
+    passes, bits = passes_needed(count, cosine, window, miss), prefix_bits(count, window)
+    found = components(found_links(nodes, passes, bits, seed, cosine, window))
     linked = stage(nodes.join(found, "node"), "linked")
     counts = link_counts(linked.select("component", "node", "vector", "copies"), cosine)
     lowest = linked.groupBy("component").agg(F.min("first").alias("lowest"))

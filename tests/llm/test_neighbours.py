@@ -256,3 +256,20 @@ def test_passes_grow_with_the_table():
     assert vectors.passes_needed(10, 0.95) == 1
     few, many = vectors.passes_needed(10**5, 0.95), vectors.passes_needed(10**9, 0.95)
     assert 5 < few < many < 200
+
+
+def test_dense_region_loses_no_link(spark):
+    """A third of the rows in one cone, with lone pairs just above the threshold inside it."""
+    rng = np.random.default_rng(1)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    n, dense, pairs = 4500, 1500, 60
+    x = unit(rng.normal(size=(n, 64)))
+    x[:dense] = unit(np.sqrt(0.9) * unit(rng.normal(size=64)) + np.sqrt(0.1) * x[:dense])
+    for i, j in rng.permutation(dense)[: 2 * pairs].reshape(-1, 2):
+        away = rng.normal(size=64)
+        x[j] = 0.952 * x[i] + np.sqrt(1 - 0.952**2) * unit(away - away @ x[i] * x[i])
+    links = (x @ x.T >= 0.95).sum(axis=1) - 1
+    assert links.sum() >= 2 * pairs
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicate_vectors(frame).collect()}
+    assert [got[i] for i in range(n)] == links.tolist()
