@@ -36,11 +36,24 @@ NOISE_WORDS = frozenset(
     " related recommended recommendations pagination pager toolbar widget widgets skip hidden"
     " search searchform".split()
 )
+# These count only in names made of such words and names of boxes: not hidden-xs, search-results.
+WEAK_WORDS = frozenset("hidden search side share skip foot promotion notice notices".split())
+BOX_WORDS = frozenset(
+    "area bar block box button buttons container form icon icons inner input link links list"
+    " panel section wrap wrapper".split()
+)
+# A name that begins with one of these tells of the element's look, not of what it is.
+STATE_WORDS = frozenset("with without has no not non is hide show".split())
+# Parts that may hold articles of their own, and still are none.
+ASIDE_WORDS = frozenset(
+    "comment comments commentlist disqus respond replies related recommended recommendations".split()
+)
 # These mark a page's own top, but inside an article they hold its heading.
 HEAD_WORDS = frozenset("header masthead topbar".split())
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
+    |<(?:svg|math)\b[^>]*/>
     |<(?P<raw>script|style|noscript|template|svg|math)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)
     |<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*'|["'])*?)(?:>|\Z)
     |<[!?/][^>]*(?:>|\Z)
@@ -51,6 +64,8 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 DEPTH_SHARE = 0.5
+# A marked element with this share of all text, on a page without article and main, is none.
+WRAPPER_SHARE = 0.9
 # What a container adds to the one inside it is article text up to this share of link text.
 LINK_SHARE = 0.3
 
@@ -65,17 +80,39 @@ class Element:
     text: float = 0.0  # characters of running text, a deeper one's counted in part
     links: float = 0.0
     parent: int = 0  # the container around it
+    marks: tuple[int, ...] = ()  # names around it that mark noise; see Mark
+    hard: bool = False  # noise by tag or attribute, whatever it holds
     whole: int = 0  # characters of running text, deeper ones' in full
     whole_links: int = 0
 
 
+@dataclass
+class Mark:
+    """An element whose class or id name says that it is no part of an article."""
+
+    aside: bool  # a part such as comments, which may hold articles of its own
+    size: int = 0
+    articles: int = 0
+
+
+@dataclass
+class Part:
+    """A piece of text, with what marks it as noise and whether it is in a link."""
+
+    text: str
+    hard: bool
+    marks: tuple[int, ...]
+    linked: bool
+
+
 @dataclass
 class Block:
-    """A run of text with the containers it stands in, outermost first."""
+    """A run of text with the containers it stands in, outermost first. After parsing, its
+    parts are the texts that are no noise; ``noise`` says that there is none."""
 
-    parts: list[str]
+    parts: list
     inside: tuple[int, ...]
-    noise: bool
+    noise: bool = False
     linked: int = 0
 
 
@@ -83,6 +120,8 @@ class Block:
 class Page:
     elements: list[Element] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
+    marks: list[Mark] = field(default_factory=list)
+    articles: int = 0
 
 
 def _attributes(rest: str) -> dict[str, str]:
@@ -92,22 +131,32 @@ def _attributes(rest: str) -> dict[str, str]:
     return found
 
 
-def _is_noise(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+def _is_hard_noise(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Noise by tag or attribute."""
     if tag in SKIPPED or (tag == "header" and not in_article):
         return True
-    if not attributes:
-        return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
     if attributes.get("role") in ("navigation", "banner", "contentinfo", "complementary", "search"):
         return True
-    if _HIDDEN.search(attributes.get("style", "")):
-        return True
+    return bool(_HIDDEN.search(attributes.get("style", "")))
+
+
+def _mark(tag: str, attributes: dict[str, str], in_article: bool) -> Mark | None:
+    """A mark if one of the element's names, taken whole, says noise."""
     if tag in ("html", "body", "article", "main"):
-        return False
-    names = attributes.get("class", "") + " " + attributes.get("id", "")
-    words = {w.lower() for w in _WORD.findall(names)}
-    return bool(words & NOISE_WORDS or (not in_article and words & HEAD_WORDS))
+        return None
+    names = (attributes.get("class", "") + " " + attributes.get("id", "")).split()
+    for name in names:
+        words = [w.lower() for w in _WORD.findall(name)]
+        if not words or words[0] in STATE_WORDS:
+            continue
+        found = NOISE_WORDS.intersection(words)
+        if found and found <= WEAK_WORDS and not (NOISE_WORDS | BOX_WORDS).issuperset(words):
+            continue
+        if found or (not in_article and HEAD_WORDS.intersection(words)):
+            return Mark(bool(ASIDE_WORDS & found))
+    return None
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -136,11 +185,9 @@ def parse(source: str | None) -> Page:
         if text is not None:
             if block is None:
                 inside = tuple(e.number for e in stack if e.number >= 0)
-                block = Block([], inside, stack[-1].noise)
+                block = Block([], inside)
                 page.blocks.append(block)
-            block.parts.append(text)
-            if linking:
-                block.linked += len(text)
+            block.parts.append(Part(text, stack[-1].hard, stack[-1].marks, linking > 0))
             continue
         tag = token["tag"]
         if tag is None:
@@ -170,21 +217,58 @@ def parse(source: str | None) -> Page:
             continue
         above = stack[-1]
         attributes = _attributes(token["rest"]) if token["rest"].strip() else {}
-        noise = above.noise or _is_noise(tag, attributes, above.in_article)
+        hard = above.hard or _is_hard_noise(tag, attributes, above.in_article)
+        marks = above.marks
+        mark = _mark(tag, attributes, above.in_article) if attributes and not hard else None
+        if mark:
+            marks = (*marks, len(page.marks))
+            page.marks.append(mark)
+        if tag in ("article", "main") and not hard and not any(page.marks[n].aside for n in marks):
+            page.articles += 1
+            for number in marks:
+                page.marks[number].articles += 1
         in_article = above.in_article or tag in ("article", "main")
         linking += tag == "a"
         if tag in CONTAINERS:
             path = f"{above.path}/{_step(tag, attributes)}"
-            element = Element(tag, path, noise, in_article, len(page.elements))
-            element.parent = above.number if above.number >= 0 else above.parent
+            element = Element(tag, path, False, in_article, len(page.elements))
             page.elements.append(element)
         else:
-            element = Element(tag, above.path, noise, in_article, -1)
-            element.parent = above.number if above.number >= 0 else above.parent
+            element = Element(tag, above.path, False, in_article, -1)
+        element.parent = above.number if above.number >= 0 else above.parent
+        element.marks, element.hard = marks, hard
         stack.append(element)
+    _settle(page)
     return page
 
 
+def _settle(page: Page) -> None:
+    """Decide which marks hold, once the whole page is known, and drop the noise from blocks.
+
+    A mark falls if every article of the page is inside its element, or, on a page without one,
+    nearly all text: then its name is that of the layout. Comments and the like stay marked.
+    """
+    total = 0
+    for block in page.blocks:
+        for part in block.parts:
+            size = 0 if part.hard else len(part.text.strip())
+            total += size
+            for number in part.marks:
+                page.marks[number].size += size
+    live = set()
+    for number, mark in enumerate(page.marks):
+        whole = mark.articles == page.articles if page.articles else mark.size >= WRAPPER_SHARE * total
+        if mark.aside or not whole:
+            live.add(number)
+    for element in page.elements:
+        element.noise = element.hard or not live.isdisjoint(element.marks)
+    for block in page.blocks:
+        kept = [p for p in block.parts if not p.hard and live.isdisjoint(p.marks)]
+        block.parts = [p.text for p in kept]
+        block.linked = sum(len(p.text) for p in kept if p.linked)
+        block.noise = not kept
+
+
 def block_text(block: Block) -> str:
     """References decoded, white space turned into single spaces, trimmed."""
     return " ".join(html.unescape("".join(block.parts)).split())

@@ -243,19 +243,21 @@ def keep_identified(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    least_score: float = 0.3,
+    over_chance: float = 1.2,
     settings: Settings = Settings(),
 ) -> DataFrame:
     """The rows of ``docs`` whose language can be told, with all their columns unchanged.
 
     Rejected are texts without a letter and texts that no language explains better than
-    chance: a score of ``least_score`` or less where there are several languages. If nothing
-    could be learned, all texts with a letter stay.
+    chance: where n languages were learned, a score of ``over_chance`` / n or less, since a text
+    of which nothing is known scores 1 / n. With one language nothing can be told apart, and if
+    nothing could be learned neither: then all texts with a letter stay.
     """
     model = fit(docs, fold(id_col) != 2, id_col, text_col, lang_col, settings)
     if not model.languages:
         return docs.where(F.col(text_col).rlike(r"\p{L}"))
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     scored = packed.withColumn("p", prediction(docs, model, F.col(f"row.{text_col}")))
-    sure = F.col("p.score") > least_score if len(model.languages) > 1 else F.lit(True)
+    several = len(model.languages) > 1
+    sure = F.col("p.score") > over_chance / len(model.languages) if several else F.lit(True)
     return scored.where((F.col("p.lang_pred") != UNKNOWN) & sure).select("row.*")

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -73,8 +74,8 @@ class SequenceWriter:
         self.held += len(raw) // 2
         self.n_docs += 1
         self.n_tokens += len(raw) // 2
-        if self.held >= BATCH * self.length:
-            self._flush(self.held - self.held % self.length)
+        if self.held >= BATCH * self.length:  # whole batches: place gives the batch of a sequence
+            self._flush(self.held - self.held % (BATCH * self.length))
 
     def _flush(self, count: int) -> None:
         ids = np.frombuffer(b"".join(self.parts), "<u2")
@@ -180,11 +181,28 @@ def read_sequences(system, path: str) -> Iterator[tuple[np.ndarray, int, list, n
             )
 
 
+def open_for_slices(system, path: str):
+    """A mapped file where the store is this machine's, else one read through the store."""
+    if isinstance(system, pa.fs.LocalFileSystem):
+        return pa.memory_map(path)
+    return system.open_input_file(path)
+
+
 def sequence(system, path: str, number: int, batch_size: int = BATCH):
-    """(ids, mask) of one sequence of a file, by place: one batch is read, nothing is copied."""
-    with system.open_input_file(path) as source:
-        batch = pa.ipc.open_file(source).get_batch(number // batch_size)
-        row = number % batch_size
+    """(ids, mask) of one sequence of a file, by its place from 0.
+
+    Every batch of a file but the last has ``batch_size`` sequences, so the place says which
+    batch holds it, and only that is read. From a mapped file the arrays are views of it. A
+    place beyond the file raises IndexError.
+    """
+    with open_for_slices(system, path) as source:
+        reader = pa.ipc.open_file(source)
+        at, row = divmod(number, batch_size)
+        if number < 0 or at >= reader.num_record_batches:
+            raise IndexError(f"{path} has no sequence {number}")
+        batch = reader.get_batch(at)
+        if row >= batch.num_rows:
+            raise IndexError(f"{path} has no sequence {number}")
         return batch.column("ids")[row].values, batch.column("mask")[row].values
 
 

@@ -40,6 +40,17 @@ def test_held_out_rows_teach_nothing(spark):
     assert {r.lang_pred for r in got} == {"en", "es"}
 
 
+@pytest.mark.parametrize("count", [2, 3, 4])
+def test_unknown_scripts_go_whatever_the_number_of_languages(spark, count):
+    words = {"en": "one two three", "es": "uno dos tres", "de": "eins zwei drei", "fi": "yksi kaksi kolme"}
+    names = list(words)[:count]
+    rows = [(i, words[names[i % count]], names[i % count]) for i in range(12 * count)]
+    odd = [(900, "Ελληνικά ΣΣ", None), (901, "日本語", None), (902, "12 34", None), (903, None, None)]
+    docs = spark.createDataFrame(rows + odd, "doc_id bigint, text string, lang string")
+    kept = {r.doc_id for r in langid.keep_identified(docs).collect()}
+    assert kept == {r[0] for r in rows}
+
+
 def test_backoff_from_words_to_characters():
     model = langid.Model.of(
         ["a", "b"],

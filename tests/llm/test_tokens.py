@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -149,6 +150,42 @@ def test_token_files_round_trip(spark, documents, texts, length):
     assert ids.to_pylist() == whole[3 * length : 4 * length] and all(mask.to_pylist())
 
 
+def test_every_sequence_by_its_place(spark, tmp_path):
+    """Documents of very different length, in several files; each sequence of each is read."""
+    import pyarrow.fs
+
+    length = 32
+    sizes = [50, 800, 25_000, 3, 1, 2_047]
+    docs = spark.createDataFrame(
+        [(i, "a " * sizes[i % len(sizes)]) for i in range(36)], "doc_id bigint, text string"
+    ).repartition(4)
+    folder = fresh_path(spark, "test-places")
+    manifest = tokenfiles.write_sequences(docs, folder, vocabulary(), 2, length=length)
+    system, path = open_folder(folder)
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    whole = np.array([i for _, t in rows for i in library_ids(t) + [2]])
+    at = 0
+    for entry in manifest.orderBy("task").collect():
+        file = f"{path}/{entry.file}"
+        mine = whole[at : at + entry.n_tokens]
+        count = -(-entry.n_tokens // length)
+        for number in range(count):
+            ids, mask = tokenfiles.sequence(system, file, number)
+            want = mine[number * length : (number + 1) * length]
+            assert ids.to_numpy()[: len(want)].tolist() == want.tolist(), (entry.file, number)
+            assert mask.to_pylist() == [True] * len(want) + [False] * (length - len(want))
+        for beyond in (count, count + 1000, -1):
+            with pytest.raises(IndexError):
+                tokenfiles.sequence(system, file, beyond)
+        at += entry.n_tokens
+    assert at == len(whole)
+    # From this machine's own store a sequence is a view of the mapped file.
+    if isinstance(system, pyarrow.fs.LocalFileSystem):
+        before = pa.total_allocated_bytes()
+        views = [tokenfiles.sequence(system, file, n)[0] for n in range(min(count, 50))]
+        assert pa.total_allocated_bytes() - before < 1024 and len(views)
+
+
 def test_token_files_of_odd_rows(spark, odd, empty):
     docs = odd.dropDuplicates()
     rows = sorted(

@@ -26,6 +26,25 @@ LINKS = "<a href=x>" + WORDS * 6 + "</a>"
          ["T", WORDS * 9]),
         (f"<main><div class=x><h2>T</h2><div class=w-1/2>{WORDS * 9}</div></div><div>{LINKS}</div></main>",
          ["T", WORDS * 9]),
+        # Names of layouts are no noise, and an icon that closes itself hides nothing.
+        (f"<div class='layout with-sidebar'><article><p>{WORDS * 9}</p></article><div class=sidebar>x</div></div>",
+         [WORDS * 9]),
+        (f"<div class='page-sidebar-left'><article><p>{WORDS * 9}</p></article></div>", [WORDS * 9]),
+        (f"<div id=search-results class='no-ads hidden-xs'><div class=text><p>{WORDS * 9}</div></div>", [WORDS * 9]),
+        (f"<svg class='i'/><article><math display='x'/><p>{WORDS * 9}</p></article>", [WORDS * 9]),
+        # Noise inside a block is left out, the block is not.
+        (f"<article><p><span class='share'>Share</span> {WORDS * 9}</p></article>", [WORDS * 9]),
+        (f"<article><p>Begin <span hidden>SECRET</span> end. {WORDS * 9}</p></article>",
+         ["Begin end. " + WORDS * 9]),
+        # Comments stay out though they hold articles of their own, also where the text has none.
+        (f"<article><p>{WORDS * 9}</p></article><div class=comments><article>{WORDS * 20}</article></div>",
+         [WORDS * 9]),
+        (f"<div class=post><p>{WORDS * 9}</p></div><div id=comments><article>{WORDS * 3}</article></div>",
+         [WORDS * 9]),
+        (f"<div class=related-posts><article>{WORDS}</article></div><article><p>{WORDS * 9}</p></article>",
+         [WORDS * 9]),
+        (f"<article><p>{WORDS * 9}</p><div class=share-buttons>Tweet</div><div class=ad-box>Buy</div></article>",
+         [WORDS * 9]),
     ],
 )
 def test_whole_article(source, expected):
