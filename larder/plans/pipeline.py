@@ -230,7 +230,7 @@ def chosen_stages(args: argparse.Namespace) -> tuple[str, ...]:
         return ("silver",)
     if args.gold_only:
         return ("gold",)
-    later = LATER_STAGES if args.all else ()
+    later = LATER_STAGES if getattr(args, "all", False) else ()
     return (*(STAGES[2:] if args.skip_bronze else STAGES), *later)
 
 

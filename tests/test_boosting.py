@@ -62,10 +62,11 @@ def test_equals_plain_booster(spark):
     assert sum(share for _, share in booster.importance()) == pytest.approx(1)
 
 
-def test_same_seed_same_predictions_however_rows_are_spread(spark):
+def test_same_seed_same_predictions_however_rows_are_spread(spark, monkeypatch):
     settings = boosting.Settings(rounds=25, depth=3, bins=16)  # stores its state on the way
     results = []
-    for parts in (1, 7):
+    for parts, direct in ((1, 32), (7, 0)):  # sums straight to the driver, and through a shuffle
+        monkeypatch.setattr(boosting, "DIRECT", direct)
         df, _, _ = table(spark, n=600, parts=parts)
         booster = boosting.fit_booster(df, INPUTS, "y", ("id",), settings)
         results.append(predicted(booster, df))
