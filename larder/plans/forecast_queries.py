@@ -9,7 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import round_to
-from larder.operators import boosting, features, metrics, models, segments, smoothing, trend
+from larder.operators import (
+    anomalies,
+    boosting,
+    features,
+    metrics,
+    models,
+    segments,
+    smoothing,
+    trend,
+)
 from larder.plans.registry import CANDIDATES, KINDS, isum, pct, query, r
 from larder.plans.views import accuracy
 from larder.session import fresh_path, stage
@@ -312,8 +321,13 @@ def _seasonal_predictions(days):
 
 
 def _smoothed_series(w):
-    marked = models.mark_test_rows(w.sold)
-    rows = marked.withColumnRenamed("units_sold", "actual")
+    """Forecasts of every calendar day: a day without sales is one without demand, and is
+    measured as one, so that models are not judged on the days that happened to have sales."""
+    first = models.mark_test_rows(w.sold).where("is_test").agg(F.min("ds").alias("first_test"))
+    days = features.fill_gaps(
+        w.sold.select(*features.SERIES, "ds", F.col("units_sold").alias("actual"))
+    )
+    rows = anomalies.attach(days, first).withColumn("is_test", F.col("ds") >= F.col("first_test"))
     return stage(smoothing.forecast_fitted(rows), "smoothed")
 
 
@@ -374,13 +388,13 @@ def _(w):
 @query(
     "smoothing_methods",
     "M16",
-    """SELECT method, COUNT(*) AS rows, CAST(SUM(units_sold) AS DOUBLE) AS actual, TRUE AS all_known
-    FROM split_features f JOIN (
-      SELECT sku, store_id, CASE WHEN COALESCE(MAX(ds) FILTER (WHERE NOT is_test)
-          - MIN(ds) FILTER (WHERE NOT is_test) + 1, 0) >= 14 THEN 'holt_winters' ELSE 'mean' END AS method
-      FROM split_features GROUP BY sku, store_id) m
-    ON f.sku = m.sku AND f.store_id = m.store_id
-    WHERE is_test GROUP BY method""",
+    """SELECT CASE WHEN cut - first >= 14 THEN 'holt_winters' ELSE 'mean' END AS method,
+      CAST(SUM(last - GREATEST(first, cut) + 1) AS BIGINT) AS rows, CAST(SUM(units) AS DOUBLE) AS actual,
+      TRUE AS all_known
+    FROM (SELECT sku, store_id, MIN(ds) AS first, MAX(ds) AS last,
+        SUM(units_sold) FILTER (WHERE is_test) AS units FROM split_features GROUP BY sku, store_id),
+      (SELECT MIN(ds) AS cut FROM split_features WHERE is_test)
+    WHERE last >= cut GROUP BY 1""",
 )
 def _(w):
     # Which series are long enough to be fitted; their forecasts are beyond SQL.
