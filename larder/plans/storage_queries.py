@@ -377,7 +377,7 @@ def _(w):
     added = part.where(NEW).withColumn("p_partkey", F.col("p_partkey") + 1_000_000_000)
     versions = []
     for label, df in (("old", part), ("new", newer.union(added))):
-        version = reconcile.CheckedTable(w.spark, fresh_path(w.spark, label), ["p_partkey"])
+        version = reconcile.CheckedTable(w.spark, fresh_path(w.spark, label), ["p_partkey"], buckets=64)
         version.write(df)
         versions.append(version)
     found = reconcile.row_differences(*versions)
