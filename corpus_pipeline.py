@@ -35,7 +35,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One row per group of near copies; the smallest id stays.
 
     Near copies have a Jaccard similarity of 0.8 or more over distinct runs of five words.
-    Pairs are proposed by bands of MinHashes and decided by comparing the sets.
+    Texts are grouped by SimHash fingerprints at most 4 bits apart, of 64, and decided inside a
+    group by comparing the sets; pairs at 0.8 that lie further apart are proposed by MinHashes.
     """
     return simhash.drop_near_copies(docs)
 

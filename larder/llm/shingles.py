@@ -1,8 +1,8 @@
-"""Pairs of texts that share most of their runs of words: MinHash bands, then exact sets."""
+"""Pairs of texts that share most of their runs of words: candidate buckets, then exact sets."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -15,6 +15,8 @@ from larder.llm.buckets import block_pairs, map_cells
 from larder.llm.components import smallest_links
 
 SEED = 42
+# The band of buckets that are groups of near fingerprints.
+NEAR = -1
 # Texts whose sets are compared in one task at a time: two blocks.
 BLOCK = 512
 STRIP = 1 << 14
@@ -58,29 +60,33 @@ def band_values(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return values
 
 
-def with_bands(texts: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """``texts`` (narrow columns, the text last) with ``digest`` (of the set of runs) and
-    ``bands`` instead of the text."""
+def with_bands(
+    texts: DataFrame, shingle: int, bands: int, rows: int, mark: Callable[[np.ndarray], int]
+) -> DataFrame:
+    """``texts`` (narrow columns, the text last) with ``digest`` (of the set of runs), ``fp0``
+    (``mark`` of the set, 64 bits) and ``bands`` instead of the text."""
     kept = texts.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, values = [], []
+            digests, marks, values = [], [], []
             for text in batch.column(len(kept)):
                 hashes = shingle_set(text.as_py(), shingle)
                 digests.append(blake2b(hashes.tobytes(), digest_size=16).digest())
+                marks.append(mark(hashes))
                 values.append(band_values(hashes, bands, rows).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[: len(kept)],
                     pa.array(digests, pa.binary()),
+                    pa.array(np.array(marks, np.uint64).view(np.int64)),
                     pa.array(values, pa.list_(pa.int64())),
                 ],
-                names=[*kept, "digest", "bands"],
+                names=[*kept, "digest", "fp0", "bands"],
             )
 
     kinds = [f"`{name}` {kind}" for name, kind in texts.dtypes[:-1]]
-    return texts.mapInArrow(run, ", ".join([*kinds, "digest binary", "bands array<bigint>"]))
+    return texts.mapInArrow(run, ", ".join([*kinds, "digest binary", "fp0 bigint", "bands array<bigint>"]))
 
 
 def with_sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -99,18 +105,27 @@ def with_sets(texts: DataFrame, shingle: int) -> DataFrame:
 def bucket_members(nodes: DataFrame) -> DataFrame:
     """(bucket, node) of all buckets of two or more nodes.
 
-    ``nodes`` has node and bands. Near copies meet in many bands; buckets with the same
-    members (by number, smallest node and two checksums) are kept once.
+    ``nodes`` has node, near (its group of near fingerprints) and bands. A group is a bucket;
+    buckets of a band inside one group hold no further pair and are left out. Near copies meet
+    in many bands; buckets with the same members (by number, smallest node and two checksums)
+    are kept once.
     """
-    members = nodes.select("node", F.posexplode("bands").alias("band", "value"))
+    members = nodes.select("node", "near", F.posexplode("bands").alias("band", "value")).union(
+        nodes.select("node", "near", F.lit(NEAR), "near")
+    )
     sums = [
         F.sum(F.xxhash64("node", F.lit(seed)).cast("decimal(38,0)")).alias(f"sum{seed}")
         for seed in (1, 2)
     ]
     shared = (
         members.groupBy("band", "value")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), *sums)
-        .where(F.col("n") > 1)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("node").alias("low"),
+            (F.min("near") < F.max("near")).alias("mixed"),
+            *sums,
+        )
+        .where((F.col("n") > 1) & (F.col("mixed") | (F.col("band") == NEAR)))
     )
     once = shared.groupBy("n", "low", "sum1", "sum2").agg(F.min(F.struct("band", "value")).alias("bucket"))
     return members.join(once.select("bucket.*"), ["band", "value"]).select(

@@ -74,6 +74,19 @@ def fingerprint(
     return marks.view("<u8").ravel().tolist()
 
 
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """SimHash of a set of hashed runs, 64 bits, unsigned; 0 of an empty set.
+
+    A run counts once, however often a text repeats it: a bit is set if it is set in more than
+    half of the hashes.
+    """
+    counts = np.zeros(BITS, np.int64)
+    for low in range(0, len(hashes), CHUNK):
+        raw = hashes[low : low + CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def lane_names(lanes: int) -> list[str]:
     return [f"fp{i}" for i in range(lanes)]
 
@@ -357,30 +370,40 @@ def drop_near_copies(
     similarity: float = 0.8,
     bands: int = 14,
     rows: int = 4,
+    distance: int = DISTANCE,
 ) -> DataFrame:
     """The rows of ``docs`` that stay: exactly one per group of near copies, that with the
     smallest id (NULL last), all columns unchanged.
 
     Near copies share ``similarity`` or more of their distinct runs of ``shingle`` words
-    (Jaccard), directly or over others. Links are decided by comparing the sets of runs, so
-    no text under the threshold is linked. Fingerprints count repeated runs and depend on
-    lengths, so pairs to compare come from MinHash: they agree in one of ``bands`` bands of
-    ``rows`` MinHashes, which a direct pair at 0.8 misses with probability 0.0006. Texts
-    without words are copies of each other; repeated rows are reduced to one.
+    (Jaccard), directly or over others. Texts are grouped by SimHash: fingerprints of their
+    sets of runs that differ in ``distance`` or fewer bits, directly or over others, which the
+    search of ``near_duplicates`` finds without a miss. Inside a group the sets are compared,
+    so no text under the threshold is linked. Similar sets can differ in more bits (about ten
+    of 64 at 0.8): for pairs of different groups, texts are also compared that agree in one of
+    ``bands`` bands of ``rows`` MinHashes, which a direct pair at 0.8 misses with probability
+    0.0006. Texts without words are copies of each other; repeated rows are reduced to one.
     """
     table = keyed(docs)
     texts = table.select(
         F.col(f"row.{id_col}").alias("id"), "row_key", F.col(f"row.{text_col}").alias("text")
     )
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "row_key").alias("rank")
-    marks = with_bands(texts, shingle, bands, rows).select("digest", "bands", rank)
+    marks = with_bands(texts, shingle, bands, rows, set_fingerprint)
     nodes = stage(  # texts of equal sets are one node
-        marks.groupBy("digest")
-        .agg(F.min("rank").alias("first"), F.any_value("bands").alias("bands"))
-        .select("first", "bands", F.monotonically_increasing_id().alias("node")),
+        marks.select("digest", "fp0", "bands", rank)
+        .groupBy("digest")
+        .agg(
+            F.min("rank").alias("first"),
+            F.any_value("fp0").alias("fp0"),
+            F.any_value("bands").alias("bands"),
+        )
+        .select("first", "fp0", "bands", F.monotonically_increasing_id().alias("node")),
         "shingled",
     )
-    cells = stage(cells_of(nodes.select("node", "bands")), "cells")
+    near = groups(nodes.select("fp0", F.col("node").alias("rank")), distance, distance)
+    grouped = nodes.join(near, "fp0").select("node", F.col("component_first").alias("near"), "bands")
+    cells = stage(cells_of(grouped), "cells")
     met = nodes.join(cells.select("node").distinct(), "node", "left_semi")
     sets = with_sets(
         texts.join(met.select("node", F.col("first.row_key").alias("row_key")), "row_key"), shingle

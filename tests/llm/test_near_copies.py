@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from xxhash import xxh64_intdigest
 
 from larder.llm import shingles, simhash
 from tests.llm.test_neighbours import brute_components
@@ -74,3 +75,36 @@ def test_bands_meet_as_often_as_the_model_says():
         a, b = (shingles.band_values(x, 14, 4) for x in (words[:320], words[40:]))
         met.append((a == b).mean())  # similarity 280 / 360
     assert abs(np.mean(met) - (280 / 360) ** 4) < 0.03
+
+
+def set_bits(text):
+    """SimHash over distinct runs of five words, bit by bit."""
+    words = text.lower().split()
+    runs = {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    hashes = [xxh64_intdigest(r.encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_alone_group_near_copies(spark):
+    """With bands that nearly nothing shares, pairs of near fingerprints are still found."""
+    rng = np.random.default_rng(9)
+    texts = {}
+    for g in range(60):
+        base = [f"w{x}" for x in rng.integers(0, 10**9, 300)]
+        texts[2 * g] = " ".join(base)
+        texts[2 * g + 1] = " ".join(copies(rng, base, 0.97 if g % 2 else 0.85))
+    marks = {i: set_bits(t) for i, t in texts.items()}
+    near = [(a, b) for a, b in near_pairs(texts) if (marks[a] ^ marks[b]).bit_count() <= 4]
+    assert 15 < len(near) < 60
+    expected = set(brute_components(list(texts), near).values())
+    docs = spark.createDataFrame(sorted(texts.items()), "doc_id bigint, text string")
+    kept = {r.doc_id for r in simhash.drop_near_copies(docs, bands=1, rows=600).collect()}
+    assert kept == expected
+
+
+def test_set_fingerprint_counts_a_run_once():
+    rng = np.random.default_rng(3)
+    words = [f"w{x}" for x in rng.integers(0, 10**9, 50)]
+    for text in (" ".join(words), " ".join(words + words[:20] * 30), "one word", "x"):
+        assert simhash.set_fingerprint(shingles.shingle_set(text, 5)) == set_bits(text)
+    assert simhash.set_fingerprint(np.zeros(0, np.uint64)) == 0
