@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from larder.operators import (
 )
 from larder.plans.registry import CANDIDATES, KINDS, isum, pct, query, r
 from larder.plans.views import accuracy
-from larder.session import fresh_path, stage
+from larder.session import fresh_path, side_by_side, stage
 
 PROFILE = ("mean_demand", "std_demand", "cv", "nonzero_pct", "cumulative_pct")
 
@@ -526,28 +526,47 @@ TRAINED_KINDS = {
 
 
 def _trained_predictions(w):
-    """Predictions of every trained model for the days of the test period."""
+    """Predictions of every trained model for the days of the test period.
+
+    The fits do not need each other and are made side by side: a boosted tree is a short job
+    per level, so one fit leaves most of the cluster idle.
+    """
     rows = _split(w)
-    parts = []
-    for name, settings in (
-        ("boosted_trees", models.PLAIN_TREES),
-        ("sampled_boosted_trees", models.SAMPLED_TREES),
-    ):
-        fitted = models.tree_pipeline(**settings).fit(rows.where("NOT is_test"))
-        scored = models.score(fitted, rows.where("is_test"), name, clip=True)
-        parts.append(_as_predictions(scored, name).select("model", "ds", "sku", "actual", "pred"))
-    booster = boosting.fit_booster(rows.where("NOT is_test"))
-    scored = boosting.score(booster, rows.where("is_test"), "histogram_boosting", clip=True)
-    parts.append(
-        _as_predictions(scored, "histogram_boosting").select("model", "ds", "sku", "actual", "pred")
-    )
+    train, test = rows.where("NOT is_test"), rows.where("is_test")
     days = _days(w)
-    bent = trend.predict_trend(trend.fit_trend(days.where("NOT is_test")), days.where("is_test"))
-    for name, totals in (("seasonal_regression", _seasonal_predictions(days)), ("trend_regression", bent)):
-        parts.append(totals.select(F.lit(name).alias("model"), "ds", F.lit(None).alias("sku"), "actual", "pred"))
-    series = _smoothed_series(w).withColumn("model", F.lit("series_smoothing"))
-    parts.append(series.select("model", "ds", "sku", "actual", "pred"))
-    return stage(reduce(DataFrame.union, parts), "predictions")
+    columns = ("model", "ds", "sku", "actual", "pred")
+
+    def trees(name, settings):
+        fitted = models.tree_pipeline(**settings).fit(train)
+        return _as_predictions(models.score(fitted, test, name, clip=True), name).select(*columns)
+
+    def histogram():
+        name = "histogram_boosting"
+        scored = boosting.score(boosting.fit_booster(train), test, name, clip=True)
+        return _as_predictions(scored, name).select(*columns)
+
+    def total(name, predicted):
+        return predicted.select(F.lit(name).alias("model"), "ds", F.lit(None).alias("sku"), "actual", "pred")
+
+    def seasonal():
+        return total("seasonal_regression", _seasonal_predictions(days))
+
+    def bent():
+        fitted = trend.fit_trend(days.where("NOT is_test"))
+        return total("trend_regression", trend.predict_trend(fitted, days.where("is_test")))
+
+    def smoothed():
+        return _smoothed_series(w).withColumn("model", F.lit("series_smoothing")).select(*columns)
+
+    fits = [
+        partial(trees, "boosted_trees", models.PLAIN_TREES),
+        partial(trees, "sampled_boosted_trees", models.SAMPLED_TREES),
+        histogram,
+        seasonal,
+        bent,
+        smoothed,
+    ]
+    return stage(reduce(DataFrame.union, side_by_side(w.spark, fits)), "predictions")
 
 
 @query("trained_comparison", "M13 M14 M16 M17 M20 M21 M22")

@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -77,6 +83,16 @@ def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], Result]]) -> list[Result]:
+    """The results of independent pieces of work, in order, each from a thread of its own.
+
+    For work whose jobs are many and short or end in a few late tasks: Spark gives the cores
+    that one piece leaves idle to the others. All pieces end before an error of one is raised.
+    """
+    with ThreadPoolExecutor(max(1, len(tasks))) as pool:
+        return list(pool.map(lambda task: task(), [inheritable_thread_target(spark)(t) for t in tasks]))
+
+
 def clear_stages(spark: SparkSession) -> None:
     """Remove everything ``stage`` and ``fresh_path`` stored for queries of this session.
 

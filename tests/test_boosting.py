@@ -1,9 +1,12 @@
 """Histogram boosting against a plain booster in memory."""
 
+import threading
+
 import numpy as np
 import pytest
 
-from larder.operators import boosting
+from larder.operators import boosting, models
+from larder.plans import forecast_queries
 
 INPUTS = ("a", "b", "c")
 SETTINGS = boosting.Settings(rounds=6, depth=3, bins=16, rows=1.0, columns=1.0, rate=0.3)
@@ -103,3 +106,21 @@ def test_degenerate_tables(spark):
     assert set(predicted(booster, flat).values()) == {3.0}
     one = spark.createDataFrame([(0, 1.0, 2.0, 3.0, 7.0)], schema)
     assert predicted(boosting.fit_booster(one, INPUTS, "y", ("id",), SETTINGS), one) == {0: 7.0}
+
+
+def test_trained_models_are_fitted_side_by_side(workspace, monkeypatch):
+    meet = threading.Barrier(3)  # broken, if a fit waits for another one to end
+    pipeline, fit = models.tree_pipeline, boosting.fit_booster
+
+    def small_pipeline(**settings):
+        meet.wait(100)
+        return pipeline(**{**settings, "maxIter": 2, "maxDepth": 2})
+
+    def small_fit(rows):
+        meet.wait(100)
+        return fit(rows, settings=boosting.Settings(rounds=2, depth=2))
+
+    monkeypatch.setattr(models, "tree_pipeline", small_pipeline)
+    monkeypatch.setattr(boosting, "fit_booster", small_fit)
+    found = forecast_queries._trained_predictions(workspace)
+    assert {r.model for r in found.select("model").distinct().collect()} == set(forecast_queries.TRAINED_KINDS)
