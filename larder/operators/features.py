@@ -91,17 +91,19 @@ def add_calendar_features(df: DataFrame, time: str = "ds") -> DataFrame:
     return df.select("*", *calendar_feature_columns(time))
 
 
-def add_cross_totals(df: DataFrame, target: str = TARGET, time: str = "ds") -> DataFrame:
+def add_cross_totals(
+    df: DataFrame, target: str = TARGET, time: str = "ds", among: DataFrame | None = None
+) -> DataFrame:
     """Units per (sku, day) over all stores and per (store, day) over all products.
 
     Totals are summed before they are shuffled and joined back, so a day of a store that
     sells every product is no task of its own: adaptive execution broadcasts the totals or
-    splits the join.
+    splits the join. They are summed over ``among``, the frame itself if not given.
     """
     totals = df
     for key in ("sku", "store_id"):
         name = f"{'sku' if key == 'sku' else 'store'}_total_qty"
-        sums = df.groupBy(key, time).agg(F.sum(target).alias(name))
+        sums = (df if among is None else among).groupBy(key, time).agg(F.sum(target).alias(name))
         totals = totals.join(sums, [key, time])
     return totals.select(*df.columns, "sku_total_qty", "store_total_qty")
 
@@ -109,18 +111,23 @@ def add_cross_totals(df: DataFrame, target: str = TARGET, time: str = "ds") -> D
 def demand_features(daily: DataFrame, min_lag: int = HORIZONS[0]) -> DataFrame:
     """The full feature table from a daily-grain frame.
 
-    The cross totals come first: their two shuffles then carry only the base
-    columns, and the widest rows are created after the last shuffle. Lags and
-    trailing windows share one exchange and one sort.
+    Lags and trailing windows share one sort, and come first: a frame that is spread by series
+    is not moved for them, and only rows with enough history go on to the cross totals.
     """
-    totals = add_cross_totals(daily)
-    history = totals.select(
+    known = daily.na.drop(subset=[*SERIES, "ds"])  # other rows only count in totals
+    history = known.select(
         "*",
         *lag_columns(SERIES, TARGET, HORIZONS),
         *rolling_columns(SERIES, TARGET, HORIZONS),
     )
-    return history.where(F.col(f"{TARGET}_lag_{min_lag}").isNotNull()).select(
-        "*", *calendar_feature_columns()
+    rows = history.where(F.col(f"{TARGET}_lag_{min_lag}").isNotNull())
+    looked_back = [c for c in history.columns if c not in daily.columns]
+    return add_cross_totals(rows, among=daily).select(
+        *daily.columns,
+        "sku_total_qty",
+        "store_total_qty",
+        *looked_back,
+        *calendar_feature_columns(),
     )
 
 

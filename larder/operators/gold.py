@@ -50,9 +50,20 @@ def product_performance(
     """One row per staged product with lifetime sales and stock health.
 
     Both summaries are at product grain before the joins, so a hot product costs
-    one row per join side.
+    one row per join side. Monthly rows, one per store and month of a product, are moved once
+    and as they are: sums per product and store would be as many, and wider.
     """
-    sold = monthly.groupBy("sku").agg(
+    rows = monthly.select(
+        "sku",
+        "store_id",
+        "month_start",
+        "total_units",
+        "total_revenue",
+        "stockout_days",
+        "total_days",
+        "fill_rate",
+    ).repartition("sku")
+    sold = rows.groupBy("sku").agg(
         F.sum("total_units").alias("lifetime_units"),
         exact_sum("total_revenue").alias("lifetime_revenue"),
         F.sum("stockout_days").alias("stockout_days"),

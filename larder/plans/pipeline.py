@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Iterable, Mapping
+from functools import partial
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,12 +32,18 @@ from larder.operators import (
 )
 from larder.plans.ledger import Ledger, Stage
 from larder.schemas import RAW_TABLES
-from larder.session import clear_stages, stage
+from larder.session import clear_stages, side_by_side, stage
 from larder.sources.layers import Layer, ingest, write_csv, write_json
 
 STAGES = ("bronze", "check", "silver", "gold", "features", "anomalies")
 # What follows on the anomaly table: files of the report, scored rows, and drift.
 LATER_STAGES = ("reports", "predictions", "drift")
+# Sales of a task that groups them by product and store.
+TASK_ROWS = 1_000_000
+# What the staged sales hold of a sale; the rest of their columns follows from these.
+SALES_COLUMNS = (
+    "date", "store_id", "sku", "units_sold", "demand", "revenue", "is_promo", "stockout_flag"
+)
 REPORTS = ("anomalies_flagged", "anomalies_summary", "anomalies_by_date")
 
 
@@ -56,14 +64,23 @@ class Pipeline:
         self.raw = Layer(spark, raw) if raw else None
         self.layers = {name: Layer(spark, f"{root}/{name}") for name in ("bronze", "silver", "gold")}
         self.written: dict[str, int | None] = {}
+        self._by_series: DataFrame | None = None
 
     @property
     def bronze_layer(self) -> Layer:
         return self.layers["bronze"]
 
     def _save(self, layer: str, table: str, df: DataFrame) -> None:
-        stamped = df.withColumn("_loaded_at", F.current_timestamp())
-        self.written[f"{layer}.{table}"] = self.layers[layer].write(table, stamped)
+        self._save_all(layer, {table: df})
+
+    def _save_all(self, layer: str, frames: Mapping[str, DataFrame]) -> None:
+        """Write tables that do not need each other side by side."""
+        writes = [
+            partial(self.layers[layer].write, table, df.withColumn("_loaded_at", F.current_timestamp()))
+            for table, df in frames.items()
+        ]
+        counts = side_by_side(self.spark, writes)
+        self.written.update({f"{layer}.{table}": n for table, n in zip(frames, counts)})
 
     def load(self, frames: Mapping[str, DataFrame]) -> None:
         """Bronze from frames instead of raw files."""
@@ -99,15 +116,46 @@ class Pipeline:
             "sales": staging.stage_sales,
             "inventory": staging.stage_inventory,
         }
-        for table, step in steps.items():
-            if self.bronze_layer.exists(table):
-                self._save("silver", f"stg_{table}", step(self.bronze_layer.read(table)))
+        self.release()
+        staged = {
+            f"stg_{table}": step(self.bronze_layer.read(table))
+            for table, step in steps.items()
+            if self.bronze_layer.exists(table)
+        }
+        self._save_all("silver", staged)
+
+    def sales_by_series(self) -> DataFrame:
+        """Staged sales with all rows of a product in a store in one task, kept on disk.
+
+        Most groups of the gold tables and features hold few rows, so sums taken before a
+        shuffle are as many as the rows and wider. Rows are moved once, for all tables that are
+        grouped by product and store among others.
+        """
+        if self._by_series is None:
+            sales = self.layers["silver"].read("stg_sales").select(*SALES_COLUMNS)
+            # Counted from file footers; beyond the session's partitions, a task has a bounded share.
+            tasks = sales.count() // TASK_ROWS
+            enough = tasks <= int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            spread = sales.repartition(*([] if enough else [tasks]), *features.SERIES)
+            self._by_series = spread.persist(StorageLevel.DISK_ONLY)
+        return self._by_series
+
+    def release(self) -> None:
+        """Drop the sales kept by ``sales_by_series``."""
+        if self._by_series is not None:
+            self._by_series.unpersist()
+            self._by_series = None
 
     def gold(self) -> None:
         silver, target = self.layers["silver"], self.layers["gold"]
-        sales = silver.read("stg_sales")
-        self._save("gold", "fct_weekly_sales", gold.weekly_sales(sales))
-        self._save("gold", "fct_monthly_sales", gold.monthly_sales(sales))
+        sales = staging.stage_sales(self.sales_by_series())
+        self._save_all(
+            "gold",
+            {
+                "fct_weekly_sales": gold.weekly_sales(sales),
+                "fct_monthly_sales": gold.monthly_sales(sales),
+            },
+        )
         self._save(
             "gold",
             "dim_product_performance",
@@ -119,7 +167,7 @@ class Pipeline:
         )
 
     def features(self) -> None:
-        daily = features.daily_grain(self.layers["silver"].read("stg_sales"))
+        daily = features.daily_grain(self.sales_by_series())
         self._save("gold", "demand_features", features.demand_features(daily))
 
     def anomalies(self) -> None:
@@ -194,13 +242,19 @@ class Pipeline:
 
     def run(self, stages: Iterable[str] = STAGES) -> dict[str, int | None]:
         """Run stages in order; the first failure ends the run."""
-        for name in stages:
-            self._work(name)()
+        try:
+            for name in stages:
+                self._work(name)()
+        finally:
+            self.release()
         return self.written
 
     def resume(self, stages: Iterable[str] = STAGES) -> dict[str, str]:
         """Run stages by the ledger: what is done and unchanged is skipped, a failed run goes on."""
-        return self.ledger.run(self.plan(stages))
+        try:
+            return self.ledger.run(self.plan(stages))
+        finally:
+            self.release()
 
     @property
     def ledger(self) -> Ledger:

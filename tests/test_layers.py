@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder import schemas
-from larder.operators import gold, staging
+from larder.operators import features, gold, staging
 from larder.plans.pipeline import Pipeline, chosen_stages
 from larder.session import fresh_path, shared_dir
 from larder.sources import layers
@@ -164,3 +164,37 @@ def test_no_stored_file_is_left_after_a_query(spark):
         assert not folder.exists()
     finally:
         spark.sparkContext.setCheckpointDir(before)
+
+
+def test_sales_are_moved_once_for_gold_and_features(spark, lake, raw):
+    run = Pipeline(spark, lake, raw)
+    run.run(("bronze", "silver"))
+    sales = staging.stage_sales(run.sales_by_series())
+    try:
+        for df in (gold.weekly_sales(sales), gold.monthly_sales(sales), features.daily_grain(sales)):
+            df.collect()  # the plan that ran, down to the kept sales
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            ran = plan.split("== Initial Plan ==")[0].split("InMemoryRelation")
+            assert len(ran) > 1 and "Exchange" not in ran[0]
+        stored = run.layers["silver"].read("stg_sales")
+        assert gold.weekly_sales(sales).exceptAll(gold.weekly_sales(stored)).isEmpty()
+        assert gold.monthly_sales(sales).exceptAll(gold.monthly_sales(stored)).isEmpty()
+    finally:
+        run.release()
+    assert run._by_series is None
+
+
+def test_rows_without_a_key_are_no_history(spark):
+    start = dt.date(2024, 1, 1)
+    rows = [("a", 1, start + dt.timedelta(d), d, d, 1.0, False, False) for d in range(10)]
+    rows += [("a", 1, None, 99, 99, 1.0, False, False), (None, 1, start, 5, 5, 1.0, False, False)]
+    rows += [("a", None, start + dt.timedelta(7), 30, 30, 1.0, False, False)]
+    daily = spark.createDataFrame(
+        rows,
+        "sku string, store_id int, ds date, units_sold bigint, demand bigint, revenue double,"
+        " is_promo boolean, stockout_flag boolean",
+    )
+    got = {r.ds.day: r for r in features.demand_features(daily).collect()}
+    assert sorted(got) == [8, 9, 10]
+    assert [got[d].units_sold_lag_7 for d in (8, 9, 10)] == [0, 1, 2]
+    assert (got[8].sku_total_qty, got[8].store_total_qty) == (37, 7)
