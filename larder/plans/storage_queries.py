@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from larder.plans.drift_queries import CUTOFF, SHARE
 from larder.plans.pipeline import Pipeline, write_reports
 from larder.plans.registry import isum, msum, query, r
 from larder.schemas import RAW_TABLES
-from larder.session import fresh_path, stage
+from larder.session import fresh_path, side_by_side, stage
 from larder.sources import layers, reconcile
 
 ORDERS = (
@@ -206,8 +207,7 @@ def _raw_folder(w) -> str:
         "shipments": w.shipments(),
         "supplier_product_map": w.supplier_product_map(),
     }
-    for name, df in tables.items():
-        raw.write(name, df)
+    side_by_side(w.spark, [partial(raw.write, name, df) for name, df in tables.items()])
     return raw.root
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,3 +199,17 @@ def test_rows_without_a_key_are_no_history(spark):
     assert sorted(got) == [8, 9, 10]
     assert [got[d].units_sold_lag_7 for d in (8, 9, 10)] == [0, 1, 2]
     assert (got[8].sku_total_qty, got[8].store_total_qty) == (37, 7)
+
+
+def test_raw_tables_are_loaded_side_by_side(spark, lake, raw, monkeypatch):
+    meet = threading.Barrier(4)  # broken, if a table waits for another one to be written
+    write = layers.Layer.write
+
+    def met(self, *args):
+        meet.wait(60)
+        return write(self, *args)
+
+    monkeypatch.setattr(layers.Layer, "write", met)
+    counts = layers.ingest(layers.Layer(spark, raw), layers.Layer(spark, lake))
+    assert list(counts) == list(schemas.RAW_TABLES)
+    assert (counts["sales"], counts["products"], counts["carriers"]) == (360, 3, None)
