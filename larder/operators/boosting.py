@@ -2,32 +2,36 @@
 
 Rows are binned once and packed in blocks; a level of a tree is one Spark aggregate of
 gradient and Hessian sums per node, input and bin, and splits are chosen from those sums.
-Sums are taken in whole numbers, so a fit does not depend on how rows are spread.
+Sums are taken in whole numbers, so a fit does not depend on how rows are spread, and of two
+children only the smaller one is summed: the other one is what the parent has beyond it.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark import RDD, StorageLevel
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from larder.operators.models import INPUTS, TARGET, error_columns, non_negative
-from larder.session import stage
+from larder.session import fresh_path, stage
 
 # Rows of a block; a block is the unit that tasks read and keep.
 BLOCK = 1 << 16
-# Trees after which the running predictions are written, so that plans stay short.
+# Trees after which the running predictions are written, so that lineages stay short.
 STORE_EVERY = 20
 # Tasks up to which a level's sums go to the driver as they are.
 DIRECT = 32
-SLOTS = T.StructType([T.StructField(name, T.LongType()) for name in ("slot", "g", "h")])
+# A block of rows: ids, bins (a row per input), targets, running predictions.
+Block = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+# Sums of gradients and Hessians where there are rows: slots, gradients, Hessians.
+Sums = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 @dataclass(frozen=True)
@@ -59,15 +63,16 @@ class Tree:
     value: np.ndarray
 
     def leaves(self, bins: np.ndarray, levels: int) -> np.ndarray:
-        """The node that each row stands in after ``levels`` splits."""
-        at = np.zeros(len(bins), np.int64)
-        rows = np.arange(len(bins))
+        """The node that each row stands in after ``levels`` splits; ``bins`` by input and row."""
+        count = bins.shape[1]
+        at = np.zeros(count, np.int64)
+        rows, flat = np.arange(count), bins.reshape(-1)
         for _ in range(levels):
             feature = self.feature[at]
             goes = feature >= 0
             if not goes.any():
                 break
-            right = bins[rows, np.maximum(feature, 0)] > self.cut[at]
+            right = flat[np.maximum(feature, 0) * count + rows] > self.cut[at]
             at = np.where(goes, 2 * at + 1 + right, at)
         return at
 
@@ -83,10 +88,10 @@ class Booster:
     jobs: list[int] = field(default_factory=list)  # Spark jobs of each tree
 
     def binned(self, columns: Sequence[np.ndarray]) -> np.ndarray:
-        """Bin numbers; a value belongs to the first bin whose edge is not below it."""
+        """Bin numbers by input and row; a value belongs to the first bin whose edge is not below it."""
         return np.stack(
-            [np.searchsorted(e, c, side="left") for e, c in zip(self.edges, columns)], axis=1
-        ).astype(np.uint8)
+            [np.searchsorted(e, c, side="left").astype(np.uint8) for e, c in zip(self.edges, columns)]
+        )
 
     def add_up(self, bins: np.ndarray, start: np.ndarray, first: int = 0) -> np.ndarray:
         total = start.copy()
@@ -113,7 +118,7 @@ def bin_edges(rows: DataFrame, inputs: Sequence[str], settings: Settings) -> lis
 
 
 def packed(rows: DataFrame, booster: Booster, target: str, keys: Sequence[str]) -> DataFrame:
-    """(n, ids, bins, target, pred): blocks of rows as binary columns.
+    """(n, ids, bins, target): blocks of rows as binary columns.
 
     ``ids`` are hashes of the key columns; which rows a tree sees follows from them.
     """
@@ -129,10 +134,10 @@ def packed(rows: DataFrame, booster: Booster, target: str, keys: Sequence[str])
             table = pa.Table.from_batches(held)
             x = [table.column(f"x{i}").to_numpy() for i in range(len(booster.inputs))]
             y = table.column("y").to_numpy()
-            parts = [table.column("id").to_numpy(), booster.binned(x), y, np.full(len(y), booster.base)]
+            parts = [table.column("id").to_numpy(), booster.binned(x), y]
             return pa.RecordBatch.from_arrays(
                 [pa.array([len(y)]), *(pa.array([p.tobytes()], pa.binary()) for p in parts)],
-                names=["n", "ids", "bins", "target", "pred"],
+                names=["n", "ids", "bins", "target"],
             )
 
         for batch in batches:
@@ -145,16 +150,17 @@ def packed(rows: DataFrame, booster: Booster, target: str, keys: Sequence[str])
         if held:
             yield out()
 
-    return plain.mapInArrow(pack, "n bigint, ids binary, bins binary, target binary, pred binary")
+    return plain.mapInArrow(pack, "n bigint, ids binary, bins binary, target binary")
 
 
-def _block(row: dict, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return (
-        np.frombuffer(row["ids"], np.int64),
-        np.frombuffer(row["bins"], np.uint8).reshape(-1, width),
-        np.frombuffer(row["target"]),
-        np.frombuffer(row["pred"]),
-    )
+def blocks(stored: DataFrame, base: float) -> RDD[Block]:
+    """Packed rows as arrays, each row predicted as ``base``."""
+
+    def block(row: Row) -> Block:
+        bins = np.frombuffer(row.bins, np.uint8).reshape(-1, row.n)
+        return np.frombuffer(row.ids, np.int64), bins, np.frombuffer(row.target), np.full(row.n, base)
+
+    return stored.rdd.map(block)
 
 
 def drawn(ids: np.ndarray, tree: int, share: float, seed: int) -> np.ndarray:
@@ -167,55 +173,98 @@ def drawn(ids: np.ndarray, tree: int, share: float, seed: int) -> np.ndarray:
     return (x >> np.uint64(11)) < np.uint64(share * (1 << 53))
 
 
+def _added(a: Sums, b: Sums) -> Sums:
+    """Both sums, slot by slot."""
+    slots, place = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+    gradient, hessian = np.zeros(len(slots), np.int64), np.zeros(len(slots), np.int64)
+    for total, parts in ((gradient, (a[1], b[1])), (hessian, (a[2], b[2]))):
+        np.add.at(total, place, np.concatenate(parts))
+    return slots, gradient, hessian
+
+
+def _keep_modules() -> None:
+    """Leave a worker's modules out of its collections of garbage.
+
+    A worker collects after every task, before it takes another one; looking through the loaded
+    modules takes longer than a task that sums a few blocks.
+    """
+    if not gc.get_freeze_count():
+        gc.freeze()
+
+
 def histograms(
-    state: DataFrame, booster: Booster, tree: Tree, number: int, level: int, columns: np.ndarray,
-    scale: float, settings: Settings, tasks: int,
+    state: RDD[Block], booster: Booster, tree: Tree, number: int, level: int, columns: np.ndarray,
+    wanted: np.ndarray, scale: float, settings: Settings, tasks: int,
 ) -> tuple[np.ndarray, np.ndarray]:
     """(gradients, Hessians) by (node of the level, column, bin): one aggregate, one job.
 
-    Sums of more than ``DIRECT`` tasks are added up in Spark before they come to the driver.
+    Only nodes ``wanted`` are summed. Sums of more than ``DIRECT`` tasks are added up in Spark
+    before they come to the driver.
     """
-    width, bins, nodes = len(booster.inputs), settings.bins, 1 << level
+    bins, nodes = settings.bins, 1 << level
+    grid = len(columns) * bins
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gradient = np.zeros(nodes * len(columns) * bins, np.int64)
+    def sums(parts: Iterable[Block]) -> Iterator[Sums]:
+        _keep_modules()
+        gradient = np.zeros((len(columns), nodes * bins), np.int64)
         hessian = np.zeros_like(gradient)
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids, binned, target, pred = _block(row, width)
-                seen = drawn(ids, number, settings.rows, settings.seed)
-                binned = binned[seen]
-                at = tree.leaves(binned, level) - (nodes - 1)
-                here = at >= 0  # rows in a leaf of an earlier level take no part
-                # First and second derivative of half the squared error; the first in two parts
-                # whose sums over a block are exact.
-                g = np.rint((pred[seen] - target[seen])[here] * scale)
-                high = np.floor(g * 2.0**-24)
-                low = g - high * 2.0**24
-                at, binned = (at[here] * (len(columns) * bins))[:, None], binned[here]
-                slot = at + (np.arange(len(columns)) * bins + binned[:, columns])
-                for i in range(len(columns)):
-                    mine = slot[:, i]
-                    hessian += np.bincount(mine, minlength=len(hessian))
-                    gradient += np.bincount(mine, low, len(gradient)).astype(np.int64)
-                    gradient += np.bincount(mine, high, len(gradient)).astype(np.int64) << 24
-        used = np.flatnonzero(hessian)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array(gradient[used]), pa.array(hessian[used])], names=["slot", "g", "h"]
+        for ids, binned, target, pred in parts:
+            seen = np.flatnonzero(drawn(ids, number, settings.rows, settings.seed))
+            node = tree.leaves(binned, level)[seen] - (nodes - 1)
+            here = (node >= 0) & wanted[node]  # rows in a leaf of an earlier level take no part
+            seen, first = seen[here], node[here] * bins
+            # First and second derivative of half the squared error; the first in two parts
+            # whose sums over a block are exact.
+            g = np.rint((pred[seen] - target[seen]) * scale)
+            high = np.floor(g * 2.0**-24)
+            low = g - high * 2.0**24
+            for i, column in enumerate(columns):
+                slot, size = first + binned[column][seen], nodes * bins
+                hessian[i] += np.bincount(slot, minlength=size)
+                gradient[i] += np.bincount(slot, low, size).astype(np.int64)
+                gradient[i] += np.bincount(slot, high, size).astype(np.int64) << 24
+        gradient, hessian = (
+            a.reshape(len(columns), nodes, bins).swapaxes(0, 1).reshape(-1) for a in (gradient, hessian)
         )
-
-    parts = state.mapInArrow(sums, SLOTS)
-    if tasks > DIRECT:
-        parts = parts.groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-    found = parts.toArrow()  # a row per node, column and bin, from a few tasks at most
+        used = np.flatnonzero(hessian)
+        yield used, gradient[used], hessian[used]
+
+    parts = state.mapPartitions(sums)
+    # Arrays with a place per node, column and bin at most, from a few tasks.
+    found = parts.collect() if tasks <= DIRECT else [parts.treeReduce(_added)]
+    gradient, hessian = np.zeros(nodes * grid, np.int64), np.zeros(nodes * grid, np.int64)
+    for slot, g, h in found:
+        gradient[slot] += g
+        hessian[slot] += h
     shape = (nodes, len(columns), bins)
-    gradient, hessian = np.zeros(np.prod(shape), np.int64), np.zeros(np.prod(shape), np.int64)
-    slot = found.column("slot").to_numpy()
-    np.add.at(gradient, slot, found.column("g").to_numpy())
-    np.add.at(hessian, slot, found.column("h").to_numpy())
     return gradient.reshape(shape), hessian.reshape(shape)
 
 
+def smaller_children(tree: Tree, level: int, columns: np.ndarray, hessian: np.ndarray) -> np.ndarray:
+    """Which nodes of the next level to sum: of the children of a split, the one with fewer rows.
+
+    ``hessian`` has the sums of this level, by node, column and bin.
+    """
+    wanted = np.zeros(2 << level, bool)
+    for node in range(1 << level):
+        here = (1 << level) - 1 + node
+        if tree.feature[here] >= 0:
+            counts = hessian[node, np.searchsorted(columns, tree.feature[here])]
+            left = counts[: tree.cut[here] + 1].sum()
+            wanted[2 * node + (left > counts.sum() - left)] = True
+    return wanted
+
+
+def with_siblings(
+    wanted: np.ndarray, sums: tuple[np.ndarray, np.ndarray], parents: tuple[np.ndarray, np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of all nodes of a level: a node that was not summed has its parent's less its sibling's."""
+    summed = np.flatnonzero(wanted)
+    for of_level, of_parents in zip(sums, parents):
+        of_level[summed ^ 1] = of_parents[summed // 2] - of_level[summed]
+    return sums
+
+
 def split_level(
     tree: Tree, level: int, columns: np.ndarray, gradient: np.ndarray, hessian: np.ndarray,
     scale: float, settings: Settings, gains: np.ndarray,
@@ -254,7 +303,7 @@ def split_level(
 
 
 def grow(
-    state: DataFrame, booster: Booster, number: int, scale: float, settings: Settings, gains: np.ndarray,
+    state: RDD[Block], booster: Booster, number: int, scale: float, settings: Settings, gains: np.ndarray,
     tasks: int,
 ) -> Tree:
     """One tree, a job per level."""
@@ -263,30 +312,35 @@ def grow(
     width = len(booster.inputs)
     rng = np.random.default_rng([settings.seed, number])
     columns = np.sort(rng.permutation(width)[: max(1, round(settings.columns * width))])
-    jobs = 0
+    jobs, wanted, parents = 0, np.ones(1, bool), None
     for level in range(settings.depth):
-        gradient, hessian = histograms(state, booster, tree, number, level, columns, scale, settings, tasks)
+        sums = histograms(state, booster, tree, number, level, columns, wanted, scale, settings, tasks)
         jobs += 1
-        if not split_level(tree, level, columns, gradient, hessian, scale, settings, gains):
+        if parents:
+            sums = with_siblings(wanted, sums, parents)
+        if not split_level(tree, level, columns, *sums, scale, settings, gains):
             break
+        wanted, parents = smaller_children(tree, level, columns, sums[1]), sums
     booster.jobs.append(jobs)
     return tree
 
 
-def advance(state: DataFrame, booster: Booster, tree: Tree) -> DataFrame:
+def advance(state: RDD[Block], booster: Booster, tree: Tree) -> RDD[Block]:
     """The blocks with the predictions of one more tree."""
-    width, depth = len(booster.inputs), booster.depth
+    depth = booster.depth
+
+    def step(block: Block) -> Block:
+        ids, bins, target, before = block
+        return ids, bins, target, before + tree.value[tree.leaves(bins, depth)]
+
+    return state.map(step)
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pred = []
-            for row in batch.to_pylist():
-                _, bins, _, before = _block(row, width)
-                pred.append((before + tree.value[tree.leaves(bins, depth)]).tobytes())
-            columns = [batch.column(c) for c in ("n", "ids", "bins", "target")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(pred, pa.binary())], names=batch.schema.names)
 
-    return state.mapInArrow(step, state.schema)  # the schema as an object: parsing text costs a call
+def _stored(spark: SparkSession, state: RDD[Block]) -> RDD[Block]:
+    """The blocks written to the shared folder and read back."""
+    path = fresh_path(spark, "blocks")
+    state.saveAsPickleFile(path)
+    return spark.sparkContext.pickleFile(path)
 
 
 def fit_booster(
@@ -319,9 +373,11 @@ def fit_booster(
     # a residual fits the 53 bits of a double.
     largest = 4 * max(facts["most"], 1.0)
     scale = 2.0 ** np.floor(np.log2(min(2.0**61 / (largest * facts["n"]), 2.0**52 / largest)))
-    state = stage(packed(rows, booster, target, keys), "blocks")
-    tasks = state.rdd.getNumPartitions()
-    held: list[DataFrame] = []  # states in executor memory, the last one in use
+    spark = rows.sparkSession
+    state = blocks(stage(packed(rows, booster, target, keys), "blocks"), booster.base)
+    state = state.persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = state.getNumPartitions()
+    held: list[RDD[Block]] = [state]  # states in executor memory, the last one in use
     for number in range(settings.rounds):
         tree = grow(state, booster, number, scale, settings, gains, tasks)
         booster.trees.append(tree)
@@ -333,13 +389,12 @@ def fit_booster(
             break
         after = advance(state, booster, tree)
         if (number + 1) % STORE_EVERY == 0:
-            state = stage(after, "blocks")
-            tasks = state.rdd.getNumPartitions()
+            after = _stored(spark, after)
+            tasks = after.getNumPartitions()
             while held:
                 held.pop().unpersist()
-        else:
-            state = after.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(state)
+        state = after.persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(state)
     while held:
         held.pop().unpersist()
     return booster
@@ -354,7 +409,7 @@ def predict(booster: Booster, rows: DataFrame, clip: bool = False) -> DataFrame:
         model = held.value
         for part in columns:
             bins = model.binned([c.to_numpy(float) for c in part])
-            yield pd.Series(model.add_up(bins, np.full(len(bins), model.base)))
+            yield pd.Series(model.add_up(bins, np.full(bins.shape[1], model.base)))
 
     guess = predicted(*(F.col(c).cast("double") for c in booster.inputs))
     return rows.withColumn("predicted_demand", non_negative(guess) if clip else guess)

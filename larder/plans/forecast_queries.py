@@ -531,9 +531,8 @@ def _trained_predictions(w):
     The fits do not need each other and are made side by side: a boosted tree is a short job
     per level, so one fit leaves most of the cluster idle.
     """
-    rows = _split(w)
+    rows, days = side_by_side(w.spark, [partial(_split, w), partial(_days, w)])
     train, test = rows.where("NOT is_test"), rows.where("is_test")
-    days = _days(w)
     columns = ("model", "ds", "sku", "actual", "pred")
 
     def trees(name, settings):

@@ -79,6 +79,34 @@ def test_same_seed_same_predictions_however_rows_are_spread(spark, monkeypatch):
     assert predicted(boosting.fit_booster(df, INPUTS, "y", ("id",), other), df) != results[0]
 
 
+def test_a_job_sums_only_the_smaller_child_of_a_split(spark, monkeypatch):
+    sums, rows = boosting.histograms, []
+
+    def counted(state, booster, tree, number, level, columns, wanted, *rest):
+        found = sums(state, booster, tree, number, level, columns, wanted, *rest)
+        everything = sums(state, booster, tree, number, level, columns, np.ones_like(wanted), *rest)
+        counts = everything[1][:, 0].sum(axis=1)
+        rows.append((level, found[1][:, 0].sum(), counts.sum()))
+        split = np.flatnonzero(wanted)
+        if level:  # siblings of the summed nodes are had from their parents
+            assert (counts[split] <= counts[split ^ 1]).all()
+            parents = [p[split // 2] for p in (before[0], before[1])]
+            for part, all_of, parent in zip(found, everything, parents):
+                assert np.array_equal(parent - part[split], all_of[split ^ 1])
+        before[:] = [np.array(p) for p in everything]
+        return found
+
+    before = []
+    monkeypatch.setattr(boosting, "histograms", counted)
+    df, x, y = table(spark)
+    booster = boosting.fit_booster(df, INPUTS, "y", ("id",), SETTINGS)
+    assert len(booster.trees) == SETTINGS.rounds
+    assert all(some == every if not level else 0 < some <= every / 2 for level, some, every in rows)
+    want = plain_booster(x, y, booster.edges, SETTINGS)
+    got = predicted(booster, df)
+    assert np.allclose([got[i] for i in range(len(y))], want, atol=1e-6)
+
+
 def test_trees_see_their_shares():
     ids = np.random.default_rng(1).integers(-(2**62), 2**62, 20_000)
     seen = [boosting.drawn(ids, tree, 0.8, 42) for tree in range(3)]
