@@ -32,7 +32,7 @@ from larder.operators import (
 )
 from larder.plans.ledger import Ledger, Stage
 from larder.schemas import RAW_TABLES
-from larder.session import clear_stages, side_by_side, stage
+from larder.session import clear_stages, shuffles_removed, side_by_side, stage
 from larder.sources.layers import Layer, ingest, write_csv, write_json
 
 STAGES = ("bronze", "check", "silver", "gold", "features", "anomalies")
@@ -243,8 +243,9 @@ class Pipeline:
     def run(self, stages: Iterable[str] = STAGES) -> dict[str, int | None]:
         """Run stages in order; the first failure ends the run."""
         try:
-            for name in stages:
-                self._work(name)()
+            with shuffles_removed(self.spark):
+                for name in stages:
+                    self._work(name)()
         finally:
             self.release()
         return self.written
@@ -252,7 +253,8 @@ class Pipeline:
     def resume(self, stages: Iterable[str] = STAGES) -> dict[str, str]:
         """Run stages by the ledger: what is done and unchanged is skipped, a failed run goes on."""
         try:
-            return self.ledger.run(self.plan(stages))
+            with shuffles_removed(self.spark):
+                return self.ledger.run(self.plan(stages))
         finally:
             self.release()
 

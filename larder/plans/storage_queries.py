@@ -14,7 +14,7 @@ from larder.plans.drift_queries import CUTOFF, SHARE
 from larder.plans.pipeline import Pipeline, write_reports
 from larder.plans.registry import isum, msum, query, r
 from larder.schemas import RAW_TABLES
-from larder.session import fresh_path, side_by_side, stage
+from larder.session import fresh_path, shuffles_removed, side_by_side, stage
 from larder.sources import layers, reconcile
 
 ORDERS = (
@@ -207,7 +207,9 @@ def _raw_folder(w) -> str:
         "shipments": w.shipments(),
         "supplier_product_map": w.supplier_product_map(),
     }
-    side_by_side(w.spark, [partial(raw.write, name, df) for name, df in tables.items()])
+    ordered = {name: layers.in_file_order(df, name) for name, df in tables.items()}
+    with shuffles_removed(w.spark):
+        side_by_side(w.spark, [partial(raw.write, name, df) for name, df in ordered.items()])
     return raw.root
 
 

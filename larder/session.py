@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -53,7 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
     cluster that would hide files from the other machines, so it is an error.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    configured = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not context.master.startswith("local"):
@@ -93,6 +94,23 @@ def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], Result]]) ->
         return list(pool.map(lambda task: task(), [inheritable_thread_target(spark)(t) for t in tasks]))
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the files that a query shuffled go as soon as it has ended.
+
+    Otherwise they stay on the executors' disks until the driver happens to collect the frame
+    as garbage, those of every table written so far. For pieces of work that run each frame once:
+    a frame run again would shuffle again. Kept frames keep their files until they are dropped.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def clear_stages(spark: SparkSession) -> None:
     """Remove everything ``stage`` and ``fresh_path`` stored for queries of this session.
 

@@ -1,10 +1,11 @@
 import datetime as dt
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from larder import schemas
+from larder import schemas, session
 from larder.operators import features, gold, staging
 from larder.plans.pipeline import Pipeline, chosen_stages
 from larder.session import fresh_path, shared_dir
@@ -213,3 +214,63 @@ def test_raw_tables_are_loaded_side_by_side(spark, lake, raw, monkeypatch):
     counts = layers.ingest(layers.Layer(spark, raw), layers.Layer(spark, lake))
     assert list(counts) == list(schemas.RAW_TABLES)
     assert (counts["sales"], counts["products"], counts["carriers"]) == (360, 3, None)
+
+
+def test_bronze_files_are_in_order_of_days(spark, lake):
+    days = [dt.datetime(2024, 1, 1) + dt.timedelta(d) for d in (5, 1, 9, 1, 7, 3)]
+    rows = [(day, "ST0", f"SKU{i % 2}", i, i, 1.0, False, False) for i, day in enumerate([*days, None])]
+    raw = layers.Layer(spark, f"{lake}/unordered")
+    raw.write("sales", frame(spark, "sales", rows).coalesce(1))
+    bronze = layers.Layer(spark, f"{lake}/ordered")
+    layers.ingest(raw, bronze, ["sales", "products"])
+    stored = bronze.read("sales")
+    assert stored.drop("_loaded_at", "_source_file").exceptAll(raw.read("sales")).isEmpty()
+    assert stored.count() == 7
+    part = stored.select(F.monotonically_increasing_id().alias("place"), "date", "sku").orderBy("place")
+    found = [(r.date or dt.datetime.min, r.sku) for r in part.collect()]
+    assert found == sorted(found)
+
+
+def test_shuffled_files_go_with_their_query(spark, lake):
+    def shuffled():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        names = disk.getAllFiles().mkString("\n").split("\n")
+        return {n for n in names if "/shuffle_" in n}
+
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = shuffled()
+    with session.shuffles_removed(spark):
+        assert layers.Layer(spark, lake).write("sums", df) == 7
+        for _ in range(50):  # files are removed on the side
+            if shuffled() <= before:
+                break
+            time.sleep(0.1)
+        assert shuffled() <= before
+    layers.Layer(spark, lake).write("sums", df)
+    assert shuffled() - before  # as elsewhere, until the frame is garbage
+
+
+def test_the_pipeline_keeps_no_shuffled_files(spark, lake, raw):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(name), []
+    run = Pipeline(spark, f"{lake}/own", raw)
+    run._work = lambda stage: lambda: seen.append(spark.conf.get(name))
+    run.run(("bronze", "silver"))
+    assert seen == ["true", "true"] and spark.conf.get(name) == before
+    run.resume(("bronze",))
+    assert seen == ["true"] * 3 and spark.conf.get(name) == before
+
+
+def test_shipped_lines_are_moved_for_one_join(spark, workspace):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        plan = workspace.shipments()._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    lines = plan.split("\n")
+    # Customers are joined below the join that lines take part in.
+    depth = {key: min(len(x) - len(x.lstrip(" :+-")) for x in lines if "Join Inner" in x and key in x)
+             for key in ("l_orderkey", "o_custkey")}
+    assert depth["o_custkey"] > depth["l_orderkey"]
