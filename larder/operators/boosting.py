@@ -304,9 +304,9 @@ def split_level(
 
 def grow(
     state: RDD[Block], booster: Booster, number: int, scale: float, settings: Settings, gains: np.ndarray,
-    tasks: int,
+    tasks: int, every: bool,
 ) -> Tree:
-    """One tree, a job per level."""
+    """One tree, a job per level; ``every``: each node is summed, none taken from its parent."""
     size = (1 << (settings.depth + 1)) - 1
     tree = Tree(np.full(size, -1, np.int64), np.zeros(size, np.int64), np.zeros(size))
     width = len(booster.inputs)
@@ -316,11 +316,12 @@ def grow(
     for level in range(settings.depth):
         sums = histograms(state, booster, tree, number, level, columns, wanted, scale, settings, tasks)
         jobs += 1
-        if parents:
+        if parents and not every:
             sums = with_siblings(wanted, sums, parents)
         if not split_level(tree, level, columns, *sums, scale, settings, gains):
             break
-        wanted, parents = smaller_children(tree, level, columns, sums[1]), sums
+        parents = sums
+        wanted = np.ones(2 << level, bool) if every else smaller_children(tree, level, columns, sums[1])
     booster.jobs.append(jobs)
     return tree
 
@@ -362,6 +363,7 @@ def fit_booster(
         F.count(F.lit(1)).alias("n"),
         F.avg(F.col(target).cast("double")).alias("mean"),
         F.max(F.abs(F.col(target).cast("double"))).alias("most"),
+        F.count_if(F.col(target).isNull() | F.isnan(F.col(target).cast("double"))).alias("unknown"),
     ).first()
     base = float(f"{facts['mean'] or 0.0:.9g}")  # a mean's last digits depend on the order of its sum
     booster = Booster(tuple(inputs), bin_edges(rows, inputs, settings), base, settings.depth)
@@ -379,7 +381,8 @@ def fit_booster(
     tasks = state.getNumPartitions()
     held: list[RDD[Block]] = [state]  # states in executor memory, the last one in use
     for number in range(settings.rounds):
-        tree = grow(state, booster, number, scale, settings, gains, tasks)
+        # An unknown target spoils the sums that it is in; a difference would spoil others by them.
+        tree = grow(state, booster, number, scale, settings, gains, tasks, facts["unknown"] > 0)
         booster.trees.append(tree)
         while len(held) > 1:  # growing has filled the last one from the one before
             held.pop(0).unpersist()

@@ -152,3 +152,20 @@ def test_trained_models_are_fitted_side_by_side(workspace, monkeypatch):
     monkeypatch.setattr(boosting, "fit_booster", small_fit)
     found = forecast_queries._trained_predictions(workspace)
     assert {r.model for r in found.select("model").distinct().collect()} == set(forecast_queries.TRAINED_KINDS)
+
+
+def test_every_node_is_summed_if_a_target_is_unknown(spark, monkeypatch):
+    sums, wanted = boosting.histograms, []
+
+    def seen(*args):
+        wanted.append(args[6].all())
+        return sums(*args)
+
+    monkeypatch.setattr(boosting, "histograms", seen)
+    df, _, _ = table(spark, n=200)
+    boosting.fit_booster(df, INPUTS, "y", ("id",), SETTINGS)
+    assert not all(wanted)
+    wanted.clear()
+    gap = df.selectExpr("id", "a", "b", "c", "IF(id = 7, NULL, y) AS y")
+    boosting.fit_booster(gap, INPUTS, "y", ("id",), SETTINGS)
+    assert wanted and all(wanted)
